@@ -114,11 +114,395 @@ EMP_VALID = f"""
 emp_valid as (select src_id, {EMP_COLS} from emp_ranked where row_num = 1 and {EMAIL_OK})"""
 
 
+
+EMP_COLS_Q = "src_id, " + EMP_COLS
+AS_OF = "date '2024-06-01'"
+
+
+def _hash(cols: list[str]) -> str:
+    """sha2(concat_ws('||', ...), 256) with every field as text (nulls skipped)."""
+    return "sha256(concat_ws('||', " + ", ".join(f"cast({c} as varchar)" for c in cols) + "))"
+
+
+def _strict_hash(cols: list[str]) -> str:
+    parts = [f"coalesce(cast(length(cast({c} as varchar)) as varchar) || ':' || cast({c} as varchar), '~')" for c in cols]
+    return "sha256(concat_ws('|', " + ", ".join(parts) + "))"
+
+
+SALES_HASH = ["retailer_id", "description", "amount", "city_id", "emp_id"]
+EMP_HASH = ["first_name", "last_name", "job_title", "phone", "salary", "department_id"]
+SALES_COLS = "transacted_at, trx_id, retailer_id, description, amount, city_id"
+YEAR_MONTH = "cast(year(transacted_at) as integer) as year, cast(month(transacted_at) as integer) as month"
+
+
+def murmur3_ctes(source: str, key: str, out: str) -> list[str]:
+    """CTE chain adding ``spark_hash`` = Spark's hash(key) for an INT key (Murmur3 x86_32, seed 42)."""
+    m = 4294967295
+    steps = [
+        f"case when {key} is null then null else cast({key} as bigint) & {m} end as __k0",
+        f"cast((cast(__k0 as hugeint) * 3432918353) & {m} as bigint) as __k1",
+        f"((__k1 << 15) | (__k1 >> 17)) & {m} as __k2",
+        f"cast((cast(__k2 as hugeint) * 461845907) & {m} as bigint) as __k3",
+        f"xor(cast(42 as bigint), __k3) as __h0",
+        f"((__h0 << 13) | (__h0 >> 19)) & {m} as __h1",
+        f"cast((cast(__h1 as hugeint) * 5 + 3864292196) & {m} as bigint) as __h2",
+        f"xor(__h2, cast(4 as bigint)) as __h3",
+        f"xor(__h3, __h3 >> 16) as __h4",
+        f"cast((cast(__h4 as hugeint) * 2246822507) & {m} as bigint) as __h5",
+        f"xor(__h5, __h5 >> 13) as __h6",
+        f"cast((cast(__h6 as hugeint) * 3266489909) & {m} as bigint) as __h7",
+        f"xor(__h7, __h7 >> 16) as __h8",
+    ]
+    ctes = []
+    prev = source
+    for i, step in enumerate(steps):
+        name = f"{out}_m{i}"
+        ctes.append(f"{name} as (select *, {step} from {prev})")
+        prev = name
+    ctes.append(
+        f"{out} as (select * exclude (__k0, __k1, __k2, __k3, __h0, __h1, __h2, __h3, __h4, __h5, __h6, __h7, __h8), "
+        f"case when {key} is null then 42 when __h8 >= 2147483648 then __h8 - 4294967296 else __h8 end as spark_hash "
+        f"from {prev})"
+    )
+    return ctes
+
+
+def _emp_id_expr(n: str) -> str:
+    """T4: abs(hash) % n + 1, null for n = 0."""
+    return f"case when {n} > 0 then cast(abs(spark_hash) % {n} + 1 as bigint) end"
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+
+def roundtrip() -> str:
+    return with_fixtures(["fx_sales"], f"select {SALES_COLS}, {YEAR_MONTH} from fx_sales")
+
+
+def write_modes() -> str:
+    body = f"""
+select * from b where not coalesce(year = 1998 and month <= 6, false)
+union all
+select * from a where year = 1998 and month <= 6
+union all
+select * from a where transacted_at is null"""
+    extra = [
+        f"b as (select {SALES_COLS}, {YEAR_MONTH} from fx_sales_before)",
+        f"a as (select {SALES_COLS}, {YEAR_MONTH} from fx_sales_after)",
+    ]
+    return with_fixtures(["fx_sales_before", "fx_sales_after"], body, extra)
+
+
+# ---------------------------------------------------------------- quality
+
+_DECLARED = {
+    "employees": [
+        ("first_name", "string", False), ("last_name", "string", False), ("job_title", "string", True),
+        ("dob", "date", False), ("email", "string", True), ("phone", "string", True),
+        ("salary", "int", True), ("department_id", "int", False),
+    ],
+    "sales": [
+        ("transacted_at", "timestamp", False), ("trx_id", "int", True), ("retailer_id", "int", True),
+        ("description", "string", True), ("amount", "double", True), ("city_id", "int", False),
+    ],
+    "cities": [
+        ("city_id", "int", False), ("city", "string", False), ("state", "string", False),
+        ("state_abv", "string", True), ("country", "string", False),
+    ],
+}
+# types the fixture frames actually have
+_ACTUAL = {"transacted_at": "timestamp_ntz"}
+_SOURCE = {"employees": "fx_employees", "sales": "fx_sales", "cities": "fx_cities"}
+
+
+def schema_report() -> str:
+    selects = []
+    for table, fields in _DECLARED.items():
+        for pos, (name, typ, nullable) in enumerate(fields, start=1):
+            actual = _ACTUAL.get(name, typ) if table == "sales" else typ
+            nl = "true" if nullable else "false"
+            selects.append(
+                f"select '{table}' as table_name, cast({pos} as integer) as position, '{name}' as column_name, "
+                f"'{typ}' as expected_type, '{actual}' as actual_type, true as present, "
+                f"{'true' if actual == typ else 'false'} as type_matches, {nl} as declared_nullable, "
+                f"count(*) filter (where {name} is null) as null_count, "
+                f"({nl} or count(*) filter (where {name} is null) = 0) as nullability_ok from {_SOURCE[table]}"
+            )
+    return with_fixtures(["fx_employees", "fx_sales", "fx_cities"], "\nunion all\n".join(selects))
+
+
+def clean_employees() -> str:
+    return with_fixtures(
+        ["fx_employees"],
+        """select src_id, trim(first_name) as first_name, trim(last_name) as last_name, job_title, dob,
+                  lower(trim(email)) as email, phone, salary, department_id from fx_employees""",
+    )
+
+
+def email_flag() -> str:
+    return with_fixtures(["fx_employees"], f"select *, {EMAIL_OK} as is_valid_email from fx_employees")
+
+
+def employee_rank() -> str:
+    return with_fixtures(["fx_employees"], "select * from emp_ranked", [EMP_RANKED])
+
+
 def valid_employees() -> str:
     return with_fixtures(["fx_employees"], "select * from emp_valid", [EMP_RANKED, EMP_VALID])
 
 
+def bad_employee_audit() -> str:
+    body = f"""
+select {EMP_COLS_Q},
+       concat_ws(',', case when email is null then 'email_null' end,
+                      case when email is not null and not {EMAIL_OK} then 'email_invalid' end,
+                      case when row_num > 1 then 'duplicate' end) as reasons
+from emp_ranked
+where row_num > 1 or not coalesce({EMAIL_OK}, false)"""
+    return with_fixtures(["fx_employees"], body, [EMP_RANKED])
+
+
+def quality_counts() -> str:
+    body = f"""
+select count(*) as input_rows,
+       count(*) filter (where row_num = 1 and coalesce({EMAIL_OK}, false)) as valid_rows,
+       count(*) filter (where not (row_num = 1 and coalesce({EMAIL_OK}, false))) as bad_rows,
+       count(*) filter (where email is null) as email_null,
+       count(*) filter (where email is not null and not {EMAIL_OK}) as email_invalid,
+       count(*) filter (where row_num > 1) as duplicates
+from emp_ranked"""
+    return with_fixtures(["fx_employees"], body, [EMP_RANKED])
+
+
+_RULE = (
+    f"coalesce(salary > 0 and email is not null and {EMAIL_OK} "
+    f"and dob + to_months(216) <= {AS_OF}, false)"
+)
+
+
+def employee_rules(valid: bool) -> str:
+    cond = _RULE if valid else f"not {_RULE}"
+    return with_fixtures(["fx_employees"], f"select * from fx_employees where {cond}")
+
+
+# ---------------------------------------------------------------- dimensions and facts
+
+CITY_DIM = """
+city_dim as (
+  select city_id, city, state, state_abv, country from (
+    select *, row_number() over (partition by city_id
+                                 order by city nulls first, state nulls first, state_abv nulls first, country nulls first) as rn
+    from fx_cities) where rn = 1)"""
+
+
+def city_dim() -> str:
+    return with_fixtures(["fx_cities"], "select * from city_dim", [CITY_DIM])
+
+
+def sales_city(enriched: bool) -> str:
+    if enriched:
+        body = "select s.*, c.city, c.state, c.state_abv, c.country from fx_sales s join city_dim c on s.city_id = c.city_id"
+    else:
+        body = "select s.* from fx_sales s where not exists (select 1 from city_dim c where c.city_id = s.city_id)"
+    return with_fixtures(["fx_sales", "fx_cities"], body, [CITY_DIM])
+
+
+EMP_IDS = """
+emp_ids as (
+  select cast(row_number() over (order by department_id nulls first, phone nulls first, email nulls first) as bigint) as emp_id, *
+  from emp_valid)"""
+
+
+def employee_dim_ids() -> str:
+    return with_fixtures(["fx_employees"], "select * from emp_ids", [EMP_RANKED, EMP_VALID, EMP_IDS])
+
+
+def _assigned_ctes() -> list[str]:
+    return [EMP_RANKED, EMP_VALID, "emp_n as (select count(*) as n from emp_valid)"] + murmur3_ctes(
+        "fx_sales", "trx_id", "sales_h"
+    ) + [
+        f"""sales_assigned as (
+  select {SALES_COLS}, {_emp_id_expr('(select n from emp_n)')} as emp_id from sales_h)"""
+    ]
+
+
+def sales_fact_assigned() -> str:
+    return with_fixtures(["fx_employees", "fx_sales"], "select * from sales_assigned", _assigned_ctes())
+
+
+def sales_staging() -> str:
+    body = f"select *, {_hash(SALES_HASH)} as record_hash, {_strict_hash(SALES_HASH)} as strict_hash from sales_assigned"
+    return with_fixtures(["fx_employees", "fx_sales"], body, _assigned_ctes())
+
+
+def employee_staging() -> str:
+    body = f"""
+select *, {_hash(EMP_HASH)} as record_hash, {AS_OF} as effective_start_date,
+       cast(null as date) as effective_end_date, true as is_current
+from emp_ids"""
+    return with_fixtures(["fx_employees"], body, [EMP_RANKED, EMP_VALID, EMP_IDS])
+
+
+def date_dim() -> str:
+    body = """
+select d as "date", cast(day(d) as integer) as day, cast(month(d) as integer) as month,
+       cast(year(d) as integer) as year, cast(quarter(d) as integer) as quarter
+from (select distinct cast(transacted_at as date) as d from fx_sales where transacted_at is not null)"""
+    return with_fixtures(["fx_sales"], body)
+
+
+def sales_max_date() -> str:
+    body = """
+select max_ts, cast(max_ts as date) as max_date,
+       cast(cast(max_ts as date) as timestamp) + interval '86399999999 microseconds' as day_mark
+from (select max(transacted_at) as max_ts from fx_sales)"""
+    return with_fixtures(["fx_sales"], body)
+
+
+def sales_year_month() -> str:
+    return with_fixtures(["fx_sales"], f"select *, {YEAR_MONTH} from fx_sales")
+
+
+# ---------------------------------------------------------------- merges
+
+_SCD1_SIDES = [
+    f"tgt as (select *, {_hash(SALES_HASH)} as record_hash from (select {SALES_COLS}, cast(1 as bigint) as emp_id, {YEAR_MONTH} from fx_sales_before))",
+    f"stg as (select *, {_hash(SALES_HASH)} as record_hash from (select {SALES_COLS}, cast(1 as bigint) as emp_id, {YEAR_MONTH} from fx_sales_after))",
+]
+_UPDATED = ["retailer_id", "description", "amount", "city_id", "emp_id", "record_hash"]
+_KEPT = ["transacted_at", "year", "month"]
+
+SCD1_MERGED = (
+    "merged as (select "
+    + ", ".join(
+        [f"case when t.trx_id is null then s.{c} else t.{c} end as {c}" for c in _KEPT]
+        + ["coalesce(t.trx_id, s.trx_id) as trx_id"]
+        + [
+            f"case when t.trx_id is null or (s.trx_id is not null and s.record_hash <> t.record_hash) then s.{c} else t.{c} end as {c}"
+            for c in _UPDATED
+        ]
+        + [
+            "case when t.trx_id is null then 'insert' when s.trx_id is null then 'retained' "
+            "when s.record_hash = t.record_hash then 'unchanged' else 'update' end as change_type"
+        ]
+    )
+    + " from stg s full outer join tgt t on s.trx_id = t.trx_id)"
+)
+
+
+def scd1_merge() -> str:
+    return with_fixtures(["fx_sales_before", "fx_sales_after"], "select * exclude (change_type) from merged", _SCD1_SIDES + [SCD1_MERGED])
+
+
+def scd1_change_types() -> str:
+    return with_fixtures(
+        ["fx_sales_before", "fx_sales_after"],
+        "select change_type, count(*) as n_rows from merged group by change_type",
+        _SCD1_SIDES + [SCD1_MERGED],
+    )
+
+
+def scd1_snapshot() -> str:
+    body = """
+select s.*, case when t.trx_id is null then 'insert' when s.record_hash = t.record_hash then 'unchanged' else 'update' end as change_type
+from stg s left join tgt t on s.trx_id = t.trx_id"""
+    return with_fixtures(["fx_sales_before", "fx_sales_after"], body, _SCD1_SIDES)
+
+
+EMP_ATTRS = "emp_id, first_name, last_name, job_title, dob, email, phone, salary, department_id, record_hash"
+_SCD2_SIDES = [
+    f"stg as (select emp_id, {EMP_COLS}, {_hash(EMP_HASH)} as record_hash from fx_emp_after)",
+    f"tgt as (select emp_id, {EMP_COLS}, {_hash(EMP_HASH)} as record_hash, effective_start_date, effective_end_date, is_current from fx_emp_before)",
+    "cur as (select * from tgt where is_current)",
+]
+
+
+def _t(cols: str, alias: str) -> str:
+    return ", ".join(f"{alias}.{c.strip()}" for c in cols.split(","))
+
+
+SCD2_BODY = f"""
+select *, 'history' as change_type from tgt where not is_current
+union all
+select t.*, 'retained' from cur t where not exists (select 1 from stg s where s.emp_id = t.emp_id)
+union all
+select t.*, 'unchanged' from cur t join stg s on s.emp_id = t.emp_id where s.record_hash = t.record_hash
+union all
+select {_t(EMP_ATTRS, 't')}, t.effective_start_date, {AS_OF}, false, 'expired'
+from cur t join stg s on s.emp_id = t.emp_id where s.record_hash <> t.record_hash and t.effective_start_date <> {AS_OF}
+union all
+select {_t(EMP_ATTRS, 's')}, {AS_OF}, cast(null as date), true, 'new_version'
+from stg s join cur t on s.emp_id = t.emp_id where s.record_hash <> t.record_hash
+union all
+select s.*, {AS_OF}, cast(null as date), true, 'new' from stg s where not exists (select 1 from cur t where t.emp_id = s.emp_id)"""
+
+
+def scd2_merge() -> str:
+    return with_fixtures(["fx_emp_before", "fx_emp_after"], f"select * from ({SCD2_BODY})", _SCD2_SIDES)
+
+
+def scd2_current() -> str:
+    return with_fixtures(
+        ["fx_emp_before", "fx_emp_after"], f"select * exclude (change_type) from ({SCD2_BODY}) where is_current", _SCD2_SIDES
+    )
+
+
+# ---------------------------------------------------------------- control
+
+LATEST = "latest as (select mark_key, arg_max(mark_value, seq) as mark_value, max(seq) as seq from fx_control group by mark_key)"
+STORED = "(select mark_value from latest where mark_key = 'last_Processed_date')"
+
+
+def watermark_latest() -> str:
+    return with_fixtures(["fx_control"], "select * from latest", [LATEST])
+
+
+def batch_decision() -> str:
+    body = f"""
+select {STORED} as stored_mark, max(transacted_at) as batch_max,
+       case when max(transacted_at) is null then 'skip'
+            when {STORED} is null then 'first_load'
+            when max(transacted_at) > {STORED} then 'incremental'
+            else 'skip' end as decision
+from fx_sales"""
+    return with_fixtures(["fx_sales", "fx_control"], body, [LATEST])
+
+
+def incremental_slice() -> str:
+    return with_fixtures(["fx_sales", "fx_control"], f"select * from fx_sales where transacted_at > {STORED}", [LATEST])
+
+
 def oracle_queries() -> dict[str, str]:
     return {
+        "source_csv_roundtrip": roundtrip(),
+        "source_json_roundtrip": roundtrip(),
+        "source_parquet_roundtrip": roundtrip(),
+        "write_modes_partition_overwrite": write_modes(),
+        "schema_check_report": schema_report(),
+        "clean_employees": clean_employees(),
+        "email_flag": email_flag(),
+        "employee_rank": employee_rank(),
         "valid_employees": valid_employees(),
+        "bad_employee_audit": bad_employee_audit(),
+        "quality_counts": quality_counts(),
+        "employee_rules_valid": employee_rules(True),
+        "employee_rules_bad": employee_rules(False),
+        "sales_city_enriched": sales_city(True),
+        "sales_city_orphans": sales_city(False),
+        "city_dim": city_dim(),
+        "employee_dim_ids": employee_dim_ids(),
+        "sales_fact_assigned": sales_fact_assigned(),
+        "date_dim": date_dim(),
+        "sales_max_date": sales_max_date(),
+        "sales_year_month": sales_year_month(),
+        "sales_staging": sales_staging(),
+        "employee_staging": employee_staging(),
+        "scd1_merge": scd1_merge(),
+        "scd1_change_types": scd1_change_types(),
+        "scd1_snapshot": scd1_snapshot(),
+        "scd2_merge": scd2_merge(),
+        "scd2_current": scd2_current(),
+        "watermark_latest": watermark_latest(),
+        "batch_decision": batch_decision(),
+        "incremental_slice": incremental_slice(),
     }

@@ -1,7 +1,8 @@
 """Registered queries: ``name -> (spark, sf_dir) -> DataFrame``.
 
-Every query reads the driver tables through ``plans.fixtures`` and returns a lazy DataFrame
-(queries that publish tables run their writes first and return the table read back).
+Every query reads the driver tables through ``plans.fixtures`` (so its work grows with the
+scale factor) and returns a DataFrame. Queries that publish tables run their writes into a
+fresh folder under the shared root first and return the table read back.
 """
 
 from __future__ import annotations
@@ -9,9 +10,14 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.operators import quality
+from starloom import schemas
+from starloom.functions.hashing import record_hash
+from starloom.operators import control, dims, facts, merge, quality
 from starloom.plans import fixtures as fx
+from starloom.session import scratch_path
+from starloom.sources.io import WriteMode, read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,10 +25,229 @@ Query = Callable[[SparkSession, str], DataFrame]
 _TIE = ["src_id"]
 
 
+# ---------------------------------------------------------------- sources and sinks
+
+
+def _sales_with_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.add_year_month(fx.sales(spark, sf_dir))
+
+
+def _roundtrip(fmt: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = _sales_with_calendar(spark, sf_dir)
+        path = scratch_path(spark, f"roundtrip-{fmt}")
+        write_table(df, path, fmt=fmt, mode=WriteMode.OVERWRITE, partition_by=["year", "month"])
+        return read_table(spark, path, fmt=fmt, schema=df.schema)
+
+    query.__name__ = f"source_{fmt}_roundtrip"
+    return query
+
+
+def write_modes_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overwrite, dynamic partition overwrite of the first half of 1998, ignore, error, append."""
+    from pyspark.errors import AnalysisException
+
+    parts = ["year", "month"]
+    before = facts.add_year_month(fx.sales_before(spark, sf_dir))
+    after = facts.add_year_month(fx.sales_after(spark, sf_dir))
+    half_year = after.filter((F.col("year") == 1998) & (F.col("month") <= 6))
+    path = scratch_path(spark, "write-modes")
+    write_table(before, path, mode=WriteMode.OVERWRITE, partition_by=parts)
+    write_table(half_year, path, mode=WriteMode.OVERWRITE, partition_by=parts)  # replaces 6 partitions only
+    write_table(after, path, mode=WriteMode.IGNORE, partition_by=parts)  # table exists: no-op
+    try:
+        write_table(after, path, mode=WriteMode.ERROR_IF_EXISTS, partition_by=parts)
+        raise AssertionError("errorifexists wrote into an existing table")
+    except AnalysisException:
+        pass
+    undated = after.filter(F.col("transacted_at").isNull())
+    write_table(undated, path, mode=WriteMode.APPEND, partition_by=parts)
+    return read_table(spark, path, schema=before.schema)
+
+
+# ---------------------------------------------------------------- quality
+
+
+def schema_check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.union_all(
+        [
+            quality.schema_report(fx.employees(spark, sf_dir), schemas.EMPLOYEES, "employees"),
+            quality.schema_report(fx.sales(spark, sf_dir), schemas.SALES, "sales"),
+            quality.schema_report(fx.cities(spark, sf_dir), schemas.CITIES, "cities"),
+        ]
+    )
+
+
+def clean_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.clean_employees(fx.employees(spark, sf_dir))
+
+
+def email_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.flag_email(fx.employees(spark, sf_dir))
+
+
+def employee_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rank_employees(fx.employees(spark, sf_dir), tie_breakers=_TIE)
+
+
+def _split(spark: SparkSession, sf_dir: str) -> quality.QualitySplit:
+    return quality.split_employees(fx.employees(spark, sf_dir), tie_breakers=_TIE)
+
+
 def valid_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.split_employees(fx.employees(spark, sf_dir), tie_breakers=_TIE).valid
+    return _split(spark, sf_dir).valid
+
+
+def bad_employee_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.audit_for_csv(_split(spark, sf_dir).audit)
+
+
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split(spark, sf_dir).counts()
+
+
+def employee_rules_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.employee_rules(fx.employees(spark, sf_dir), fx.AS_OF).valid
+
+
+def employee_rules_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.employee_rules(fx.employees(spark, sf_dir), fx.AS_OF).bad
+
+
+# ---------------------------------------------------------------- dimensions and facts
+
+
+def city_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dims.city_dim(fx.cities(spark, sf_dir))
+
+
+def sales_city_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.enrich_with_city(fx.sales(spark, sf_dir), dims.city_dim(fx.cities(spark, sf_dir)), how="inner")
+
+
+def sales_city_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.enrich_with_city(fx.sales(spark, sf_dir), dims.city_dim(fx.cities(spark, sf_dir)), how="left_anti")
+
+
+def employee_dim_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dims.assign_keys(valid_employees(spark, sf_dir), schemas.EMPLOYEE_KEY).rows
+
+
+def sales_fact_assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.assign_employee(fx.sales(spark, sf_dir), valid_employees(spark, sf_dir))
+
+
+def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dims.date_dim(fx.sales(spark, sf_dir))
+
+
+def sales_max_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.batch_max(fx.sales(spark, sf_dir))
+
+
+def sales_year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.add_year_month(fx.sales(spark, sf_dir))
+
+
+def sales_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.sales_staging(sales_fact_assigned(spark, sf_dir), strict=True)
+
+
+def employee_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.employee_staging(employee_dim_ids(spark, sf_dir), fx.AS_OF)
+
+
+# ---------------------------------------------------------------- merges
+
+
+def _scd1_side(df: DataFrame) -> DataFrame:
+    """Fixture sales as a fact: constant emp_id, calendar columns, row hash."""
+    return facts.sales_staging(facts.add_year_month(df.withColumn("emp_id", F.lit(1).cast("bigint"))))
+
+
+def _scd1(spark: SparkSession, sf_dir: str) -> merge.Scd1Result:
+    staging = _scd1_side(fx.sales_after(spark, sf_dir))
+    target = _scd1_side(fx.sales_before(spark, sf_dir))
+    return merge.merge_scd1(staging, target)
+
+
+def scd1_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scd1(spark, sf_dir).merged.drop("change_type")
+
+
+def scd1_change_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scd1(spark, sf_dir).merged.groupBy("change_type").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def scd1_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staging = _scd1_side(fx.sales_after(spark, sf_dir))
+    target = _scd1_side(fx.sales_before(spark, sf_dir))
+    return merge.merge_scd1_snapshot(staging, target)
+
+
+def _scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staging = facts.employee_staging(fx.emp_after(spark, sf_dir), fx.AS_OF)
+    before = fx.emp_before(spark, sf_dir)
+    target = before.withColumn("record_hash", record_hash(schemas.EMPLOYEE_HASH_COLUMNS)).select(
+        *[c for c in staging.columns if c not in schemas.SCD2_COLUMNS], *schemas.SCD2_COLUMNS
+    )
+    return merge.merge_scd2(staging, target, fx.AS_OF)
+
+
+def scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scd2(spark, sf_dir)
+
+
+def scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scd2(spark, sf_dir).filter(F.col("is_current")).drop("change_type")
+
+
+# ---------------------------------------------------------------- control
+
+
+def watermark_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return control.latest_marks(fx.control_history(spark, sf_dir))
+
+
+def batch_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return control.decide(facts.batch_max(fx.sales(spark, sf_dir)), fx.control_history(spark, sf_dir))
+
+
+def incremental_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mark = control.stored_mark(fx.control_history(spark, sf_dir))
+    return control.incremental_slice(fx.sales(spark, sf_dir), mark)
 
 
 QUERIES: dict[str, Query] = {
+    "source_csv_roundtrip": _roundtrip("csv"),
+    "source_json_roundtrip": _roundtrip("json"),
+    "source_parquet_roundtrip": _roundtrip("parquet"),
+    "write_modes_partition_overwrite": write_modes_partition_overwrite,
+    "schema_check_report": schema_check_report,
+    "clean_employees": clean_employees,
+    "email_flag": email_flag,
+    "employee_rank": employee_rank,
     "valid_employees": valid_employees,
+    "bad_employee_audit": bad_employee_audit,
+    "quality_counts": quality_counts,
+    "employee_rules_valid": employee_rules_valid,
+    "employee_rules_bad": employee_rules_bad,
+    "sales_city_enriched": sales_city_enriched,
+    "sales_city_orphans": sales_city_orphans,
+    "city_dim": city_dim,
+    "employee_dim_ids": employee_dim_ids,
+    "sales_fact_assigned": sales_fact_assigned,
+    "date_dim": date_dim,
+    "sales_max_date": sales_max_date,
+    "sales_year_month": sales_year_month,
+    "sales_staging": sales_staging,
+    "employee_staging": employee_staging,
+    "scd1_merge": scd1_merge,
+    "scd1_change_types": scd1_change_types,
+    "scd1_snapshot": scd1_snapshot,
+    "scd2_merge": scd2_merge,
+    "scd2_current": scd2_current,
+    "watermark_latest": watermark_latest,
+    "batch_decision": batch_decision,
+    "incremental_slice": incremental_slice,
 }
