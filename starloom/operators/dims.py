@@ -86,10 +86,15 @@ def assign_keys(
     numbered = distributed_row_number(fresh, [], keys, out="__seq")
     new_keys = numbered.select(*keys, (F.col("__seq") + offset).alias(id_col))
     mapping = new_keys if key_map is None else key_map.select(*keys, id_col).unionByName(new_keys)
-    mapping = mapping.select(*[F.col(k).alias(f"__m_{k}") for k in keys], id_col)
+    return KeyAssignment(rows=attach_keys(df, mapping, keys, id_col), new_keys=new_keys)
+
+
+def attach_keys(df: DataFrame, key_map: DataFrame, keys: Sequence[str], id_col: str = "emp_id") -> DataFrame:
+    """Rows of ``df`` with their id from ``key_map`` (null-safe match on ``keys``)."""
+    mapping = key_map.select(*[F.col(k).alias(f"__m_{k}") for k in keys], id_col)
     cond = None
     for k in keys:
         c = df[k].eqNullSafe(mapping[f"__m_{k}"])
         cond = c if cond is None else cond & c
     rows = df.join(mapping, cond, "inner").drop(*[f"__m_{k}" for k in keys])
-    return KeyAssignment(rows=rows.select(id_col, *df.columns), new_keys=new_keys)
+    return rows.select(id_col, *df.columns)

@@ -66,13 +66,13 @@ def _classified(src: DataFrame, target: DataFrame, key: str, hash_col: str, how:
 def _prepare_staging(staging: DataFrame, key: str, dedup_order: Sequence[str], null_key: str, on_duplicate: str):
     if null_key not in ("reject", "insert"):
         raise ValueError("null_key must be 'reject' or 'insert'")
-    if on_duplicate not in ("latest", "error"):
-        raise ValueError("on_duplicate must be 'latest' or 'error'")
+    if on_duplicate not in ("latest", "error", "unique"):
+        raise ValueError("on_duplicate must be 'latest', 'error' or 'unique' (already one row per key)")
     keyed = staging.filter(F.col(key).isNotNull())
     nulls = staging.filter(F.col(key).isNull())
     if on_duplicate == "latest":
         keyed = latest_per_key(keyed, key, [c for c in dedup_order if c in staging.columns])
-    else:
+    elif on_duplicate == "error":
         repeated = keyed.groupBy(key).count().filter("count > 1").limit(1).count()
         if repeated:
             raise ValueError(f"staging holds repeated values of {key}")

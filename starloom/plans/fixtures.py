@@ -136,3 +136,20 @@ def control_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.max("transacted_at").alias("mark_value"))
         .select(F.lit("last_Processed_date").alias("mark_key"), "mark_value", "seq")
     )
+
+
+def batch_inputs(spark: SparkSession, sf_dir: str, run: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Inputs of two consecutive loads.
+
+    run 1: employees without every eleventh, the stored sales state up to the end of 2000
+    (undated rows included); run 2: all employees and the next full delivery of sales.
+    """
+    e = employees(spark, sf_dir)
+    if run == 1:
+        ts = F.col("transacted_at")
+        return (
+            e.filter(F.col("src_id") % 11 != 0),
+            sales_before(spark, sf_dir).filter(ts.isNull() | (ts < F.lit("2001-01-01").cast("timestamp_ntz"))),
+            cities(spark, sf_dir),
+        )
+    return e, sales_after(spark, sf_dir), cities(spark, sf_dir)

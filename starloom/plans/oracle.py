@@ -472,6 +472,56 @@ def incremental_slice() -> str:
     return with_fixtures(["fx_sales", "fx_control"], f"select * from fx_sales where transacted_at > {STORED}", [LATEST])
 
 
+# ---------------------------------------------------------------- the batch job
+
+
+def _ranked_valid(prefix: str, source: str) -> list[str]:
+    return [
+        f"""{prefix}_ranked as (
+  select *, row_number() over (partition by department_id, phone, email order by {DEDUP_ORDER}) as row_num from {source})""",
+        f"{prefix}_valid as (select * from {prefix}_ranked where row_num = 1 and {EMAIL_OK})",
+        f"{prefix}_n as (select count(*) as n from {prefix}_valid)",
+    ]
+
+
+def _first_load_ctes() -> list[str]:
+    return (
+        ["emp1 as (select * from fx_employees where src_id % 11 <> 0)"]
+        + _ranked_valid("e1", "emp1")
+        + ["s1 as (select * from fx_sales_before where transacted_at is null or transacted_at < timestamp '2001-01-01')"]
+        + murmur3_ctes("s1", "trx_id", "s1_h")
+        + [
+            f"""f1 as (select *, {_hash(SALES_HASH)} as record_hash from (
+  select {SALES_COLS}, {_emp_id_expr('(select n from e1_n)')} as emp_id, {YEAR_MONTH} from s1_h))"""
+        ]
+    )
+
+
+def batch_first_load() -> str:
+    return with_fixtures(["fx_employees", "fx_sales_before"], "select * from f1", _first_load_ctes())
+
+
+def batch_incremental() -> str:
+    ctes = (
+        _first_load_ctes()
+        + _ranked_valid("e2", "fx_employees")
+        + [
+            "slice as (select * from fx_sales_after where transacted_at > (select max(transacted_at) from s1) - interval 365 days)"
+        ]
+        + murmur3_ctes("slice", "trx_id", "slice_h")
+        + [
+            f"""stg as (select *, {_hash(SALES_HASH)} as record_hash from (
+  select sl.transacted_at, sl.trx_id, sl.retailer_id, sl.description, sl.amount, sl.city_id,
+         coalesce(f1.emp_id, {_emp_id_expr('(select n from e2_n)')}) as emp_id,
+         cast(year(sl.transacted_at) as integer) as year, cast(month(sl.transacted_at) as integer) as month
+  from slice_h sl left join f1 on sl.trx_id = f1.trx_id))""",
+            "tgt as (select * from f1)",
+            SCD1_MERGED,
+        ]
+    )
+    return with_fixtures(["fx_employees", "fx_sales_before", "fx_sales_after"], "select * exclude (change_type) from merged", ctes)
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "source_csv_roundtrip": roundtrip(),
@@ -505,4 +555,6 @@ def oracle_queries() -> dict[str, str]:
         "watermark_latest": watermark_latest(),
         "batch_decision": batch_decision(),
         "incremental_slice": incremental_slice(),
+        "batch_first_load": batch_first_load(),
+        "batch_incremental": batch_incremental(),
     }
