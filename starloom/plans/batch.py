@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.operators import control, dims, facts, merge, quality
+from starloom.plans import publish
 from starloom.session import shared_root
 from starloom.sources.io import WriteMode, read_if_exists, read_table, write_table
 
@@ -145,44 +146,16 @@ def _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback,
     write_table(rejected, layout.rejects, mode=WriteMode.OVERWRITE, rebalance=False)
     keyed = merge.latest_per_key(keyed, "trx_id", ["transacted_at"])
 
-    known = fact.select(
-        "trx_id",
-        F.col("emp_id").alias("__known_emp"),
-        F.col("record_hash").alias("__known_hash"),
-        F.col("year").alias("__known_year"),
-        F.col("month").alias("__known_month"),
-    )
+    known = publish.known_rows(fact, "trx_id", "record_hash", schemas.SALES_FACT_PARTITIONS, extra={"emp_id": "__known_emp"})
     looked_up = keyed.join(known, "trx_id", "left")
     # an existing sale keeps its employee; a new one gets the hash assignment of this run
     assigned = facts.assign_employee(looked_up, valid, out="__new_emp").withColumn(
         "emp_id", F.coalesce(F.col("__known_emp"), F.col("__new_emp"))
     )
     staged = facts.sales_staging(facts.add_year_month(assigned))
-    is_insert = F.col("__known_hash").isNull()
-    is_update = ~is_insert & (F.col("record_hash") != F.col("__known_hash"))
-    changes = staged.filter(is_insert | is_update)
-    touched = (
-        changes.select(
-            F.when(is_insert, F.col("year")).otherwise(F.col("__known_year")).alias("year"),
-            F.when(is_insert, F.col("month")).otherwise(F.col("__known_month")).alias("month"),
-        )
-        .distinct()
-    )
-    staging = changes.select(*[c for c in fact.columns])
-    # touched partitions are calendar months: a bounded, small set
-    in_touched = F.broadcast(touched.select(F.col("year").alias("__y"), F.col("month").alias("__m")))
-    target = fact.join(
-        in_touched, fact["year"].eqNullSafe(in_touched["__y"]) & fact["month"].eqNullSafe(in_touched["__m"]), "left_semi"
-    )
-    result = merge.merge_scd1(staging, target, on_duplicate="unique")
-    merged = _checkpointed(result.merged)
-    obs = Observation("scd1")
-    counted = merged.observe(
-        obs,
-        *[F.count_if(F.col("change_type") == t).alias(f"fact_{t}") for t in (merge.INSERT, merge.UPDATE, merge.UNCHANGED, merge.RETAINED)],
-    )
-    write_table(counted.drop("change_type"), layout.sales_fact, partition_by=schemas.SALES_FACT_PARTITIONS)
-    outcome.metrics.update(obs.get)
+    classified = publish.classify(staged, fact.columns, "record_hash", schemas.SALES_FACT_PARTITIONS)
+    counts = publish.rewrite_touched(fact, classified, layout.sales_fact, "trx_id", schemas.SALES_FACT_PARTITIONS)
+    outcome.metrics.update({f"fact_{k}": v for k, v in counts.items()})
 
     # type 2 merge of the employee dimension
     current_dim = read_table(spark, layout.employee_dim)

@@ -557,4 +557,5 @@ def oracle_queries() -> dict[str, str]:
         "incremental_slice": incremental_slice(),
         "batch_first_load": batch_first_load(),
         "batch_incremental": batch_incremental(),
+        "stream_scd1_merge": scd1_merge(),
     }

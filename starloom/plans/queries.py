@@ -245,6 +245,32 @@ def batch_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.published(spark, root, "sales_fact")
 
 
+# ---------------------------------------------------------------- streaming form (slice 6)
+
+
+def stream_scd1_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The type 1 merge of ``scd1_merge``, fed as a file stream in several micro-batches."""
+    from starloom.streaming.merge_stream import stream_upsert
+
+    root = scratch_path(spark, "stream")
+    target = _scd1_side(fx.sales_before(spark, sf_dir))
+    write_table(target, f"{root}/sales_fact", partition_by=["year", "month"])
+    incoming = fx.sales_after(spark, sf_dir)
+    # the delivery arrives as 8 files, two per micro-batch
+    write_table(incoming.repartition(8, "trx_id"), f"{root}/incoming", rebalance=False)
+    query = stream_upsert(
+        spark,
+        f"{root}/incoming",
+        incoming.schema,
+        f"{root}/sales_fact",
+        f"{root}/_stream_checkpoint",
+        prepare=_scd1_side,
+        max_files_per_trigger=2,
+    )
+    query.awaitTermination()
+    return read_table(spark, f"{root}/sales_fact")
+
+
 QUERIES: dict[str, Query] = {
     "source_csv_roundtrip": _roundtrip("csv"),
     "source_json_roundtrip": _roundtrip("json"),
@@ -279,4 +305,5 @@ QUERIES: dict[str, Query] = {
     "incremental_slice": incremental_slice,
     "batch_first_load": batch_first_load,
     "batch_incremental": batch_incremental,
+    "stream_scd1_merge": stream_scd1_merge,
 }
