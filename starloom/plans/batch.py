@@ -98,10 +98,10 @@ def run_batch(
 
     # 3. quality split and audit
     split = quality.split_employees(employees, tie_breakers=tie_breakers)
-    audit_obs = Observation("audit")
+    audit_obs = Observation()
     audit = quality.audit_for_csv(split.audit).observe(audit_obs, F.count(F.lit(1)).alias("bad_rows"))
     write_table(audit, layout.audit, fmt="csv", mode=WriteMode.OVERWRITE, rebalance=False)
-    outcome.metrics.update(audit_obs.get)
+    outcome.metrics.update(publish.observed(audit_obs))
 
     # 4. surrogate keys, stable across runs
     key_map = read_if_exists(spark, layout.key_map)
@@ -126,10 +126,10 @@ def run_batch(
 def _first_load(spark, layout, valid, staged_employees, sales, outcome) -> None:
     write_table(staged_employees, layout.employee_dim, partition_by=schemas.EMPLOYEE_DIM_PARTITIONS)
     fact = facts.sales_staging(facts.add_year_month(facts.assign_employee(sales, valid)))
-    obs = Observation("fact")
+    obs = Observation()
     fact = fact.observe(obs, F.count(F.lit(1)).alias("fact_rows"))
     write_table(fact, layout.sales_fact, partition_by=schemas.SALES_FACT_PARTITIONS)
-    outcome.metrics.update(obs.get)
+    outcome.metrics.update(publish.observed(obs))
     write_table(dims.date_dim(sales), layout.date_dim, rebalance=False)
 
 
@@ -162,13 +162,13 @@ def _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback,
     dim_cols = list(staged_employees.columns)
     scd2 = merge.merge_scd2(staged_employees, current_dim.select(*dim_cols), as_of)
     scd2 = _checkpointed(scd2)
-    obs2 = Observation("scd2")
+    obs2 = Observation()
     counted2 = scd2.observe(
         obs2,
         *[F.count_if(F.col("change_type") == t).alias(f"employee_{t}") for t in (merge.NEW, merge.CHANGED, merge.SAME, merge.KEPT)],
     )
     write_table(counted2.drop("change_type"), layout.employee_dim, partition_by=schemas.EMPLOYEE_DIM_PARTITIONS)
-    outcome.metrics.update(obs2.get)
+    outcome.metrics.update(publish.observed(obs2))
 
     # dates of this slice together with the stored ones
     stored_dates = read_if_exists(spark, layout.date_dim)

@@ -28,8 +28,8 @@ from starloom.sources.io import WriteMode, read_if_exists, write_table
 
 @dataclass
 class Classified:
-    changes: DataFrame  # staging rows that insert or update, staging columns only
-    touched: DataFrame  # distinct partition values to rewrite
+    changes: DataFrame  # staging rows that insert or update (checkpointed), staging columns only
+    touched: list[tuple]  # distinct partition values to rewrite (calendar months: a bounded set)
 
 
 def known_rows(
@@ -44,25 +44,50 @@ def known_rows(
     )
 
 
+def _checkpointed(df: DataFrame) -> DataFrame:
+    shared_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def classify(
     looked_up: DataFrame,
     columns: Sequence[str],
     hash_col: str = "record_hash",
     partition_cols: Sequence[str] = ("year", "month"),
 ) -> Classified:
-    """Split staging rows (already left-joined with ``known_rows``) into changes and touched partitions."""
+    """Split staging rows (already left-joined with ``known_rows``) into changes and touched partitions.
+
+    The changes are checkpointed once, so the narrow lookup join runs a single time; only the
+    distinct partition values of the changes reach the driver.
+    """
     is_insert = F.col("__known_hash").isNull()
     is_update = ~is_insert & (F.col(hash_col) != F.col("__known_hash"))
-    changes = looked_up.filter(is_insert | is_update)
-    touched = changes.select(
-        *[F.when(is_insert, F.col(c)).otherwise(F.col(f"__known_{c}")).alias(c) for c in partition_cols]
-    ).distinct()
+    changes = looked_up.filter(is_insert | is_update).select(
+        *columns,
+        *[F.when(is_insert, F.col(c)).otherwise(F.col(f"__known_{c}")).alias(f"__touched_{c}") for c in partition_cols],
+    )
+    changes = _checkpointed(changes)
+    touched = [tuple(r) for r in changes.select(*[f"__touched_{c}" for c in partition_cols]).distinct().collect()]
     return Classified(changes=changes.select(*columns), touched=touched)
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def partition_predicate(partition_cols: Sequence[str], values: list[tuple]):
+    """Literal predicate selecting exactly the listed partitions (null-safe), for static pruning."""
+    pred = F.lit(False)
+    for value in values:
+        one = F.lit(True)
+        for c, v in zip(partition_cols, value):
+            one = one & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)))
+        pred = pred | one
+    return pred
+
+
+def observed(obs: Observation) -> dict:
+    """Observed metrics, or {} when the plan was empty and produced none."""
+    try:
+        return dict(obs.get)
+    except Exception:
+        return {}
 
 
 def rewrite_touched(
@@ -74,20 +99,17 @@ def rewrite_touched(
 ) -> dict:
     """Merge the changes into the touched partitions of ``stored`` and overwrite those partitions."""
     cols = list(partition_cols)
-    touched = F.broadcast(classified.touched.select(*[F.col(c).alias(f"__t_{c}") for c in cols]))
-    cond = None
-    for c in cols:
-        part = stored[c].eqNullSafe(touched[f"__t_{c}"])
-        cond = part if cond is None else cond & part
-    target = stored.join(touched, cond, "left_semi")
+    counts = {t: 0 for t in (merge.INSERT, merge.UPDATE, merge.UNCHANGED, merge.RETAINED)}
+    if not classified.touched:
+        return counts  # nothing changed: nothing is rewritten
+    target = stored.filter(partition_predicate(cols, classified.touched))
     result = merge.merge_scd1(classified.changes.select(*stored.columns), target, key=key, on_duplicate="unique")
     merged = _checkpointed(result.merged)
-    obs = Observation("upsert")
-    counted = merged.observe(
-        obs, *[F.count_if(F.col("change_type") == t).alias(t) for t in (merge.INSERT, merge.UPDATE, merge.UNCHANGED, merge.RETAINED)]
-    )
+    obs = Observation()
+    counted = merged.observe(obs, *[F.count_if(F.col("change_type") == t).alias(t) for t in counts])
     write_table(counted.drop("change_type"), path, mode=WriteMode.OVERWRITE, partition_by=cols)
-    return dict(obs.get)
+    counts.update(observed(obs))
+    return counts
 
 
 def upsert_partitioned(

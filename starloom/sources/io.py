@@ -47,10 +47,13 @@ def read_table(
     if fmt == "csv":
         reader = reader.option("header", True)
     if schema is not None:
-        if corrupt_column and isinstance(schema, StructType):
-            from pyspark.sql.types import StringType, StructField
+        if corrupt_column and fmt in ("csv", "json"):
+            if isinstance(schema, StructType):
+                from pyspark.sql.types import StringType, StructField
 
-            schema = StructType(list(schema.fields) + [StructField(corrupt_column, StringType(), True)])
+                schema = StructType(list(schema.fields) + [StructField(corrupt_column, StringType(), True)])
+            else:
+                schema = f"{schema}, {corrupt_column} string"
         reader = reader.schema(schema)
     elif fmt == "csv" and infer_schema:
         reader = reader.option("inferSchema", True)
