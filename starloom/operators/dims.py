@@ -67,14 +67,21 @@ def assign_keys(
     keys: Sequence[str],
     key_map: DataFrame | None = None,
     id_col: str = "emp_id",
+    keys_unique: bool = False,
 ) -> KeyAssignment:
     """Dense ids ordered by ``keys`` (ascending, nulls first), stable across runs.
 
     Without a stored map the ids are 1..N in key order, equal to
     ``row_number() over (order by keys)``. With a map, known keys keep their id and new keys
     get ``max(id) + row_number() over (order by keys)``. Keys match null-safely.
+    ``keys_unique=True`` (one row per key, as after deduplication) numbers the rows directly on a
+    first run, without the distinct pass and the join back.
     """
     keys = list(keys)
+    if key_map is None and keys_unique:
+        rows = distributed_row_number(df, [], keys, out=id_col)
+        rows = rows.select(id_col, *df.columns)
+        return KeyAssignment(rows=rows, new_keys=rows.select(*keys, id_col))
     distinct_keys = df.select(*keys).distinct()
     if key_map is None:
         fresh = distinct_keys

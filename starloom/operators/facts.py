@@ -42,8 +42,8 @@ def assign_employee(sales: DataFrame, employees: DataFrame, key: str = "trx_id",
     bigint before ``abs`` (abs of -2^31 overflows an int), and N = 0 gives a null id instead of a
     division by zero.
     """
-    n = employee_count(employees)
-    emp = F.when(n > 0, F.abs(F.hash(F.col(key)).cast("bigint")) % n + F.lit(1))
+    n = F.nullif(employee_count(employees), F.lit(0))  # one subquery; 0 -> null -> null id
+    emp = F.abs(F.hash(F.col(key)).cast("bigint")) % n + F.lit(1)
     return sales.withColumn(out, emp.cast("bigint"))
 
 

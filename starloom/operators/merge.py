@@ -37,11 +37,16 @@ INSERT, UPDATE, UNCHANGED, RETAINED = "insert", "update", "unchanged", "retained
 
 
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """One row per key: the greatest by ``order`` (a struct compare, nulls smallest)."""
+    """One row per key: the greatest by ``order`` (a struct compare, nulls smallest).
+
+    The grouping column itself is returned as the key, so a following join on ``key`` reuses
+    this aggregate's hash partitioning and ordering instead of shuffling again.
+    """
+    others = [c for c in df.columns if c != key]
     return (
         df.groupBy(key)
-        .agg(F.max_by(F.struct(*df.columns), F.struct(*[F.col(c) for c in order])).alias("__r"))
-        .select(*[F.col(f"__r.{c}").alias(c) for c in df.columns])
+        .agg(F.max_by(F.struct(*others), F.struct(*[F.col(c) for c in order])).alias("__r"))
+        .select(*[F.col(key) if c == key else F.col(f"__r.{c}").alias(c) for c in df.columns])
     )
 
 

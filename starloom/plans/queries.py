@@ -132,7 +132,7 @@ def sales_city_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def employee_dim_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.assign_keys(valid_employees(spark, sf_dir), schemas.EMPLOYEE_KEY).rows
+    return dims.assign_keys(valid_employees(spark, sf_dir), schemas.EMPLOYEE_KEY, keys_unique=True).rows
 
 
 def sales_fact_assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
