@@ -147,7 +147,7 @@ def _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback,
     keyed = merge.latest_per_key(keyed, "trx_id", ["transacted_at"])
 
     known = publish.known_rows(fact, "trx_id", "record_hash", schemas.SALES_FACT_PARTITIONS, extra={"emp_id": "__known_emp"})
-    looked_up = keyed.join(known, "trx_id", "left")
+    looked_up = publish.lookup(keyed, known, "trx_id")
     # an existing sale keeps its employee; a new one gets the hash assignment of this run
     assigned = facts.assign_employee(looked_up, valid, out="__new_emp").withColumn(
         "emp_id", F.coalesce(F.col("__known_emp"), F.col("__new_emp"))

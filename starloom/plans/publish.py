@@ -44,6 +44,18 @@ def known_rows(
     )
 
 
+def lookup(staging: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Staging rows with their stored key columns (null when the key is new).
+
+    The stored side is first cut to the keys of this batch with a semi join: the batch is the
+    build side, so once AQE has measured it small it is broadcast and the (large) stored table
+    is only scanned, never shuffled; a runtime bloom filter can also prune the scan. The second
+    join then involves batch-sized inputs only.
+    """
+    hits = known.join(staging.select(key), key, "left_semi")
+    return staging.join(hits, key, "left")
+
+
 def _checkpointed(df: DataFrame) -> DataFrame:
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
@@ -135,6 +147,6 @@ def upsert_partitioned(
     if stored is None:
         write_table(staging, path, mode=WriteMode.OVERWRITE, partition_by=list(partition_cols))
         return {merge.INSERT: None}
-    looked_up = staging.join(known_rows(stored, key, hash_col, partition_cols), key, "left")
+    looked_up = lookup(staging, known_rows(stored, key, hash_col, partition_cols), key)
     classified = classify(looked_up, staging.columns, hash_col, partition_cols)
     return rewrite_touched(stored, classified, path, key, partition_cols)
