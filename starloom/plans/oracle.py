@@ -421,7 +421,7 @@ def _t(cols: str, alias: str) -> str:
     return ", ".join(f"{alias}.{c.strip()}" for c in cols.split(","))
 
 
-SCD2_BODY = f"""
+SCD2_TEMPLATE = """
 select *, 'history' as change_type from tgt where not is_current
 union all
 select t.*, 'retained' from cur t where not exists (select 1 from stg s where s.emp_id = t.emp_id)
@@ -437,6 +437,15 @@ union all
 select s.*, {AS_OF}, cast(null as date), true, 'new' from stg s where not exists (select 1 from cur t where t.emp_id = s.emp_id)"""
 
 
+def scd2_body(as_of: str) -> str:
+    return SCD2_TEMPLATE.replace("{_t(EMP_ATTRS, 't')}", _t(EMP_ATTRS, "t")).replace(
+        "{_t(EMP_ATTRS, 's')}", _t(EMP_ATTRS, "s")
+    ).replace("{AS_OF}", as_of)
+
+
+SCD2_BODY = scd2_body(AS_OF)
+
+
 def scd2_merge() -> str:
     return with_fixtures(["fx_emp_before", "fx_emp_after"], f"select * from ({SCD2_BODY})", _SCD2_SIDES)
 
@@ -522,6 +531,62 @@ def batch_incremental() -> str:
     return with_fixtures(["fx_employees", "fx_sales_before", "fx_sales_after"], "select * exclude (change_type) from merged", ctes)
 
 
+KEY_ORDER = "department_id nulls first, phone nulls first, email nulls first"
+NULL_SAFE_KEY = (
+    "{a}.department_id is not distinct from {b}.department_id and {a}.phone is not distinct from {b}.phone "
+    "and {a}.email is not distinct from {b}.email"
+)
+
+
+def batch_audit() -> str:
+    body = f"""
+select {EMP_COLS_Q},
+       concat_ws(',', case when email is null then 'email_null' end,
+                      case when email is not null and not {EMAIL_OK} then 'email_invalid' end,
+                      case when row_num > 1 then 'duplicate' end) as reasons
+from e1_ranked
+where row_num > 1 or not coalesce({EMAIL_OK}, false)"""
+    extra = ["emp1 as (select * from fx_employees where src_id % 11 <> 0)"] + _ranked_valid("e1", "emp1")
+    return with_fixtures(["fx_employees"], body, extra)
+
+
+def batch_employee_dim() -> str:
+    ctes = (
+        ["emp1 as (select * from fx_employees where src_id % 11 <> 0)"]
+        + _ranked_valid("e1", "emp1")
+        + _ranked_valid("e2", "fx_employees")
+        + [
+            f"ids1 as (select cast(row_number() over (order by {KEY_ORDER}) as bigint) as emp_id, * from e1_valid)",
+            f"""tgt as (select emp_id, {EMP_COLS}, {_hash(EMP_HASH)} as record_hash, {AS_OF} as effective_start_date,
+                cast(null as date) as effective_end_date, true as is_current from ids1)""",
+            "cur as (select * from tgt where is_current)",
+            f"""new_keys as (select department_id, phone, email from e2_valid v
+                where not exists (select 1 from ids1 i where {NULL_SAFE_KEY.format(a='i', b='v')}))""",
+            f"""key_map as (select department_id, phone, email, emp_id from ids1
+                union all
+                select department_id, phone, email,
+                       (select max(emp_id) from ids1) + row_number() over (order by {KEY_ORDER}) from new_keys)""",
+            f"""stg as (select m.emp_id, {_t(EMP_COLS, 'v')}, {_hash(['v.' + c for c in EMP_HASH])} as record_hash
+                from e2_valid v join key_map m on {NULL_SAFE_KEY.format(a='m', b='v')})""",
+        ]
+    )
+    next_day = "date '2024-06-02'"
+    body = f"select * exclude (change_type) from ({scd2_body(next_day)})"
+    return with_fixtures(["fx_employees"], body, ctes)
+
+
+def batch_date_dim() -> str:
+    body = """
+select d as "date", cast(day(d) as integer) as day, cast(month(d) as integer) as month,
+       cast(year(d) as integer) as year, cast(quarter(d) as integer) as quarter
+from (select cast(transacted_at as date) as d from s1 where transacted_at is not null
+      union
+      select cast(transacted_at as date) from fx_sales_after
+      where transacted_at > (select max(transacted_at) from s1) - interval 365 days)"""
+    ctes = ["s1 as (select * from fx_sales_before where transacted_at is null or transacted_at < timestamp '2001-01-01')"]
+    return with_fixtures(["fx_sales_before", "fx_sales_after"], body, ctes)
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "source_csv_roundtrip": roundtrip(),
@@ -558,4 +623,7 @@ def oracle_queries() -> dict[str, str]:
         "batch_first_load": batch_first_load(),
         "batch_incremental": batch_incremental(),
         "stream_scd1_merge": scd1_merge(),
+        "batch_audit": batch_audit(),
+        "batch_employee_dim": batch_employee_dim(),
+        "batch_date_dim": batch_date_dim(),
     }

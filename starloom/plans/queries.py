@@ -271,6 +271,38 @@ def stream_scd1_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{root}/sales_fact")
 
 
+_TWO_RUNS: dict[str, str] = {}
+
+
+def _two_runs(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a first load followed by an incremental load (run once per input folder)."""
+    if sf_dir not in _TWO_RUNS:
+        root = scratch_path(spark, "batch-two-runs")
+        _run1(spark, sf_dir, root)
+        emp, sales, cities = fx.batch_inputs(spark, sf_dir, 2)
+        batch.run_batch(spark, emp, sales, cities, root, fx.AS_OF + dt.timedelta(days=1), lookback=_LOOKBACK, tie_breakers=_TIE)
+        _TWO_RUNS[sf_dir] = root
+    return _TWO_RUNS[sf_dir]
+
+
+def batch_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit CSV of the first load, read back."""
+    root = scratch_path(spark, "batch-audit")
+    _run1(spark, sf_dir, root)
+    schema = quality.audit_for_csv(_split(spark, sf_dir).audit).schema
+    return read_table(spark, batch.Layout(root).audit, fmt="csv", schema=schema)
+
+
+def batch_employee_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Employee dimension after two loads: key map ids, type 2 versions."""
+    return batch.published(spark, _two_runs(spark, sf_dir), "employee_dim")
+
+
+def batch_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date dimension after two loads: stored dates kept, slice dates added."""
+    return batch.published(spark, _two_runs(spark, sf_dir), "date_dim")
+
+
 QUERIES: dict[str, Query] = {
     "source_csv_roundtrip": _roundtrip("csv"),
     "source_json_roundtrip": _roundtrip("json"),
@@ -306,4 +338,7 @@ QUERIES: dict[str, Query] = {
     "batch_first_load": batch_first_load,
     "batch_incremental": batch_incremental,
     "stream_scd1_merge": stream_scd1_merge,
+    "batch_audit": batch_audit,
+    "batch_employee_dim": batch_employee_dim,
+    "batch_date_dim": batch_date_dim,
 }

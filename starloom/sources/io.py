@@ -96,8 +96,13 @@ def write_table(
     if rebalance and partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
-    if fmt in ("csv",):
-        writer = writer.option("header", True)
+    if fmt == "csv":
+        # the CSV writer trims values by default, which would alter data such as " Ann "
+        writer = (
+            writer.option("header", True)
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+        )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
         if dynamic_overwrite:
