@@ -38,16 +38,17 @@ def stored_mark(control: DataFrame | None, key: str = SALES_MARK_KEY) -> Column:
     return latest_marks(control).filter(F.col("mark_key") == key).select("mark_value").scalar()
 
 
-def decide(batch: DataFrame, control: DataFrame | None, key: str = SALES_MARK_KEY) -> DataFrame:
+def decide(batch: DataFrame, control: DataFrame | None, key: str = SALES_MARK_KEY, mark_col: str = "max_ts") -> DataFrame:
     """C4: one row ``(stored_mark, batch_max, decision)``.
 
     no stored mark -> first_load; batch maximum after the mark -> incremental; otherwise (also
-    for an empty batch) -> skip.
+    for an empty batch) -> skip. ``mark_col`` picks the batch value compared and stored:
+    ``max_ts`` (exact) or ``day_mark`` (end of the greatest day).
     """
     mark = stored_mark(control, key)
     return batch.select(
         mark.alias("stored_mark"),
-        F.col("max_ts").alias("batch_max"),
+        F.col(mark_col).alias("batch_max"),
     ).select(
         "stored_mark",
         "batch_max",

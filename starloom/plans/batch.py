@@ -77,13 +77,23 @@ def run_batch(
     tie_breakers: list[str] | None = None,
     strict_types: bool = False,
     stable_event_time: bool = False,
+    mark_granularity: str = "exact",
+    natural_key: list[str] | None = None,
 ) -> BatchOutcome:
     """Run one load into ``root``; returns the decision and the observed counts.
 
     ``lookback`` re-reads source rows up to that long before the stored mark (late corrections).
     ``stable_event_time=True`` asserts that a sale never changes its ``transacted_at``; the key
     lookup of the merge then reads only fact partitions at or after the slice's lower bound.
+    ``mark_granularity="day"`` stores the last microsecond of the greatest date instead of the
+    exact greatest timestamp (later rows of that day then count as processed).
+    ``natural_key`` identifies a person for the surrogate key (default: the dedup business key).
+    A narrower key such as ``["email"]`` tracks transfers as new versions; rows that share it
+    after the quality split are deduplicated again with the same preference.
     """
+    if mark_granularity not in ("exact", "day"):
+        raise ValueError("mark_granularity must be 'exact' or 'day'")
+    natural_key = list(natural_key or schemas.EMPLOYEE_KEY)
     layout = Layout(root)
     quality.check_schema(employees, schemas.EMPLOYEES, strict_types)
     quality.check_schema(sales, schemas.SALES, strict_types)
@@ -91,7 +101,7 @@ def run_batch(
 
     ctl = control.read_control(spark, layout.control)
     batch = facts.batch_max(sales)
-    row = control.decide(batch, ctl).first()
+    row = control.decide(batch, ctl, mark_col="day_mark" if mark_granularity == "day" else "max_ts").first()
     outcome = BatchOutcome(row["decision"], row["stored_mark"], row["batch_max"])
     if outcome.decision == control.SKIP:
         return outcome
@@ -105,10 +115,13 @@ def run_batch(
 
     # 4. surrogate keys, stable across runs
     key_map = read_if_exists(spark, layout.key_map)
-    assignment = dims.assign_keys(split.valid, schemas.EMPLOYEE_KEY, key_map)
+    people = split.valid
+    if natural_key != schemas.EMPLOYEE_KEY:
+        people = quality.survivors(people, natural_key, tie_breakers=tie_breakers)
+    assignment = dims.assign_keys(people, natural_key, key_map)
     write_table(assignment.new_keys, layout.key_map, mode=WriteMode.APPEND, rebalance=False)
     key_map = read_table(spark, layout.key_map)
-    with_ids = dims.attach_keys(split.valid, key_map, schemas.EMPLOYEE_KEY)
+    with_ids = dims.attach_keys(people, key_map, natural_key)
     staged_employees = facts.employee_staging(with_ids.select(*_employee_columns(with_ids)), as_of)
 
     city_dim = dims.city_dim(cities)

@@ -87,3 +87,15 @@ def test_stream_replay_is_noop(spark):
     second = upsert_partitioned(spark, staging, path)
     assert second["insert"] == 0 and second["update"] == 0
     assert rows(batch.read_table(spark, path)) == once
+
+
+def test_day_granularity_mark_and_email_key(spark):
+    root = scratch_path(spark, "t-day")
+    emp, sales, cities = fx.batch_inputs(spark, SF, 1)
+    out = batch.run_batch(
+        spark, emp, sales, cities, root, fx.AS_OF, tie_breakers=["src_id"], mark_granularity="day", natural_key=["email"]
+    )
+    assert out.batch_max.time() == dt.time(23, 59, 59, 999999)
+    dim = batch.published(spark, root, "employee_dim")
+    assert dim.groupBy("email").count().filter("count > 1").count() == 0
+    assert control.latest_marks(control.read_control(spark, f"{root}/control")).first()["mark_value"] == out.batch_max

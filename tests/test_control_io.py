@@ -103,3 +103,15 @@ def test_delta_reports_missing_connector(spark):
 
 def test_read_if_exists(spark):
     assert read_if_exists(spark, scratch_path(spark, "missing")) is None
+
+
+def test_touched_partitions_are_pruned_statically(spark):
+    from starloom.plans.publish import partition_predicate
+
+    path = scratch_path(spark, "touched")
+    df = spark.createDataFrame([(2023, 12, 1), (2024, 1, 2), (None, None, 3)], "year int, month int, v int")
+    write_table(df, path, partition_by=["year", "month"])
+    pruned = read_table(spark, path).filter(partition_predicate(["year", "month"], [(2024, 1), (None, None)]))
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    assert sorted(r.v for r in pruned.collect()) == [2, 3]

@@ -118,3 +118,18 @@ def test_scd2_second_change_same_day_replaces(spark):
     staging = spark.createDataFrame([(1, "v2", "b", AS_OF, None, True)], EMP)
     out = merge.merge_scd2(staging, target, AS_OF)
     assert rows(out, "name", "is_current") == [("v2", True)]
+
+
+def test_scd2_one_join_in_plan(spark):
+    target = spark.createDataFrame([(1, "a", "h", OLD, None, True), (1, "z", "y", dt.date(2023, 1, 1), OLD, False)], EMP)
+    plan = merge.merge_scd2(target.filter("is_current"), target, AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") + plan.count("BroadcastHashJoin") == 1
+
+
+def test_operators_chain_with_transform(spark):
+    from starloom.operators import quality
+
+    df = spark.createDataFrame([(1, "A", "X", "t", dt.date(1990, 1, 1), "a@b.c", "1", 1, 1)],
+                               "src_id int, first_name string, last_name string, job_title string, dob date, email string, phone string, salary int, department_id int")
+    out = df.transform(quality.clean_employees).transform(quality.flag_email).transform(quality.rank_employees)
+    assert out.first()["row_num"] == 1 and out.first()["is_valid_email"] is True
