@@ -16,7 +16,12 @@ as follows:
 3. A count per (key, partition) gives each partition's run length; a running sum over the
    partitions of a key (at most ``n`` rows per key) gives the offset of the run.
 4. Join the offsets back on (key, partition). With no key this table has at most ``n`` rows and
-   is broadcast; with keys it is joined by a balanced shuffle on (key, partition).
+   is broadcast; with keys it is joined by a balanced shuffle on (key, partition), which AQE
+   turns into a broadcast when the measured table is small.
+
+The count side reads only the key and order columns, so Spark plans it as a second, narrow
+range exchange rather than reusing the wide one. Both sample the same rows of the same input
+splits with the same seeds, so they get the same boundaries and the same positions.
 
 The order must be total (end it with a unique column or all columns), otherwise rows that tie
 get their numbers in an arbitrary order, exactly as with the window function.

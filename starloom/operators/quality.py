@@ -6,9 +6,9 @@ Split of the employee input (V4), all lazy:
   ``WindowGroupLimit`` before the shuffle, so a hot key is cut to one row per map task first.
 * valid     = survivors with a valid e-mail. The e-mail is part of the key, so a key group is
   all valid or all invalid; the validity filter is pushed below the window by Catalyst.
-* duplicates = input EXCEPT ALL survivors: a multiset difference planned as a partial hash
-  aggregate over whole rows, so no task has to hold a key group.
-* audit     = duplicates and invalid survivors, one row per bad record with all its reasons.
+* audit     = duplicates (input EXCEPT ALL survivors) and invalid survivors, one row per bad
+  record with all its reasons, from one partial hash aggregate over whole rows, so no task has
+  to hold a key group.
 
 valid + audit = input, row for row, also for null e-mails (reason ``email_null``).
 """
@@ -214,16 +214,30 @@ def split_employees(
     tie_breakers: Sequence[str] | None = None,
     email_col: str = "email",
 ) -> QualitySplit:
-    """V4: valid employees (deduplicated, valid e-mail) and the audit of every other row."""
+    """V4: valid employees (deduplicated, valid e-mail) and the audit of every other row.
+
+    The audit comes from ONE aggregate over ``input (+1) UNION ALL survivors (-1)`` grouped by
+    the whole row: a group of ``n`` identical input rows of which ``k`` survived yields
+    ``n - k`` duplicates, plus the ``k`` survivors when their e-mail is invalid. This is the
+    multiset difference ``input EXCEPT ALL survivors`` and the invalid survivors in one
+    partial-aggregated pass, with the survivor window evaluated once.
+    """
     kept = survivors(df, keys, order, tie_breakers)
     email = F.col(email_col)
     valid = kept.filter(email_is_valid(email))
-    duplicates = df.exceptAll(kept).withColumn("__dup", F.lit(True))
-    invalid_kept = kept.filter(~F.coalesce(email_is_valid(email), F.lit(False))).withColumn("__dup", F.lit(False))
+    cols = df.columns
+    counted = (
+        df.withColumn("__w", F.lit(1))
+        .unionByName(kept.withColumn("__w", F.lit(-1)))
+        .groupBy(*cols)
+        .agg(F.count_if(F.col("__w") > 0).alias("__n"), F.count_if(F.col("__w") < 0).alias("__k"))
+    )
+    copies = counted.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
+    is_dup = F.col("__i") > F.col("__k")
     audit = (
-        duplicates.unionByName(invalid_kept)
-        .withColumn("reasons", _reasons(email, F.col("__dup")))
-        .drop("__dup")
+        copies.filter(is_dup | ~F.coalesce(email_is_valid(email), F.lit(False)))
+        .withColumn("reasons", _reasons(email, is_dup))
+        .select(*cols, "reasons")
     )
     return QualitySplit(valid=valid, audit=audit)
 

@@ -112,10 +112,12 @@ def run_batch(
     audit = quality.audit_for_csv(split.audit).observe(audit_obs, F.count(F.lit(1)).alias("bad_rows"))
     write_table(audit, layout.audit, fmt="csv", mode=WriteMode.OVERWRITE, rebalance=False)
     outcome.metrics.update(publish.observed(audit_obs))
+    # the valid set feeds keys, the fact's employee count and the staging: materialise it once
+    valid = _checkpointed(split.valid)
 
     # 4. surrogate keys, stable across runs
     key_map = read_if_exists(spark, layout.key_map)
-    people = split.valid
+    people = valid
     if natural_key != schemas.EMPLOYEE_KEY:
         people = quality.survivors(people, natural_key, tie_breakers=tie_breakers)
     assignment = dims.assign_keys(people, natural_key, key_map)
@@ -128,9 +130,9 @@ def run_batch(
     write_table(city_dim, layout.city_dim, partition_by=schemas.CITY_DIM_PARTITIONS)
 
     if outcome.decision == control.FIRST_LOAD:
-        _first_load(spark, layout, split.valid, staged_employees, sales, outcome)
+        _first_load(spark, layout, valid, staged_employees, sales, outcome)
     else:
-        _incremental(spark, layout, split.valid, staged_employees, sales, as_of, lookback, stable_event_time, outcome)
+        _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback, stable_event_time, outcome)
 
     control.commit_mark(spark, layout.control, control.SALES_MARK_KEY, outcome.batch_max)
     return outcome
