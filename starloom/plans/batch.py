@@ -158,7 +158,8 @@ def _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback,
         fact = fact.filter(control.partition_floor(lower))
     keyed = batch.filter(F.col("trx_id").isNotNull())
     rejected = batch.filter(F.col("trx_id").isNull())
-    write_table(rejected, layout.rejects, mode=WriteMode.OVERWRITE, rebalance=False)
+    if not rejected.isEmpty():
+        write_table(rejected, layout.rejects, mode=WriteMode.OVERWRITE, rebalance=False)
     keyed = merge.latest_per_key(keyed, "trx_id", ["transacted_at"])
 
     known = publish.known_rows(fact, "trx_id", "record_hash", schemas.SALES_FACT_PARTITIONS, extra={"emp_id": "__known_emp"})

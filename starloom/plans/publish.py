@@ -140,7 +140,8 @@ def upsert_partitioned(
     (default: the table folder name + ``_rejects``) instead of being merged.
     """
     rejects = staging.filter(F.col(key).isNull())
-    write_table(rejects, rejects_path or path.rstrip("/") + "_rejects", mode=WriteMode.APPEND, rebalance=False)
+    if not rejects.isEmpty():
+        write_table(rejects, rejects_path or path.rstrip("/") + "_rejects", mode=WriteMode.APPEND, rebalance=False)
     staging = staging.filter(F.col(key).isNotNull())
     staging = merge.latest_per_key(staging, key, [c for c in dedup_order if c in staging.columns])
     stored = read_if_exists(spark, path)
