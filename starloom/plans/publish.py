@@ -84,13 +84,26 @@ def classify(
 
 
 def partition_predicate(partition_cols: Sequence[str], values: list[tuple]):
-    """Literal predicate selecting exactly the listed partitions (null-safe), for static pruning."""
+    """Literal predicate selecting exactly the listed partitions (null-safe), for static pruning.
+
+    Grouped by the leading columns, e.g. ``(year = 1998 AND month IN (1, 2)) OR ...``: one term
+    per year instead of one per month keeps the expression small for the optimizer.
+    """
+    cols = list(partition_cols)
+    if not values:
+        return F.lit(False)
+    head = F.col(cols[0])
+    if len(cols) == 1:
+        present = sorted({v[0] for v in values if v[0] is not None})
+        pred = head.isin(present) if present else F.lit(False)
+        return pred | head.isNull() if any(v[0] is None for v in values) else pred
+    groups: dict = {}
+    for v in values:
+        groups.setdefault(v[0], []).append(v[1:])
     pred = F.lit(False)
-    for value in values:
-        one = F.lit(True)
-        for c, v in zip(partition_cols, value):
-            one = one & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)))
-        pred = pred | one
+    for lead in sorted(groups, key=lambda x: (x is None, x)):
+        match = head.isNull() if lead is None else head == F.lit(lead)
+        pred = pred | (match & partition_predicate(cols[1:], groups[lead]))
     return pred
 
 
