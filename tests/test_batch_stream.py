@@ -99,3 +99,29 @@ def test_day_granularity_mark_and_email_key(spark):
     dim = batch.published(spark, root, "employee_dim")
     assert dim.groupBy("email").count().filter("count > 1").count() == 0
     assert control.latest_marks(control.read_control(spark, f"{root}/control")).first()["mark_value"] == out.batch_max
+
+
+def test_stream_late_rows_are_merged_not_dropped(spark):
+    from starloom.plans.queries import _scd1_side
+    from starloom.sources.io import WriteMode, write_table
+    from starloom.streaming.merge_stream import stream_upsert
+
+    schema = "transacted_at timestamp_ntz, trx_id int, retailer_id int, description string, amount double, city_id int"
+    root = scratch_path(spark, "t-late")
+    first = spark.createDataFrame(
+        [(dt.datetime(2024, 3, 1), 1, 1, "a", 1.0, 1), (dt.datetime(2024, 3, 2), 2, 1, "b", 2.0, 1)], schema
+    )
+    late = spark.createDataFrame(
+        [
+            (dt.datetime(2023, 1, 1), 3, 1, "late", 3.0, 1),  # far behind the stream's event time
+            (dt.datetime(2024, 3, 5), 2, 1, "b-new", 2.5, 1),  # same key twice in one micro-batch:
+            (dt.datetime(2024, 3, 4), 2, 1, "b-old", 2.4, 1),  # the latest transacted_at wins
+        ],
+        schema,
+    )
+    write_table(first.coalesce(1), f"{root}/in", mode=WriteMode.APPEND, rebalance=False)
+    write_table(late.coalesce(1), f"{root}/in", mode=WriteMode.APPEND, rebalance=False)
+    q = stream_upsert(spark, f"{root}/in", first.schema, f"{root}/fact", f"{root}/ckpt", prepare=_scd1_side, max_files_per_trigger=1)
+    q.awaitTermination()
+    got = {r.trx_id: r.description for r in batch.read_table(spark, f"{root}/fact").collect()}
+    assert got == {1: "a", 2: "b-new", 3: "late"}
