@@ -177,13 +177,13 @@ def _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback,
     current_dim = read_table(spark, layout.employee_dim)
     dim_cols = list(staged_employees.columns)
     scd2 = merge.merge_scd2(staged_employees, current_dim.select(*dim_cols), as_of)
-    scd2 = _checkpointed(scd2)
+    scd2 = _checkpointed(scd2.hint("rebalance", *schemas.EMPLOYEE_DIM_PARTITIONS))
     obs2 = Observation()
     counted2 = scd2.observe(
         obs2,
         *[F.count_if(F.col("change_type") == t).alias(f"employee_{t}") for t in (merge.NEW, merge.CHANGED, merge.SAME, merge.KEPT)],
     )
-    write_table(counted2.drop("change_type"), layout.employee_dim, partition_by=schemas.EMPLOYEE_DIM_PARTITIONS)
+    write_table(counted2.drop("change_type"), layout.employee_dim, partition_by=schemas.EMPLOYEE_DIM_PARTITIONS, rebalance=False)
     outcome.metrics.update(publish.observed(obs2))
 
     # dates of this slice together with the stored ones

@@ -129,10 +129,12 @@ def rewrite_touched(
         return counts  # nothing changed: nothing is rewritten
     target = stored.filter(partition_predicate(cols, classified.touched))
     result = merge.merge_scd1(classified.changes.select(*stored.columns), target, key=key, on_duplicate="unique")
-    merged = _checkpointed(result.merged)
+    # rebalanced by partition before the checkpoint: the checkpoint files are already clustered
+    # by month, so the overwrite needs no further shuffle and writes few files per partition
+    merged = _checkpointed(result.merged.hint("rebalance", *cols))
     obs = Observation()
     counted = merged.observe(obs, *[F.count_if(F.col("change_type") == t).alias(t) for t in counts])
-    write_table(counted.drop("change_type"), path, mode=WriteMode.OVERWRITE, partition_by=cols)
+    write_table(counted.drop("change_type"), path, mode=WriteMode.OVERWRITE, partition_by=cols, rebalance=False)
     counts.update(observed(obs))
     return counts
 
