@@ -232,7 +232,7 @@ def split_employees(
         .groupBy(*cols)
         .agg(F.count_if(F.col("__w") > 0).alias("__n"), F.count_if(F.col("__w") < 0).alias("__k"))
     )
-    copies = counted.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
+    copies = expand_counts(counted, "__n", "__i")
     is_dup = F.col("__i") > F.col("__k")
     audit = (
         copies.filter(is_dup | ~F.coalesce(email_is_valid(email), F.lit(False)))
@@ -242,6 +242,30 @@ def split_employees(
     return QualitySplit(valid=valid, audit=audit)
 
 
+# rows one task generates for a repeated row before the expansion is split across tasks
+EXPAND_CHUNK = 100_000
+
+
+def expand_counts(counted: DataFrame, count_col: str, index_col: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
+    """One output row per copy: ``index_col`` runs 1..count for every input row.
+
+    Ordinary rows expand in place. A row repeated more than ``chunk`` times (a group of
+    identical copies) is first cut into chunk descriptors, which are spread over tasks by a
+    hash shuffle of that tiny set, and each task expands at most ``chunk`` copies.
+    """
+    n = F.col(count_col).cast("bigint")
+    small = counted.filter(n <= chunk).withColumn(index_col, F.explode(F.sequence(F.lit(1).cast("bigint"), n)))
+    big = counted.filter(n > chunk)
+    first = F.col("__chunk") * chunk + 1
+    chunks = (
+        big.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / F.lit(chunk)).cast("bigint"))))
+        .repartition(F.xxhash64(*counted.columns, "__chunk"))
+        .withColumn(index_col, F.explode(F.sequence(first, F.least(first + chunk - 1, n))))
+        .drop("__chunk")
+    )
+    return small.unionByName(chunks)
+
+
 def valid_employees(df: DataFrame, **kwargs) -> DataFrame:
     return split_employees(df, **kwargs).valid
 

@@ -61,3 +61,10 @@ def test_identical_hot_copies(spark):
     split = quality.split_employees(same)
     assert split.valid.count() == 1
     assert split.audit.count() == 29999
+
+
+def test_expand_counts_splits_large_groups(spark):
+    counted = spark.createDataFrame([("a", 3), ("b", 25)], "v string, n bigint")
+    out = quality.expand_counts(counted, "n", "i", chunk=10)
+    got = sorted((r.v, r.i) for r in out.collect())
+    assert got == sorted([("a", i) for i in range(1, 4)] + [("b", i) for i in range(1, 26)])
