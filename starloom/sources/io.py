@@ -117,10 +117,29 @@ def write_table(
         raise
 
 
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists, asked of the Hadoop file system of that path (any scheme).
+
+    Returns None when the JVM gateway is not available (Spark Connect); callers then probe by
+    reading.
+    """
+    sc = spark.sparkContext
+    try:
+        jvm, jsc = sc._jvm, sc._jsc
+    except Exception:  # pragma: no cover - Spark Connect
+        return None
+    if jvm is None or jsc is None:
+        return None
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(jsc.hadoopConfiguration()).exists(hpath))
+
+
 def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame | None:
     """The table at ``path``, or None when nothing has been written there yet."""
     from pyspark.errors import AnalysisException
 
+    if path_exists(spark, path) is False:
+        return None
     try:
         df = read_table(spark, path, fmt=fmt, schema=schema)
         if schema is None:
