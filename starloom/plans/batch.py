@@ -138,14 +138,42 @@ def run_batch(
     return outcome
 
 
+# Fixed order among several deliveries of one sale: latest transacted_at, then the values.
+_SALES_DEDUP_ORDER = ["transacted_at", "retailer_id", "description", "amount", "city_id"]
+
+
+def _sales_keyed(layout: Layout, sales: DataFrame, outcome: BatchOutcome) -> DataFrame:
+    """Sales that can enter the fact: null keys go to the rejects table, one row per key.
+
+    The fact keeps one row per trx_id (every later merge relies on it), so the first load
+    applies the same rules as the incremental merge.
+    """
+    rejected = sales.filter(F.col("trx_id").isNull())
+    if not rejected.isEmpty():
+        write_table(rejected, layout.rejects, mode=WriteMode.OVERWRITE, rebalance=False)
+    keyed = sales.filter(F.col("trx_id").isNotNull())
+    obs = Observation()
+    keyed = keyed.observe(obs, F.count(F.lit(1)).alias("sales_keyed_rows"))
+    outcome.metrics["_keyed_obs"] = obs
+    return merge.latest_per_key(keyed, "trx_id", _SALES_DEDUP_ORDER)
+
+
+def _collect_keyed_count(outcome: BatchOutcome) -> None:
+    obs = outcome.metrics.pop("_keyed_obs", None)
+    if obs is not None:
+        outcome.metrics.update(publish.observed(obs))
+
+
 def _first_load(spark, layout, valid, staged_employees, sales, outcome) -> None:
     write_table(staged_employees, layout.employee_dim, partition_by=schemas.EMPLOYEE_DIM_PARTITIONS)
-    fact = facts.sales_staging(facts.add_year_month(facts.assign_employee(sales, valid)))
+    keyed = _sales_keyed(layout, sales, outcome)
+    fact = facts.sales_staging(facts.add_year_month(facts.assign_employee(keyed, valid)))
     obs = Observation()
     fact = fact.observe(obs, F.count(F.lit(1)).alias("fact_rows"))
     write_table(fact, layout.sales_fact, partition_by=schemas.SALES_FACT_PARTITIONS)
     outcome.metrics.update(publish.observed(obs))
-    write_table(dims.date_dim(sales), layout.date_dim, rebalance=False)
+    _collect_keyed_count(outcome)
+    write_table(dims.date_dim(keyed), layout.date_dim, rebalance=False)
 
 
 def _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback, stable_event_time, outcome) -> None:
@@ -156,11 +184,7 @@ def _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback,
     fact = read_table(spark, layout.sales_fact)
     if stable_event_time:
         fact = fact.filter(control.partition_floor(lower))
-    keyed = batch.filter(F.col("trx_id").isNotNull())
-    rejected = batch.filter(F.col("trx_id").isNull())
-    if not rejected.isEmpty():
-        write_table(rejected, layout.rejects, mode=WriteMode.OVERWRITE, rebalance=False)
-    keyed = merge.latest_per_key(keyed, "trx_id", ["transacted_at"])
+    keyed = _sales_keyed(layout, batch, outcome)
 
     known = publish.known_rows(fact, "trx_id", "record_hash", schemas.SALES_FACT_PARTITIONS, extra={"emp_id": "__known_emp"})
     looked_up = publish.lookup(keyed, known, "trx_id")
@@ -172,6 +196,7 @@ def _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback,
     classified = publish.classify(staged, fact.columns, "record_hash", schemas.SALES_FACT_PARTITIONS)
     counts = publish.rewrite_touched(fact, classified, layout.sales_fact, "trx_id", schemas.SALES_FACT_PARTITIONS)
     outcome.metrics.update({f"fact_{k}": v for k, v in counts.items()})
+    _collect_keyed_count(outcome)
 
     # type 2 merge of the employee dimension
     current_dim = read_table(spark, layout.employee_dim)
@@ -188,7 +213,7 @@ def _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback,
 
     # dates of this slice together with the stored ones
     stored_dates = read_if_exists(spark, layout.date_dim)
-    dates = _checkpointed(dims.date_dim(batch, stored=stored_dates))
+    dates = _checkpointed(dims.date_dim(keyed, stored=stored_dates))
     write_table(dates, layout.date_dim, rebalance=False)
 
 

@@ -125,3 +125,23 @@ def test_stream_late_rows_are_merged_not_dropped(spark):
     q.awaitTermination()
     got = {r.trx_id: r.description for r in batch.read_table(spark, f"{root}/fact").collect()}
     assert got == {1: "a", 2: "b-new", 3: "late"}
+
+
+def test_first_load_rejects_null_keys_and_keeps_one_row_per_key(spark):
+    schema = "transacted_at timestamp_ntz, trx_id int, retailer_id int, description string, amount double, city_id int"
+    sales = spark.createDataFrame(
+        [
+            (dt.datetime(2024, 1, 1), 1, 1, "old", 1.0, 1),
+            (dt.datetime(2024, 1, 2), 1, 1, "new", 1.0, 1),
+            (dt.datetime(2024, 1, 3), None, 1, "no key", 1.0, 1),
+            (dt.datetime(2024, 1, 4), 2, 1, "x", 1.0, 1),
+        ],
+        schema,
+    )
+    emp, _, cities = fx.batch_inputs(spark, SF, 1)
+    root = scratch_path(spark, "t-keys")
+    out = batch.run_batch(spark, emp, sales, cities, root, fx.AS_OF, tie_breakers=["src_id"])
+    fact = {r.trx_id: r.description for r in batch.published(spark, root, "sales_fact").collect()}
+    assert fact == {1: "new", 2: "x"}
+    assert [r.description for r in batch.published(spark, root, "rejects").collect()] == ["no key"]
+    assert out.metrics["sales_keyed_rows"] == 3 and out.metrics["fact_rows"] == 2
