@@ -79,6 +79,7 @@ def run_batch(
     stable_event_time: bool = False,
     mark_granularity: str = "exact",
     natural_key: list[str] | None = None,
+    clean: bool = False,
 ) -> BatchOutcome:
     """Run one load into ``root``; returns the decision and the observed counts.
 
@@ -87,6 +88,7 @@ def run_batch(
     lookup of the merge then reads only fact partitions at or after the slice's lower bound.
     ``mark_granularity="day"`` stores the last microsecond of the greatest date instead of the
     exact greatest timestamp (later rows of that day then count as processed).
+    ``clean=True`` trims names and lower-cases e-mails (V7) before the quality rules.
     ``natural_key`` identifies a person for the surrogate key (default: the dedup business key).
     A narrower key such as ``["email"]`` tracks transfers as new versions; rows that share it
     after the quality split are deduplicated again with the same preference.
@@ -107,6 +109,8 @@ def run_batch(
         return outcome
 
     # 3. quality split and audit
+    if clean:
+        employees = quality.clean_employees(employees)
     split = quality.split_employees(employees, tie_breakers=tie_breakers)
     audit_obs = Observation()
     audit = quality.audit_for_csv(split.audit).observe(audit_obs, F.count(F.lit(1)).alias("bad_rows"))

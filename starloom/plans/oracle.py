@@ -587,6 +587,13 @@ from (select cast(transacted_at as date) as d from s1 where transacted_at is not
     return with_fixtures(["fx_sales_before", "fx_sales_after"], body, ctes)
 
 
+def batch_rerun_control() -> str:
+    body = """
+select 'last_Processed_date' as mark_key, max(transacted_at) as mark_value, cast(1 as bigint) as seq
+from fx_sales_before where transacted_at < timestamp '2001-01-01'"""
+    return with_fixtures(["fx_sales_before"], body)
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "source_csv_roundtrip": roundtrip(),
@@ -626,4 +633,5 @@ def oracle_queries() -> dict[str, str]:
         "batch_audit": batch_audit(),
         "batch_employee_dim": batch_employee_dim(),
         "batch_date_dim": batch_date_dim(),
+        "batch_rerun_control": batch_rerun_control(),
     }

@@ -303,6 +303,17 @@ def batch_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.published(spark, _two_runs(spark, sf_dir), "date_dim")
 
 
+def batch_rerun_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same delivery loaded twice: the second run skips and commits no mark."""
+    root = scratch_path(spark, "batch-rerun")
+    _run1(spark, sf_dir, root)
+    emp, sales, cities = fx.batch_inputs(spark, sf_dir, 1)
+    outcome = batch.run_batch(spark, emp, sales, cities, root, fx.AS_OF, tie_breakers=_TIE)
+    if outcome.decision != control.SKIP:
+        raise AssertionError(f"a repeated delivery must be skipped, got {outcome.decision}")
+    return control.read_control(spark, batch.Layout(root).control).drop("committed_at")
+
+
 QUERIES: dict[str, Query] = {
     "source_csv_roundtrip": _roundtrip("csv"),
     "source_json_roundtrip": _roundtrip("json"),
@@ -341,4 +352,5 @@ QUERIES: dict[str, Query] = {
     "batch_audit": batch_audit,
     "batch_employee_dim": batch_employee_dim,
     "batch_date_dim": batch_date_dim,
+    "batch_rerun_control": batch_rerun_control,
 }
