@@ -31,11 +31,11 @@ def latest_marks(control: DataFrame) -> DataFrame:
     )
 
 
-def stored_mark(control: DataFrame | None, key: str = SALES_MARK_KEY) -> Column:
-    """The latest mark of ``key`` as a scalar subquery (null when absent)."""
+def stored_mark(control: DataFrame | None, key: str = SALES_MARK_KEY, field: str = "mark_value") -> Column:
+    """The latest mark of ``key`` (or its ``seq``) as a scalar subquery (null when absent)."""
     if control is None:
-        return F.lit(None).cast("timestamp_ntz")
-    return latest_marks(control).filter(F.col("mark_key") == key).select("mark_value").scalar()
+        return F.lit(None).cast("timestamp_ntz" if field == "mark_value" else "bigint")
+    return latest_marks(control).filter(F.col("mark_key") == key).select(field).scalar()
 
 
 def decide(batch: DataFrame, control: DataFrame | None, key: str = SALES_MARK_KEY, mark_col: str = "max_ts") -> DataFrame:
@@ -48,6 +48,7 @@ def decide(batch: DataFrame, control: DataFrame | None, key: str = SALES_MARK_KE
     mark = stored_mark(control, key)
     return batch.select(
         mark.alias("stored_mark"),
+        stored_mark(control, key, "seq").alias("stored_seq"),
         F.col(mark_col).alias("batch_max"),
     ).select(
         "stored_mark",
@@ -57,6 +58,7 @@ def decide(batch: DataFrame, control: DataFrame | None, key: str = SALES_MARK_KE
         .when(F.col("batch_max") > F.col("stored_mark"), F.lit(INCREMENTAL))
         .otherwise(F.lit(SKIP))
         .alias("decision"),
+        "stored_seq",
     )
 
 

@@ -105,6 +105,7 @@ def run_batch(
     batch = facts.batch_max(sales)
     row = control.decide(batch, ctl, mark_col="day_mark" if mark_granularity == "day" else "max_ts").first()
     outcome = BatchOutcome(row["decision"], row["stored_mark"], row["batch_max"])
+    next_seq = (row["stored_seq"] or 0) + 1
     if outcome.decision == control.SKIP:
         return outcome
 
@@ -138,7 +139,7 @@ def run_batch(
     else:
         _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback, stable_event_time, outcome)
 
-    control.commit_mark(spark, layout.control, control.SALES_MARK_KEY, outcome.batch_max)
+    control.commit_mark(spark, layout.control, control.SALES_MARK_KEY, outcome.batch_max, seq=next_seq)
     return outcome
 
 

@@ -212,7 +212,8 @@ def watermark_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return control.decide(facts.batch_max(fx.sales(spark, sf_dir)), fx.control_history(spark, sf_dir))
+    decision = control.decide(facts.batch_max(fx.sales(spark, sf_dir)), fx.control_history(spark, sf_dir))
+    return decision.drop("stored_seq")
 
 
 def incremental_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
