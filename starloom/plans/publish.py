@@ -26,10 +26,16 @@ from starloom.session import shared_root
 from starloom.sources.io import WriteMode, read_if_exists, write_table
 
 
+# Most touched partitions turned into a literal partition filter; beyond it the stored table is
+# semi-joined with the touched set instead (AQE picks broadcast or shuffle by measured size).
+MAX_LITERAL_PARTITIONS = 10_000
+
+
 @dataclass
 class Classified:
     changes: DataFrame  # staging rows that insert or update (checkpointed), staging columns only
-    touched: list[tuple]  # distinct partition values to rewrite (calendar months: a bounded set)
+    touched: list[tuple] | None  # distinct partition values to rewrite; None when above the cap
+    touched_frame: DataFrame | None = None  # the same set as a DataFrame (always available)
 
 
 def known_rows(
@@ -79,8 +85,10 @@ def classify(
         *[F.when(is_insert, F.col(c)).otherwise(F.col(f"__known_{c}")).alias(f"__touched_{c}") for c in partition_cols],
     )
     changes = _checkpointed(changes)
-    touched = [tuple(r) for r in changes.select(*[f"__touched_{c}" for c in partition_cols]).distinct().collect()]
-    return Classified(changes=changes.select(*columns), touched=touched)
+    touched_frame = changes.select(*[F.col(f"__touched_{c}").alias(c) for c in partition_cols]).distinct()
+    first = [tuple(r) for r in touched_frame.limit(MAX_LITERAL_PARTITIONS + 1).collect()]
+    touched = first if len(first) <= MAX_LITERAL_PARTITIONS else None
+    return Classified(changes=changes.select(*columns), touched=touched, touched_frame=touched_frame)
 
 
 def partition_predicate(partition_cols: Sequence[str], values: list[tuple]):
@@ -125,9 +133,17 @@ def rewrite_touched(
     """Merge the changes into the touched partitions of ``stored`` and overwrite those partitions."""
     cols = list(partition_cols)
     counts = {t: 0 for t in (merge.INSERT, merge.UPDATE, merge.UNCHANGED, merge.RETAINED)}
-    if not classified.touched:
+    if classified.touched is not None and not classified.touched:
         return counts  # nothing changed: nothing is rewritten
-    target = stored.filter(partition_predicate(cols, classified.touched))
+    if classified.touched is not None:
+        target = stored.filter(partition_predicate(cols, classified.touched))  # static pruning
+    else:
+        touched = classified.touched_frame.select(*[F.col(c).alias(f"__t_{c}") for c in cols])
+        cond = None
+        for c in cols:
+            part = stored[c].eqNullSafe(touched[f"__t_{c}"])
+            cond = part if cond is None else cond & part
+        target = stored.join(touched, cond, "left_semi")
     result = merge.merge_scd1(classified.changes.select(*stored.columns), target, key=key, on_duplicate="unique")
     # rebalanced by partition before the checkpoint: the checkpoint files are already clustered
     # by month, so the overwrite needs no further shuffle and writes few files per partition

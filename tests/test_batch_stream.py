@@ -145,3 +145,19 @@ def test_first_load_rejects_null_keys_and_keeps_one_row_per_key(spark):
     assert fact == {1: "new", 2: "x"}
     assert [r.description for r in batch.published(spark, root, "rejects").collect()] == ["no key"]
     assert out.metrics["sales_keyed_rows"] == 3 and out.metrics["fact_rows"] == 2
+
+
+def test_upsert_beyond_literal_partition_cap(spark, monkeypatch):
+    from starloom.plans import publish
+    from starloom.plans.queries import _scd1_side
+
+    monkeypatch.setattr(publish, "MAX_LITERAL_PARTITIONS", 3)
+    root = scratch_path(spark, "t-cap")
+    path = f"{root}/fact"
+    publish.upsert_partitioned(spark, _scd1_side(fx.sales_before(spark, SF)), path)
+    counts = publish.upsert_partitioned(spark, _scd1_side(fx.sales_after(spark, SF)), path)
+    assert counts["insert"] > 0 and counts["update"] > 0
+    from starloom.plans.queries import scd1_merge
+
+    expected = scd1_merge(spark, SF)
+    assert rows(batch.read_table(spark, path).select(*expected.columns)) == rows(expected)
