@@ -19,9 +19,11 @@ as follows:
    is broadcast; with keys it is joined by a balanced shuffle on (key, partition), which AQE
    turns into a broadcast when the measured table is small.
 
-The count side reads only the key and order columns, so Spark plans it as a second, narrow
-range exchange rather than reusing the wide one. Both sample the same rows of the same input
-splits with the same seeds, so they get the same boundaries and the same positions.
+Steps 3 and 4 both read the numbered rows. Two separately planned range exchanges could pick
+different boundaries (their samples depend on the upstream row order and on how AQE coalesced
+the upstream, which differ between a wide and a column-pruned read), so the range-partitioned,
+position-numbered rows are materialised once as a reliable checkpoint in the shared checkpoint
+folder and both steps read that. The function therefore runs one job when called.
 
 The order must be total (end it with a unique column or all columns), otherwise rows that tie
 get their numbers in an arbitrary order, exactly as with the window function.
@@ -34,7 +36,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.session import shuffle_partitions
+from starloom.session import shared_root, shuffle_partitions
 
 _POS = "__pos"
 _PID = "__pid"
@@ -48,6 +50,23 @@ def sort_spec(order_by: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_by]
 
 
+def range_numbered(
+    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str | Column], num_partitions: int | None = None
+) -> DataFrame:
+    """Steps 1-2: rows range-partitioned on (keys, order), with position and range partition id,
+    materialised as a reliable checkpoint (columns ``__pos`` and ``__pid``)."""
+    n = num_partitions or max(shuffle_partitions(df.sparkSession), 1)
+    spec = [F.col(k).asc_nulls_first() for k in partition_by] + sort_spec(order_by)
+    shared_root(df.sparkSession)
+    return (
+        df.repartitionByRange(n, *spec)
+        .sortWithinPartitions(*spec)
+        .withColumn(_POS, F.monotonically_increasing_id())
+        .withColumn(_PID, F.shiftright(F.col(_POS), 33))
+        .checkpoint(eager=True)
+    )
+
+
 def distributed_row_number(
     df: DataFrame,
     partition_by: Sequence[str],
@@ -56,15 +75,8 @@ def distributed_row_number(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Add ``out`` (bigint) = row_number() over (partition by ``partition_by`` order by ``order_by``)."""
-    n = num_partitions or max(shuffle_partitions(df.sparkSession), 1)
     keys = list(partition_by)
-    spec = [F.col(k).asc_nulls_first() for k in keys] + sort_spec(order_by)
-    ranged = (
-        df.repartitionByRange(n, *spec)
-        .sortWithinPartitions(*spec)
-        .withColumn(_POS, F.monotonically_increasing_id())
-        .withColumn(_PID, F.shiftright(F.col(_POS), 33))
-    )
+    ranged = range_numbered(df, keys, order_by, num_partitions)
     runs = ranged.groupBy(*keys, _PID).agg(F.min(_POS).alias(_FIRST), F.count(F.lit(1)).alias(_COUNT))
     earlier = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn(_BEFORE, F.coalesce(F.sum(_COUNT).over(earlier), F.lit(0)))
