@@ -203,18 +203,22 @@ def _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback,
     outcome.metrics.update({f"fact_{k}": v for k, v in counts.items()})
     _collect_keyed_count(outcome)
 
-    # type 2 merge of the employee dimension
-    current_dim = read_table(spark, layout.employee_dim)
-    dim_cols = list(staged_employees.columns)
-    scd2 = merge.merge_scd2(staged_employees, current_dim.select(*dim_cols), as_of)
-    scd2 = _checkpointed(scd2.hint("rebalance", *schemas.EMPLOYEE_DIM_PARTITIONS))
-    obs2 = Observation()
-    counted2 = scd2.observe(
-        obs2,
-        *[F.count_if(F.col("change_type") == t).alias(f"employee_{t}") for t in (merge.NEW, merge.CHANGED, merge.SAME, merge.KEPT)],
+    # type 2 merge of the employee dimension: only departments with new or changed employees
+    parts = schemas.EMPLOYEE_DIM_PARTITIONS
+    dim = read_table(spark, layout.employee_dim).select(*staged_employees.columns)
+    current = dim.filter(F.coalesce(F.col("is_current"), F.lit(False)))
+    looked_up = publish.lookup(staged_employees, publish.known_rows(current, "emp_id", "record_hash", parts), "emp_id")
+    classified = publish.classify(looked_up, staged_employees.columns, "record_hash", parts, moves_rows=True)
+    counts = publish.rewrite_touched(
+        dim,
+        classified,
+        layout.employee_dim,
+        "emp_id",
+        parts,
+        merge_fn=lambda changes, target: merge.merge_scd2(changes, target, as_of),
+        change_types=(merge.NEW, merge.CHANGED, merge.EXPIRED, merge.SAME, merge.KEPT, merge.HISTORY),
     )
-    write_table(counted2.drop("change_type"), layout.employee_dim, partition_by=schemas.EMPLOYEE_DIM_PARTITIONS, rebalance=False)
-    outcome.metrics.update(publish.observed(obs2))
+    outcome.metrics.update({f"employee_{k}": v for k, v in counts.items()})
 
     # dates of this slice together with the stored ones
     stored_dates = read_if_exists(spark, layout.date_dim)

@@ -16,7 +16,7 @@ lost executor or a failed run are harmless.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -72,9 +72,12 @@ def classify(
     columns: Sequence[str],
     hash_col: str = "record_hash",
     partition_cols: Sequence[str] = ("year", "month"),
+    moves_rows: bool = False,
 ) -> Classified:
     """Split staging rows (already left-joined with ``known_rows``) into changes and touched partitions.
 
+    An insert touches its own partition; an update touches the stored row's partition and, with
+    ``moves_rows`` (a type 2 version may land in another partition), its own partition too.
     The changes are checkpointed once, so the narrow lookup join runs a single time; only the
     distinct partition values of the changes reach the driver.
     """
@@ -85,7 +88,10 @@ def classify(
         *[F.when(is_insert, F.col(c)).otherwise(F.col(f"__known_{c}")).alias(f"__touched_{c}") for c in partition_cols],
     )
     changes = _checkpointed(changes)
-    touched_frame = changes.select(*[F.col(f"__touched_{c}").alias(c) for c in partition_cols]).distinct()
+    touched_frame = changes.select(*[F.col(f"__touched_{c}").alias(c) for c in partition_cols])
+    if moves_rows:
+        touched_frame = touched_frame.unionByName(changes.select(*partition_cols))
+    touched_frame = touched_frame.distinct()
     first = [tuple(r) for r in touched_frame.limit(MAX_LITERAL_PARTITIONS + 1).collect()]
     touched = first if len(first) <= MAX_LITERAL_PARTITIONS else None
     return Classified(changes=changes.select(*columns), touched=touched, touched_frame=touched_frame)
@@ -129,10 +135,16 @@ def rewrite_touched(
     path: str,
     key: str = "trx_id",
     partition_cols: Sequence[str] = ("year", "month"),
+    merge_fn: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    change_types: Sequence[str] = (merge.INSERT, merge.UPDATE, merge.UNCHANGED, merge.RETAINED),
 ) -> dict:
-    """Merge the changes into the touched partitions of ``stored`` and overwrite those partitions."""
+    """Merge the changes into the touched partitions of ``stored`` and overwrite those partitions.
+
+    ``merge_fn(changes, target)`` returns the merged rows with a ``change_type`` column; the
+    default is the type 1 merge on ``key``.
+    """
     cols = list(partition_cols)
-    counts = {t: 0 for t in (merge.INSERT, merge.UPDATE, merge.UNCHANGED, merge.RETAINED)}
+    counts = {t: 0 for t in change_types}
     if classified.touched is not None and not classified.touched:
         return counts  # nothing changed: nothing is rewritten
     if classified.touched is not None:
@@ -144,10 +156,14 @@ def rewrite_touched(
             part = stored[c].eqNullSafe(touched[f"__t_{c}"])
             cond = part if cond is None else cond & part
         target = stored.join(touched, cond, "left_semi")
-    result = merge.merge_scd1(classified.changes.select(*stored.columns), target, key=key, on_duplicate="unique")
+    changes = classified.changes.select(*stored.columns)
+    if merge_fn is None:
+        merged = merge.merge_scd1(changes, target, key=key, on_duplicate="unique").merged
+    else:
+        merged = merge_fn(changes, target)
     # rebalanced by partition before the checkpoint: the checkpoint files are already clustered
-    # by month, so the overwrite needs no further shuffle and writes few files per partition
-    merged = _checkpointed(result.merged.hint("rebalance", *cols))
+    # by partition, so the overwrite needs no further shuffle and writes few files per partition
+    merged = _checkpointed(merged.hint("rebalance", *cols))
     obs = Observation()
     counted = merged.observe(obs, *[F.count_if(F.col("change_type") == t).alias(t) for t in counts])
     write_table(counted.drop("change_type"), path, mode=WriteMode.OVERWRITE, partition_by=cols, rebalance=False)

@@ -161,3 +161,50 @@ def test_upsert_beyond_literal_partition_cap(spark, monkeypatch):
 
     expected = scd1_merge(spark, SF)
     assert rows(batch.read_table(spark, path).select(*expected.columns)) == rows(expected)
+
+
+def test_scd2_in_batch_rewrites_touched_departments_only(spark):
+    import glob
+
+    emp_schema = "first_name string, last_name string, job_title string, dob date, email string, phone string, salary int, department_id int"
+    sales_schema = "transacted_at timestamp_ntz, trx_id int, retailer_id int, description string, amount double, city_id int"
+    cities = spark.createDataFrame([(1, "c", "s", "ab", "X")], "city_id int, city string, state string, state_abv string, country string")
+    d = dt.date(1990, 1, 1)
+    run1 = spark.createDataFrame(
+        [("A", "a", "t", d, "a@x.y", "1", 10, 1), ("B", "b", "t", d, "b@x.y", "2", 10, 2), ("C", "c", "t", d, "c@x.y", "3", 10, 3)],
+        emp_schema,
+    )
+    run2 = spark.createDataFrame(
+        [
+            ("A", "a", "t", d, "a@x.y", "1", 99, 1),  # salary change, same department
+            ("B", "b", "t", d, "b@x.y", "2", 10, 4),  # transfer 2 -> 4 (identity = e-mail)
+            ("C", "c", "t", d, "c@x.y", "3", 10, 3),  # unchanged, department 3 untouched
+            ("D", "d", "t", d, "d@x.y", "5", 10, 1),  # new hire
+        ],
+        emp_schema,
+    )
+    s1 = spark.createDataFrame([(dt.datetime(2024, 1, 1), 1, 1, "x", 1.0, 1)], sales_schema)
+    s2 = spark.createDataFrame([(dt.datetime(2024, 2, 1), 2, 1, "y", 1.0, 1)], sales_schema)
+    root = scratch_path(spark, "t-scd2-batch")
+    batch.run_batch(spark, run1, s1, cities, root, dt.date(2024, 1, 1), natural_key=["email"])
+    untouched = sorted(glob.glob(f"{root.replace('file:', '')}/employee_dim/department_id=3/*.parquet"))
+    assert untouched
+    out = batch.run_batch(spark, run2, s2, cities, root, dt.date(2024, 2, 1), natural_key=["email"])
+    assert out.decision == "incremental"
+    dim = batch.published(spark, root, "employee_dim")
+    got = rows(dim, "email", "department_id", "salary", "is_current", "effective_end_date")
+    assert got == rows(
+        spark.createDataFrame(
+            [
+                ("a@x.y", 1, 10, False, dt.date(2024, 2, 1)),
+                ("a@x.y", 1, 99, True, None),
+                ("b@x.y", 2, 10, False, dt.date(2024, 2, 1)),
+                ("b@x.y", 4, 10, True, None),
+                ("c@x.y", 3, 10, True, None),
+                ("d@x.y", 1, 10, True, None),
+            ],
+            "email string, department_id int, salary int, is_current boolean, effective_end_date date",
+        )
+    )
+    assert sorted(glob.glob(f"{root.replace('file:', '')}/employee_dim/department_id=3/*.parquet")) == untouched
+    assert out.metrics["employee_new_version"] == 2 and out.metrics["employee_new"] == 1
