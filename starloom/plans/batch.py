@@ -62,6 +62,11 @@ def _checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _fact_update_columns(change_on: str) -> list[str]:
+    cols = list(schemas.SALES_UPDATE_COLUMNS)
+    return cols + ["strict_hash"] if change_on == "strict_hash" else cols
+
+
 def _employee_columns(df: DataFrame) -> list[str]:
     return ["emp_id"] + [f.name for f in schemas.EMPLOYEES.fields]
 
@@ -80,6 +85,7 @@ def run_batch(
     mark_granularity: str = "exact",
     natural_key: list[str] | None = None,
     clean: bool = False,
+    change_on: str = "record_hash",
 ) -> BatchOutcome:
     """Run one load into ``root``; returns the decision and the observed counts.
 
@@ -89,12 +95,17 @@ def run_batch(
     ``mark_granularity="day"`` stores the last microsecond of the greatest date instead of the
     exact greatest timestamp (later rows of that day then count as processed).
     ``clean=True`` trims names and lower-cases e-mails (V7) before the quality rules.
+    ``change_on="strict_hash"`` also stores the injective row hash and detects changes with it
+    (``(null, 'a')`` and ``('a', null)`` then differ); the default compares ``record_hash``.
     ``natural_key`` identifies a person for the surrogate key (default: the dedup business key).
     A narrower key such as ``["email"]`` tracks transfers as new versions; rows that share it
     after the quality split are deduplicated again with the same preference.
     """
     if mark_granularity not in ("exact", "day"):
         raise ValueError("mark_granularity must be 'exact' or 'day'")
+    if change_on not in ("record_hash", "strict_hash"):
+        raise ValueError("change_on must be 'record_hash' or 'strict_hash'")
+    strict = change_on == "strict_hash"
     natural_key = list(natural_key or schemas.EMPLOYEE_KEY)
     layout = Layout(root)
     quality.check_schema(employees, schemas.EMPLOYEES, strict_types)
@@ -129,15 +140,15 @@ def run_batch(
     write_table(assignment.new_keys, layout.key_map, mode=WriteMode.APPEND, rebalance=False)
     key_map = read_table(spark, layout.key_map)
     with_ids = dims.attach_keys(people, key_map, natural_key)
-    staged_employees = facts.employee_staging(with_ids.select(*_employee_columns(with_ids)), as_of)
+    staged_employees = facts.employee_staging(with_ids.select(*_employee_columns(with_ids)), as_of, strict=strict)
 
     city_dim = dims.city_dim(cities)
     write_table(city_dim, layout.city_dim, partition_by=schemas.CITY_DIM_PARTITIONS)
 
     if outcome.decision == control.FIRST_LOAD:
-        _first_load(spark, layout, valid, staged_employees, sales, outcome)
+        _first_load(spark, layout, valid, staged_employees, sales, outcome, change_on)
     else:
-        _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback, stable_event_time, outcome)
+        _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback, stable_event_time, outcome, change_on)
 
     control.commit_mark(spark, layout.control, control.SALES_MARK_KEY, outcome.batch_max, seq=next_seq)
     return outcome
@@ -169,10 +180,10 @@ def _collect_keyed_count(outcome: BatchOutcome) -> None:
         outcome.metrics.update(publish.observed(obs))
 
 
-def _first_load(spark, layout, valid, staged_employees, sales, outcome) -> None:
+def _first_load(spark, layout, valid, staged_employees, sales, outcome, change_on) -> None:
     write_table(staged_employees, layout.employee_dim, partition_by=schemas.EMPLOYEE_DIM_PARTITIONS)
     keyed = _sales_keyed(layout, sales, outcome)
-    fact = facts.sales_staging(facts.add_year_month(facts.assign_employee(keyed, valid)))
+    fact = facts.sales_staging(facts.add_year_month(facts.assign_employee(keyed, valid)), strict=change_on == "strict_hash")
     obs = Observation()
     fact = fact.observe(obs, F.count(F.lit(1)).alias("fact_rows"))
     write_table(fact, layout.sales_fact, partition_by=schemas.SALES_FACT_PARTITIONS)
@@ -181,7 +192,7 @@ def _first_load(spark, layout, valid, staged_employees, sales, outcome) -> None:
     write_table(dims.date_dim(keyed), layout.date_dim, rebalance=False)
 
 
-def _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback, stable_event_time, outcome) -> None:
+def _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback, stable_event_time, outcome, change_on) -> None:
     lower = outcome.stored_mark - (lookback or dt.timedelta(0))
     batch = sales.filter(F.col("transacted_at") > _ts_literal(lower, sales, "transacted_at"))
 
@@ -191,15 +202,24 @@ def _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback,
         fact = fact.filter(control.partition_floor(lower))
     keyed = _sales_keyed(layout, batch, outcome)
 
-    known = publish.known_rows(fact, "trx_id", "record_hash", schemas.SALES_FACT_PARTITIONS, extra={"emp_id": "__known_emp"})
+    known = publish.known_rows(fact, "trx_id", change_on, schemas.SALES_FACT_PARTITIONS, extra={"emp_id": "__known_emp"})
     looked_up = publish.lookup(keyed, known, "trx_id")
     # an existing sale keeps its employee; a new one gets the hash assignment of this run
     assigned = facts.assign_employee(looked_up, valid, out="__new_emp").withColumn(
         "emp_id", F.coalesce(F.col("__known_emp"), F.col("__new_emp"))
     )
-    staged = facts.sales_staging(facts.add_year_month(assigned))
-    classified = publish.classify(staged, fact.columns, "record_hash", schemas.SALES_FACT_PARTITIONS)
-    counts = publish.rewrite_touched(fact, classified, layout.sales_fact, "trx_id", schemas.SALES_FACT_PARTITIONS)
+    staged = facts.sales_staging(facts.add_year_month(assigned), strict=change_on == "strict_hash")
+    classified = publish.classify(staged, fact.columns, change_on, schemas.SALES_FACT_PARTITIONS)
+    counts = publish.rewrite_touched(
+        fact,
+        classified,
+        layout.sales_fact,
+        "trx_id",
+        schemas.SALES_FACT_PARTITIONS,
+        merge_fn=lambda changes, target: merge.merge_scd1(
+            changes, target, update_columns=_fact_update_columns(change_on), hash_col=change_on, on_duplicate="unique"
+        ).merged,
+    )
     outcome.metrics.update({f"fact_{k}": v for k, v in counts.items()})
     _collect_keyed_count(outcome)
 
@@ -207,15 +227,15 @@ def _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback,
     parts = schemas.EMPLOYEE_DIM_PARTITIONS
     dim = read_table(spark, layout.employee_dim).select(*staged_employees.columns)
     current = dim.filter(F.coalesce(F.col("is_current"), F.lit(False)))
-    looked_up = publish.lookup(staged_employees, publish.known_rows(current, "emp_id", "record_hash", parts), "emp_id")
-    classified = publish.classify(looked_up, staged_employees.columns, "record_hash", parts, moves_rows=True)
+    looked_up = publish.lookup(staged_employees, publish.known_rows(current, "emp_id", change_on, parts), "emp_id")
+    classified = publish.classify(looked_up, staged_employees.columns, change_on, parts, moves_rows=True)
     counts = publish.rewrite_touched(
         dim,
         classified,
         layout.employee_dim,
         "emp_id",
         parts,
-        merge_fn=lambda changes, target: merge.merge_scd2(changes, target, as_of),
+        merge_fn=lambda changes, target: merge.merge_scd2(changes, target, as_of, hash_col=change_on),
         change_types=(merge.NEW, merge.CHANGED, merge.EXPIRED, merge.SAME, merge.KEPT, merge.HISTORY),
     )
     outcome.metrics.update({f"employee_{k}": v for k, v in counts.items()})

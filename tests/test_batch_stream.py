@@ -208,3 +208,22 @@ def test_scd2_in_batch_rewrites_touched_departments_only(spark):
     )
     assert sorted(glob.glob(f"{root.replace('file:', '')}/employee_dim/department_id=3/*.parquet")) == untouched
     assert out.metrics["employee_new_version"] == 2 and out.metrics["employee_new"] == 1
+
+
+def test_strict_hash_detects_moved_nulls(spark):
+    sales_schema = "transacted_at timestamp_ntz, trx_id int, retailer_id int, description string, amount double, city_id int"
+    emp, _, cities = fx.batch_inputs(spark, SF, 1)
+    s1 = spark.createDataFrame([(dt.datetime(2024, 1, 1), 1, None, "7", 1.0, 1)], sales_schema)
+    # same concatenation "7||1.0||1||emp" once the null moves: record_hash equal, strict_hash differs
+    s2 = spark.createDataFrame([(dt.datetime(2024, 1, 1), 1, 7, None, 1.0, 1), (dt.datetime(2024, 2, 1), 2, 1, "x", 1.0, 1)], sales_schema)
+    results = {}
+    for change_on in ("record_hash", "strict_hash"):
+        root = scratch_path(spark, f"t-{change_on}")
+        batch.run_batch(spark, emp, s1, cities, root, fx.AS_OF, tie_breakers=["src_id"], change_on=change_on)
+        out = batch.run_batch(
+            spark, emp, s2, cities, root, fx.AS_OF, tie_breakers=["src_id"], change_on=change_on, lookback=dt.timedelta(days=60)
+        )
+        row = batch.published(spark, root, "sales_fact").filter("trx_id = 1").first()
+        results[change_on] = (out.metrics["fact_update"], row.retailer_id, row.description)
+    assert results["record_hash"] == (0, None, "7")  # the compatible hash cannot see the change
+    assert results["strict_hash"] == (1, 7, None)
