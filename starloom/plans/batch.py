@@ -136,7 +136,7 @@ def run_batch(
     people = valid
     if natural_key != schemas.EMPLOYEE_KEY:
         people = quality.survivors(people, natural_key, tie_breakers=tie_breakers)
-    assignment = dims.assign_keys(people, natural_key, key_map)
+    assignment = dims.assign_keys(people, natural_key, key_map, keys_unique=True)  # one row per key after the split
     write_table(assignment.new_keys, layout.key_map, mode=WriteMode.APPEND, rebalance=False)
     key_map = read_table(spark, layout.key_map)
     with_ids = dims.attach_keys(people, key_map, natural_key)
