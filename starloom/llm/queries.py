@@ -2,27 +2,79 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import exact_dedup, line_dedup, quality_rules, simhash
+from starloom.llm import bpe, exact_dedup, language_id, line_dedup, mixing, ppm, quality_model, quality_rules, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _held_out(modulus: int, remainder: int) -> Column:
+    """crc32 of the id as text leaves this remainder; a null id is never held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = mixing.measured(_table(spark, sf_dir, "documents"))
+    taken = mixing.mix(sized).groupBy("row").agg(F.sum("n_words").alias("taken"))
+    return sized.join(taken, "row", "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source"
+    )
+
+
+def op2_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ppm.train(docs.filter(~_held_out(7, 2)))
+    scored = ppm.score(docs, model, held_out=_held_out(7, 2))
+    return scored.withColumn("train_tokens", F.lit(model.tokens).cast("long")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    languages, params = language_id.train(docs.filter(~_held_out(4, 2)))
+    found = language_id.identify(docs, languages, params, held_out=_held_out(4, 2))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = warc.archive_root(spark)
+    manifest = warc.write_warcs(_table(spark, sf_dir, "pages"), root)
+    records = warc.read_warcs(manifest, root, with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = quality_model.measured(_table(spark, sf_dir, "documents"))
+    forest = quality_model.train(x.filter(~_held_out(3, 1)), _table(spark, sf_dir, "labels"))
+    return quality_model.score(x, forest, held_out=_held_out(3, 1)).select("doc_id", "held_out", "score", "predicted")
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN)
+    return encoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256")
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -33,7 +85,13 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op6_line_dedup, op9_quality_rules, op10_simhash_near_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mixing, op2_ppm_scoring, op3_exact_dedup, op4_language_id, op5_warc, op6_line_dedup, op7_quality_classifier,
+        op8_byte_bpe, op9_quality_rules, op10_simhash_near_dedup,
+    )
+}
 
 ORACLE_SQL = {
     "op3_exact_dedup": """
@@ -41,6 +99,22 @@ ORACLE_SQL = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    # base 32 takes 5 bits a character, so 5 hexadecimal digits give 4 characters
+    "op5_warc": """
+        WITH digests AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+        ), grouped AS (
+            SELECT *, min(page_id) OVER (PARTITION BY hex, payload_bytes) AS first,
+                   list_transform(range(8), lambda i: ('0x' || substr(hex, CAST(5 * i + 1 AS INTEGER), 5))::INTEGER) AS bits
+            FROM digests
+        )
+        SELECT page_id, payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   CAST(1 + ((bits[CAST(1 + i // 4 AS INTEGER)] >> CAST(5 * (3 - i % 4) AS INTEGER)) & 31) AS INTEGER), 1)), '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM grouped
+    """,
     "op6_line_dedup": r"""
         WITH lines AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

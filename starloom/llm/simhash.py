@@ -24,6 +24,7 @@ equi-join, checkpointed to the shared folder. Nothing but the count of changed l
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import combinations
 
 import numpy as np
@@ -162,8 +163,10 @@ def near_duplicates(
     max_bits: int = MAX_BITS,
     segments: int = SEGMENTS,
     crowded: int = CROWDED,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per input row: ``doc_id, fp`` (bigint)``, component_id, component_size``.
+    """One row per input row: the columns ``carry``, ``doc_id, fp`` (bigint), ``root`` (the component's
+    smallest fingerprint), ``component_id, component_size``.
 
     ``component_id`` is the smallest id among all rows reachable by links, itself included.
 
@@ -172,10 +175,10 @@ def near_duplicates(
     of null ids only has a null ``component_id``. An empty table gives an empty result. Other columns
     are ignored.
     """
-    marked = checkpointed(docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col), shingle_words).alias("fp")))
+    marked = checkpointed(docs.select(*carry, F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col), shingle_words).alias("fp")))
     groups = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")))
     roots = components(links(groups.select("fp"), max_bits, segments, crowded))
     rooted = groups.join(roots, groups["fp"] == roots["node"], "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
     whole = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("component_size"))
-    labels = rooted.join(whole, "root").select("fp", "component_id", "component_size")
-    return marked.join(labels, "fp").select("doc_id", "fp", "component_id", "component_size")
+    labels = rooted.join(whole, "root").select("fp", "root", "component_id", "component_size")
+    return marked.join(labels, "fp").select(*carry, "doc_id", "fp", "root", "component_id", "component_size")

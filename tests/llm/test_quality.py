@@ -1,0 +1,109 @@
+"""Quality rules (statistics against brute force, EM against numpy) and the quality classifier."""
+
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.llm import quality_model, quality_rules
+from tests.conftest import SF_ORACLE
+
+TEXTS = [
+    None, "", " \n\t ", "one", "a b c d e f g h", "a b c d e f g h a b c d e f g h", "x " * 40, "word\n\nword\n \nword", "#tag *b* |c| <d> 50%",
+    "w1 w2 w3 w4 w5 w6 w7 w8 " * 3 + "z", "été " * 9, "A B c\x1cd", " ".join(f"u{i}" for i in range(300)), "a b c d e f g h X Y a b c d e f g h Q a b c d e f g h",
+    "OH!! NO!! " * 30, "long" * 5000,
+]
+
+
+def brute(text):
+    text = text or ""
+    ws = " \t\n\x0b\x0c\r"
+    split = lambda t: "".join(" " if c in ws else c for c in t).split(" ")
+    w = [x for x in split(text) if x]
+    windows = [tuple(w[i : i + 8]) for i in range(len(w) - 7)]
+    often = Counter(windows)
+    covered = {i + k for i, x in enumerate(windows) if often[x] > 1 for k in range(8)}
+    lines = [x for x in text.split("\n") if any(split(x))]
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered)
+
+
+def test_statistics_equal_brute_force(spark):
+    rows = [(i, t, "s", 1) for i, t in enumerate(TEXTS)] + [(None, "a b", "s", 1), (3, "one", "s", 1)]
+    got = quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, s string, n_words int")).collect()
+    want = sorted((str(i), *brute(t)) for i, t, _, _ in rows)
+    assert sorted((str(r.doc_id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got) == want
+    for r in got:
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        assert not (r.base_failed and r.kept)
+
+
+def numpy_em(votes, n, rounds):
+    q = quality_rules
+    rules = votes.shape[1]
+    good, passes, catches = q.START_GOOD, np.full(rules, q.START_PASSES), np.full(rules, q.START_CATCHES)
+    for _ in range(rounds):
+        move = np.where(votes == 1, np.log(passes / (1 - catches)), np.where(votes == -1, np.log((1 - passes) / catches), 0))
+        p = 1 / (1 + np.exp(-(np.log(good / (1 - good)) + move.sum(1))))
+        prior = q.PRIOR_SHARE * n.sum()
+        share = lambda right, w, start, low, high: np.clip(
+            (((votes == right) * (n * w)[:, None]).sum(0) + prior * start) / (((votes != 0) * (n * w)[:, None]).sum(0) + prior), low, high
+        )
+        passes, catches = share(1, p, q.START_PASSES, *q.PASSES_RANGE), share(-1, 1 - p, q.START_CATCHES, *q.CATCHES_RANGE)
+        good = np.clip((n * p).sum() / n.sum(), 0.01, 0.99)
+    return good, passes, catches
+
+
+def test_em_equals_numpy(spark):
+    rng = np.random.default_rng(1)
+    votes = np.unique(rng.integers(-1, 2, (40, 4)), axis=0)
+    n = rng.integers(1, 50, len(votes))
+    table = spark.createDataFrame([(v.tolist(), int(k)) for v, k in zip(votes, n)], "vote array<int>, n long")
+    got = quality_rules.estimate(table, 4).first()
+    good, passes, catches = numpy_em(votes, n.astype(float), quality_rules.EM_ROUNDS)
+    assert got.good == pytest.approx(good) and got.passes == pytest.approx(passes) and got.catches == pytest.approx(catches)
+
+
+def test_rules_find_junk_and_keep_clean(spark):
+    docs, labels = (spark.read.parquet(f"{SF_ORACLE}/{t}.parquet") for t in ("documents", "labels"))
+    judged = quality_rules.quality_rules(docs).join(labels, "doc_id").toPandas()
+    assert judged[(judged.quality == 1) & ~judged.base_failed].kept.mean() > 0.98
+    assert judged[judged.quality == 0].kept.mean() < 0.1
+
+
+def test_empty_tables(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert quality_rules.quality_rules(empty).count() == 0
+    x = quality_model.measured(empty)
+    forest = quality_model.train(x, spark.createDataFrame([], "doc_id long, quality int"))
+    assert quality_model.score(x, forest).count() == 0
+    assert forest.probability(np.zeros((1, len(quality_model.features()))))[0] == 0.5
+
+
+def test_forest_learns_and_walks_like_single_rows():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(3000, 3))
+    y = ((x[:, 0] > 0.3) ^ (x[:, 1] > 0)).astype(float)
+    forest = quality_model.fit(x[:2000], y[:2000])
+    p = forest.probability(x[2000:])
+    assert ((p >= 0.5) == y[2000:]).mean() > 0.95
+    for row, margin in zip(x[2000:2020], forest.margin(x[2000:2020])):
+        total = forest.base
+        for f, t, v in zip(forest.feature, forest.threshold, forest.value):
+            k = 0
+            while k < len(f):
+                k = 2 * k + (1 if row[f[k]] <= t[k] else 2)
+            total += v[k - len(f)]
+        assert margin == pytest.approx(total)
+
+
+def test_classifier_on_held_out_documents(spark):
+    docs, labels = (spark.read.parquet(f"{SF_ORACLE}/{t}.parquet") for t in ("documents", "labels"))
+    edge = spark.createDataFrame([(None, None), (-1, ""), (-1, "")], "doc_id long, text string")
+    x = quality_model.measured(docs.select("doc_id", "text").unionByName(edge))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    forest = quality_model.train(x.filter(~F.coalesce(held, F.lit(False))), labels.unionByName(labels.limit(5)))
+    scored = quality_model.score(x, forest, held=held)
+    assert scored.count() == docs.count() + 3 and scored.filter("score NOT BETWEEN 0 AND 1").isEmpty()
+    got = scored.filter("held").join(labels, "doc_id").toPandas()
+    assert (got.predicted == got.quality).mean() > 0.9
