@@ -26,7 +26,9 @@ position-numbered rows are materialised once as a reliable checkpoint in the sha
 folder and both steps read that. The function therefore runs one job when called.
 
 The order must be total (end it with a unique column or all columns), otherwise rows that tie
-get their numbers in an arbitrary order, exactly as with the window function.
+get their numbers in an arbitrary order, exactly as with the window function. Rows that are equal in
+all sort columns cannot be told apart by a range, so the range order ends with a row number of the
+input: a third of the table made of one repeated row is spread over tasks like any other rows.
 """
 
 from __future__ import annotations
@@ -43,6 +45,7 @@ _PID = "__pid"
 _FIRST = "__first"
 _COUNT = "__n"
 _BEFORE = "__before"
+_SPREAD = "__spread"
 
 
 def sort_spec(order_by: Sequence[str | Column]) -> list[Column]:
@@ -56,11 +59,13 @@ def range_numbered(
     """Steps 1-2: rows range-partitioned on (keys, order), with position and range partition id,
     materialised as a reliable checkpoint (columns ``__pos`` and ``__pid``)."""
     n = num_partitions or max(shuffle_partitions(df.sparkSession), 1)
-    spec = [F.col(k).asc_nulls_first() for k in partition_by] + sort_spec(order_by)
+    spec = [F.col(k).asc_nulls_first() for k in partition_by] + sort_spec(order_by) + [F.col(_SPREAD)]
     shared_root(df.sparkSession)
     return (
-        df.repartitionByRange(n, *spec)
+        df.withColumn(_SPREAD, F.monotonically_increasing_id())
+        .repartitionByRange(n, *spec)
         .sortWithinPartitions(*spec)
+        .drop(_SPREAD)
         .withColumn(_POS, F.monotonically_increasing_id())
         .withColumn(_PID, F.shiftright(F.col(_POS), 33))
         .checkpoint(eager=True)

@@ -1,22 +1,19 @@
-"""High-water-mark control table and the batch decision.
+"""High-water mark and batch decision.
 
-The control table is an append-only Parquet table ``(mark_key, mark_value, seq, committed_at)``.
-A run appends one row after all its tables are written; the latest row per key (greatest
-``seq``) is the stored mark. Appends never rewrite earlier rows, so a crash before the append
-simply replays the batch, and the merges are idempotent.
+The control table is append-only; a run appends one row after everything else is written, and the row
+with the greatest ``seq`` of a key is its stored mark. ``plans.store`` keeps it together with the
+versions that the run publishes.
+
+A mark is a wall clock without zone (``timestamp_ntz``). Source timestamps with a zone are cast in the
+session's zone, inside Spark; no mark passes through a Python datetime on its way from the maximum to
+the control table, so the zone of the driver's operating system plays no role.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.sources.io import WriteMode, read_if_exists, write_table
-
-CONTROL_SCHEMA = "mark_key string, mark_value timestamp_ntz, seq bigint, committed_at timestamp"
-
 FIRST_LOAD, INCREMENTAL, SKIP = "first_load", "incremental", "skip"
 
 # Fixed value: key under which the sales high-water mark is stored.
@@ -38,27 +35,31 @@ def stored_mark(control: DataFrame | None, key: str = SALES_MARK_KEY, field: str
     return latest_marks(control).filter(F.col("mark_key") == key).select(field).scalar()
 
 
-def decide(batch: DataFrame, control: DataFrame | None, key: str = SALES_MARK_KEY, mark_col: str = "max_ts") -> DataFrame:
-    """C4: one row ``(stored_mark, batch_max, decision)``.
+def decide(
+    batch: DataFrame, control: DataFrame | None, key: str = SALES_MARK_KEY, mark_col: str = "max_ts", lookback: str | None = None
+) -> DataFrame:
+    """C4: one row ``(stored_mark, batch_max, decision, stored_seq, lower)``.
 
-    no stored mark -> first_load; batch maximum after the mark -> incremental; otherwise (also
-    for an empty batch) -> skip. ``mark_col`` picks the batch value compared and stored:
-    ``max_ts`` (exact) or ``day_mark`` (end of the greatest day).
+    no stored mark -> first_load; batch maximum after the mark less ``lookback`` -> incremental;
+    otherwise (also for an empty batch) -> skip. With ``lookback`` a delivery of late rows only is
+    loaded too. ``lower`` is where an incremental slice starts. ``mark_col`` picks the batch value
+    compared and stored: ``max_ts`` (exact) or ``day_mark`` (end of the greatest day).
     """
-    mark = stored_mark(control, key)
-    return batch.select(
-        mark.alias("stored_mark"),
+    row = batch.select(
+        stored_mark(control, key).alias("stored_mark"),
         stored_mark(control, key, "seq").alias("stored_seq"),
-        F.col(mark_col).alias("batch_max"),
-    ).select(
+        F.col(mark_col).cast("timestamp_ntz").alias("batch_max"),
+    ).withColumn("lower", lower_bound(F.col("stored_mark"), lookback))
+    return row.select(
         "stored_mark",
         "batch_max",
         F.when(F.col("batch_max").isNull(), F.lit(SKIP))
         .when(F.col("stored_mark").isNull(), F.lit(FIRST_LOAD))
-        .when(F.col("batch_max") > F.col("stored_mark"), F.lit(INCREMENTAL))
+        .when(F.col("batch_max") > F.col("lower"), F.lit(INCREMENTAL))
         .otherwise(F.lit(SKIP))
         .alias("decision"),
         "stored_seq",
+        "lower",
     )
 
 
@@ -68,35 +69,8 @@ def lower_bound(mark: Column, lookback: str | None) -> Column:
 
 
 def incremental_slice(sales: DataFrame, mark: Column, lookback: str | None = None, ts_col: str = "transacted_at") -> DataFrame:
-    """Source rows after the mark (minus ``lookback`` for late corrections)."""
-    return sales.filter(F.col(ts_col) > lower_bound(mark, lookback))
-
-
-def partition_floor(lower: dt.datetime | None, year_col: str = "year", month_col: str = "month") -> Column:
-    """Predicate on the partition columns that keeps every month at or after ``lower``.
-
-    Written on the partition columns so that Parquet partition pruning applies (a predicate on
-    the timestamp alone gives no PartitionFilters). Rows with null partitions are kept.
-    """
-    if lower is None:
-        return F.lit(True)
-    y, m = F.col(year_col), F.col(month_col)
-    return y.isNull() | (y > lower.year) | ((y == lower.year) & (m >= lower.month))
-
-
-def read_control(spark: SparkSession, path: str) -> DataFrame | None:
-    return read_if_exists(spark, path, schema=CONTROL_SCHEMA)
-
-
-def commit_mark(spark: SparkSession, path: str, key: str, value: dt.datetime, seq: int | None = None) -> None:
-    """Append one mark row; ``seq`` defaults to the stored maximum + 1."""
-    if seq is None:
-        control = read_control(spark, path)
-        seq = 1
-        if control is not None:
-            top = control.agg(F.max("seq")).first()[0]
-            seq = (top or 0) + 1
-    row = spark.createDataFrame([(key, value, seq)], "mark_key string, mark_value timestamp_ntz, seq bigint").withColumn(
-        "committed_at", F.current_timestamp()
-    )
-    write_table(row, path, mode=WriteMode.APPEND, rebalance=False)
+    """Source rows after the mark (minus ``lookback`` for late corrections), and all undated rows:
+    they have no place in time, so no mark can tell that they were loaded, and loading them again
+    changes nothing. ``mark`` is cast to the column's type (in the session's zone)."""
+    ts = F.col(ts_col)
+    return sales.filter(ts.isNull() | (ts > lower_bound(mark, lookback).cast(sales.schema[ts_col].dataType)))

@@ -1,8 +1,8 @@
 """Dimensions: city (T2), date (T5) and stable employee surrogate keys.
 
 * ``city_dim``: one row per city_id; the survivor is the smallest row by the remaining columns,
-  taken with ``min(struct(...))`` in a hash aggregate (partial aggregation before the shuffle,
-  no sort, so a repeated key costs one buffer per map task).
+  taken with ``min(struct(...))``: a partial (sort) aggregate before the shuffle, so a repeated key
+  sends one row per map task.
 * ``date_dim``: distinct calendar dates of the sales, null dates dropped, optionally merged with
   the stored dates so that an incremental batch never loses earlier days.
 * ``assign_keys``: dense ids ordered by the natural key, without a single-partition window; ids

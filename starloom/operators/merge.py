@@ -11,8 +11,10 @@ Type 1 (``merge_scd1``), key ``trx_id``:
 Columns outside ``update_columns`` (transacted_at, year, month) never change on update, so an
 update never moves a row to another partition. Null keys are rejected by default (a replay
 would insert them again); several staging rows per key keep the latest ``transacted_at``, then
-the greatest ``record_hash``. Deduplication is a hash aggregate on the key, whose shuffle the
-full outer join reuses (same key, same partitioning).
+the greatest ``record_hash``. Deduplication is a sort aggregate on the key (whole rows are compared);
+the full outer join reuses its shuffle and the order of its output. Stored rows with a null key, which
+``null_key="insert"`` creates, match nothing and are retained: a side is present if its marker column
+is, whatever its key.
 
 Type 2 (``merge_scd2``), key ``emp_id``, validity ``[effective_start_date, effective_end_date)``:
 a full outer join of the staging rows with the *current* target rows; every joined row yields
@@ -56,12 +58,18 @@ class Scd1Result:
     rejected: DataFrame  # staging rows with a null key (empty when null_key="insert")
 
 
+def _present(src: DataFrame, target: DataFrame, key: str, how: str) -> tuple[DataFrame, Column, Column]:
+    """The join of both sides, and whether a row has a staging and a target side."""
+    s, t = src.withColumn("__s", F.lit(True)), target.withColumn("__t", F.lit(True))
+    joined = s.alias("s").join(t.alias("t"), F.col(f"s.{key}") == F.col(f"t.{key}"), how)
+    return joined, F.col("s.__s").isNotNull(), F.col("t.__t").isNotNull()
+
+
 def _classified(src: DataFrame, target: DataFrame, key: str, hash_col: str, how: str) -> tuple[DataFrame, Column]:
-    joined = src.alias("s").join(target.alias("t"), F.col(f"s.{key}") == F.col(f"t.{key}"), how)
-    s_key, t_key = F.col(f"s.{key}"), F.col(f"t.{key}")
+    joined, in_src, in_target = _present(src, target, key, how)
     change = (
-        F.when(t_key.isNull(), F.lit(INSERT))
-        .when(s_key.isNull(), F.lit(RETAINED))
+        F.when(~in_target, F.lit(INSERT))
+        .when(~in_src, F.lit(RETAINED))
         .when(F.col(f"s.{hash_col}") == F.col(f"t.{hash_col}"), F.lit(UNCHANGED))
         .otherwise(F.lit(UPDATE))
     )
@@ -157,9 +165,8 @@ def merge_scd2(
     history = target.filter(~is_current)
     current = target.filter(is_current)
     src = latest_per_key(staging.filter(F.col(key).isNotNull()), key, [hash_col])
-    joined = src.alias("s").join(current.alias("t"), F.col(f"s.{key}") == F.col(f"t.{key}"), "full_outer")
-    s_key, t_key = F.col(f"s.{key}"), F.col(f"t.{key}")
-    both = s_key.isNotNull() & t_key.isNotNull()
+    joined, in_src, in_target = _present(src, current, key, "full_outer")
+    both = in_src & in_target
     changed = both & (F.col(f"s.{hash_col}") != F.col(f"t.{hash_col}"))
     same_day = changed & (F.col(f"t.{start_col}") == date_lit(as_of))
 
@@ -175,13 +182,13 @@ def merge_scd2(
 
     t_start, t_end = F.col(f"t.{start_col}"), F.col(f"t.{end_col}")
     old = (
-        F.when(s_key.isNull(), version("t", t_start, t_end, F.lit(True), KEPT))
+        F.when(~in_src, version("t", t_start, t_end, F.lit(True), KEPT))
         .when(both & ~changed, version("t", t_start, t_end, F.lit(True), SAME))
         .when(changed & ~same_day, version("t", t_start, date_lit(as_of), F.lit(False), EXPIRED))
     )
     new = F.when(
-        t_key.isNull() | changed,
-        version("s", date_lit(as_of), F.lit(None), F.lit(True), F.when(t_key.isNull(), F.lit(NEW)).otherwise(F.lit(CHANGED))),
+        ~in_target | changed,
+        version("s", date_lit(as_of), F.lit(None), F.lit(True), F.when(~in_target, F.lit(NEW)).otherwise(F.lit(CHANGED))),
     )
     versions = joined.select(F.explode(F.filter(F.array(old, new), lambda v: v.isNotNull())).alias("v")).select("v.*")
     return history.select(*target.columns, F.lit(HISTORY).alias("change_type")).unionByName(versions)

@@ -1,16 +1,16 @@
 """Schema checks and employee data-quality rules (inventory V1-V7, S10).
 
-Split of the employee input (V4), all lazy:
+Split of the employee input (V4): one ranking per business key, materialised once, from which all
+follows row by row:
 
-* survivors: ``row_number() = 1`` per business key. Catalyst plans this as a partial
-  ``WindowGroupLimit`` before the shuffle, so a hot key is cut to one row per map task first.
-* valid     = survivors with a valid e-mail. The e-mail is part of the key, so a key group is
-  all valid or all invalid; the validity filter is pushed below the window by Catalyst.
-* audit     = duplicates (input EXCEPT ALL survivors) and invalid survivors, one row per bad
-  record with all its reasons, from one partial hash aggregate over whole rows, so no task has
-  to hold a key group.
+* valid  = rank 1 and a valid e-mail. The e-mail is part of the key, so a key group is all valid or
+  all invalid.
+* audit  = every other row, with all its reasons.
+* counts = one aggregate over the ranking.
 
-valid + audit = input, row for row, also for null e-mails (reason ``email_null``).
+valid + audit = input, row for row, also for null e-mails (reason ``email_null``) and for any
+tie-breakers, because no row is ranked twice. The ranking spreads a key that holds a third of all
+rows, or that many identical rows, over tasks (``functions.ranking``).
 """
 
 from __future__ import annotations
@@ -34,7 +34,9 @@ EMAIL_PATTERN = r".+@.+\..+"
 REASON_EMAIL_NULL = "email_null"
 REASON_EMAIL_INVALID = "email_invalid"
 REASON_DUPLICATE = "duplicate"
+REASON_CORRUPT = "corrupt_record"
 
+_RANK = "__rank"
 
 
 def default_order() -> list[Column]:
@@ -178,21 +180,35 @@ def survivors(
 
 @dataclass
 class QualitySplit:
-    valid: DataFrame
-    audit: DataFrame
+    ranked: DataFrame  # materialised: the input and ``__rank``
+    email_col: str = "email"
+
+    @property
+    def _columns(self) -> list[str]:
+        return [c for c in self.ranked.columns if c != _RANK]
+
+    def _passed(self) -> Column:
+        return (F.col(_RANK) == 1) & F.coalesce(email_is_valid(self.email_col), F.lit(False))
+
+    @property
+    def valid(self) -> DataFrame:
+        return self.ranked.filter(self._passed()).select(*self._columns)
+
+    @property
+    def audit(self) -> DataFrame:
+        reasons = _reasons(F.col(self.email_col), F.col(_RANK) > 1).alias("reasons")
+        return self.ranked.filter(~self._passed()).select(*self._columns, reasons)
 
     def counts(self) -> DataFrame:
         """input / valid / bad and the three reason counts, one row, one job."""
-        tagged = self.valid.select(F.lit(True).alias("__valid"), F.lit(None).cast("array<string>").alias("reasons")).unionByName(
-            self.audit.select(F.lit(False).alias("__valid"), "reasons")
-        )
-        return tagged.agg(
+        email, ok = F.col(self.email_col), email_is_valid(self.email_col)
+        return self.ranked.agg(
             F.count(F.lit(1)).alias("input_rows"),
-            F.count_if("__valid").alias("valid_rows"),
-            F.count_if(~F.col("__valid")).alias("bad_rows"),
-            F.count_if(F.array_contains("reasons", REASON_EMAIL_NULL)).alias("email_null"),
-            F.count_if(F.array_contains("reasons", REASON_EMAIL_INVALID)).alias("email_invalid"),
-            F.count_if(F.array_contains("reasons", REASON_DUPLICATE)).alias("duplicates"),
+            F.count_if(self._passed()).alias("valid_rows"),
+            F.count_if(~self._passed()).alias("bad_rows"),
+            F.count_if(email.isNull()).alias("email_null"),
+            F.count_if(email.isNotNull() & ~ok).alias("email_invalid"),
+            F.count_if(F.col(_RANK) > 1).alias("duplicates"),
         )
 
 
@@ -216,54 +232,9 @@ def split_employees(
 ) -> QualitySplit:
     """V4: valid employees (deduplicated, valid e-mail) and the audit of every other row.
 
-    The audit comes from ONE aggregate over ``input (+1) UNION ALL survivors (-1)`` grouped by
-    the whole row: a group of ``n`` identical input rows of which ``k`` survived yields
-    ``n - k`` duplicates, plus the ``k`` survivors when their e-mail is invalid. This is the
-    multiset difference ``input EXCEPT ALL survivors`` and the invalid survivors in one
-    partial-aggregated pass, with the survivor window evaluated once.
-    """
-    kept = survivors(df, keys, order, tie_breakers)
-    email = F.col(email_col)
-    valid = kept.filter(email_is_valid(email))
-    cols = df.columns
-    counted = (
-        df.withColumn("__w", F.lit(1))
-        .unionByName(kept.withColumn("__w", F.lit(-1)))
-        .groupBy(*cols)
-        .agg(F.count_if(F.col("__w") > 0).alias("__n"), F.count_if(F.col("__w") < 0).alias("__k"))
-    )
-    copies = expand_counts(counted, "__n", "__i")
-    is_dup = F.col("__i") > F.col("__k")
-    audit = (
-        copies.filter(is_dup | ~F.coalesce(email_is_valid(email), F.lit(False)))
-        .withColumn("reasons", _reasons(email, is_dup))
-        .select(*cols, "reasons")
-    )
-    return QualitySplit(valid=valid, audit=audit)
-
-
-# rows one task generates for a repeated row before the expansion is split across tasks
-EXPAND_CHUNK = 100_000
-
-
-def expand_counts(counted: DataFrame, count_col: str, index_col: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
-    """One output row per copy: ``index_col`` runs 1..count for every input row.
-
-    Ordinary rows expand in place. A row repeated more than ``chunk`` times (a group of
-    identical copies) is first cut into chunk descriptors, which are spread over tasks by a
-    hash shuffle of that tiny set, and each task expands at most ``chunk`` copies.
-    """
-    n = F.col(count_col).cast("bigint")
-    small = counted.filter(n <= chunk).withColumn(index_col, F.explode(F.sequence(F.lit(1).cast("bigint"), n)))
-    big = counted.filter(n > chunk)
-    first = F.col("__chunk") * chunk + 1
-    chunks = (
-        big.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / F.lit(chunk)).cast("bigint"))))
-        .repartition(F.xxhash64(*counted.columns, "__chunk"))
-        .withColumn(index_col, F.explode(F.sequence(first, F.least(first + chunk - 1, n))))
-        .drop("__chunk")
-    )
-    return small.unionByName(chunks)
+    Runs the ranking when called; the input is scanned once."""
+    ranked = distributed_row_number(df, keys, dedup_order(df, keys, order, tie_breakers), out=_RANK)
+    return QualitySplit(ranked.checkpoint(eager=True), email_col)
 
 
 def valid_employees(df: DataFrame, **kwargs) -> DataFrame:

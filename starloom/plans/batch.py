@@ -1,47 +1,40 @@
 """The batch job (C7): one run of the warehouse load, gated by the stored high-water mark.
 
 Order of a run (every step is a Spark job over the whole input; the driver only receives the
-one-row decision and the observed counts):
+one-row decision and counts):
 
 1. schema check of the three inputs (names; types with ``strict_types``);
 2. decision from the batch maximum and the stored mark: first load, incremental or skip;
-3. employee quality split; the audit is written as CSV with its reasons;
-4. surrogate keys: new natural keys are appended to the key map, then all ids are attached;
-5. first load: employee dimension (type 2 staging), city and date dimensions, sales fact;
-   incremental: type 1 merge of the sales slice into the touched fact partitions, type 2 merge of
-   the employee dimension, stored dates kept;
-6. the mark is appended last.
-
-Replays are safe: the merges are idempotent and the mark is written after all tables, so a run
-that stops anywhere is simply run again. Merged data is checkpointed to the shared checkpoint
-folder before it overwrites the partitions it was read from.
+3. employee quality split from one ranking; the audit is written as CSV with its reasons;
+4. surrogate keys: new natural keys join the key map, then all ids are attached;
+5. the sales to load, one row per key, are materialised once and feed the fact, the dates and the
+   counts. First load: every table is replaced. Incremental: type 1 merge into the touched fact
+   partitions, type 2 merge of the touched departments, dates added to the stored ones;
+6. one appended control row commits the versions of all tables and the mark.
+
+Nothing a run writes is visible before step 6 (``plans.store``), so a run that stops anywhere, also
+in the middle of a write, leaves the tables of the last commit, and is simply run again.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
+from typing import Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.operators import control, dims, facts, merge, quality
 from starloom.plans import publish
-from starloom.session import shared_root
-from starloom.sources.io import WriteMode, read_if_exists, read_table, write_table
+from starloom.plans.store import Run, Store
+from starloom.session import written
+from starloom.sources.io import delete_path, read_table
 
-
-@dataclass(frozen=True)
-class Layout:
-    """Folder of every published table under one root."""
-
-    root: str
-
-    def __getattr__(self, name: str) -> str:
-        if name in ("employee_dim", "city_dim", "sales_fact", "date_dim", "key_map", "audit", "rejects", "control"):
-            return f"{self.root.rstrip('/')}/{name}"
-        raise AttributeError(name)
+#: Column that holds an input line which its schema cannot parse.
+CORRUPT = "corrupt_record"
 
 
 @dataclass
@@ -52,14 +45,10 @@ class BatchOutcome:
     metrics: dict = field(default_factory=dict)
 
 
-def _ts_literal(value: dt.datetime, like: DataFrame, col: str):
-    return F.lit(value.isoformat(sep=" ")).cast(like.schema[col].dataType)
-
-
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: cuts the lineage to the files being replaced."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def interval(lookback: dt.timedelta | str | None) -> str | None:
+    if isinstance(lookback, dt.timedelta):
+        return f"{lookback // dt.timedelta(microseconds=1)} microseconds"
+    return lookback
 
 
 def _fact_update_columns(change_on: str) -> list[str]:
@@ -67,10 +56,6 @@ def _fact_update_columns(change_on: str) -> list[str]:
     return cols + ["strict_hash"] if change_on == "strict_hash" else cols
 
 
-def _employee_columns(df: DataFrame) -> list[str]:
-    return ["emp_id"] + [f.name for f in schemas.EMPLOYEES.fields]
-
-
 def run_batch(
     spark: SparkSession,
     employees: DataFrame,
@@ -78,20 +63,21 @@ def run_batch(
     cities: DataFrame,
     root: str,
     as_of: dt.date,
-    lookback: dt.timedelta | None = None,
+    lookback: dt.timedelta | str | None = None,
     tie_breakers: list[str] | None = None,
     strict_types: bool = False,
-    stable_event_time: bool = False,
     mark_granularity: str = "exact",
     natural_key: list[str] | None = None,
     clean: bool = False,
     change_on: str = "record_hash",
+    fmt: str = "parquet",
+    corrupt: Mapping[str, DataFrame] | None = None,
 ) -> BatchOutcome:
-    """Run one load into ``root``; returns the decision and the observed counts.
+    """Run one load into ``root``; returns the decision and the counts.
 
-    ``lookback`` re-reads source rows up to that long before the stored mark (late corrections).
-    ``stable_event_time=True`` asserts that a sale never changes its ``transacted_at``; the key
-    lookup of the merge then reads only fact partitions at or after the slice's lower bound.
+    ``lookback`` re-reads source rows up to that long before the stored mark (late corrections); a
+    delivery whose latest sale lies in that window is loaded too, and never moves the mark back. A
+    delivery that is skipped is skipped as a whole, its employees included.
     ``mark_granularity="day"`` stores the last microsecond of the greatest date instead of the
     exact greatest timestamp (later rows of that day then count as processed).
     ``clean=True`` trims names and lower-cases e-mails (V7) before the quality rules.
@@ -100,6 +86,10 @@ def run_batch(
     ``natural_key`` identifies a person for the surrogate key (default: the dedup business key).
     A narrower key such as ``["email"]`` tracks transfers as new versions; rows that share it
     after the quality split are deduplicated again with the same preference.
+    ``fmt`` is the format of the published tables (the audit is always CSV).
+    ``corrupt`` has the unparsable lines of each input by its name, in a column ``corrupt_record``;
+    those of the employees go to the audit, those of the sales to the rejects, and all to
+    ``corrupt_lines``.
     """
     if mark_granularity not in ("exact", "day"):
         raise ValueError("mark_granularity must be 'exact' or 'day'")
@@ -107,144 +97,149 @@ def run_batch(
         raise ValueError("change_on must be 'record_hash' or 'strict_hash'")
     strict = change_on == "strict_hash"
     natural_key = list(natural_key or schemas.EMPLOYEE_KEY)
-    layout = Layout(root)
     quality.check_schema(employees, schemas.EMPLOYEES, strict_types)
     quality.check_schema(sales, schemas.SALES, strict_types)
     quality.check_schema(cities, schemas.CITIES, strict_types)
 
-    ctl = control.read_control(spark, layout.control)
-    batch = facts.batch_max(sales)
-    row = control.decide(batch, ctl, mark_col="day_mark" if mark_granularity == "day" else "max_ts").first()
+    store = Store(spark, root, fmt)
+    run = store.begin()
+    mark_col = "day_mark" if mark_granularity == "day" else "max_ts"
+    decision = run.work(control.decide(facts.batch_max(sales), store.control(), mark_col=mark_col, lookback=interval(lookback)), "decision")
+    row = decision.select("decision", "stored_mark", "batch_max").first()
     outcome = BatchOutcome(row["decision"], row["stored_mark"], row["batch_max"])
-    next_seq = (row["stored_seq"] or 0) + 1
     if outcome.decision == control.SKIP:
+        run.close()
         return outcome
 
-    # 3. quality split and audit
+    # 3. quality split, counts and audit
     if clean:
         employees = quality.clean_employees(employees)
     split = quality.split_employees(employees, tie_breakers=tie_breakers)
-    audit_obs = Observation()
-    audit = quality.audit_for_csv(split.audit).observe(audit_obs, F.count(F.lit(1)).alias("bad_rows"))
-    write_table(audit, layout.audit, fmt="csv", mode=WriteMode.OVERWRITE, rebalance=False)
-    outcome.metrics.update(publish.observed(audit_obs))
-    # the valid set feeds keys, the fact's employee count and the staging: materialise it once
-    valid = _checkpointed(split.valid)
+    outcome.metrics.update(split.counts().first().asDict())
+    audit = quality.audit_for_csv(split.audit)
+    if corrupt:
+        audit = _publish_corrupt(run, audit, corrupt, outcome)
+    run.replace("audit", audit, fmt="csv")
 
     # 4. surrogate keys, stable across runs
-    key_map = read_if_exists(spark, layout.key_map)
-    people = valid
+    people = split.valid
     if natural_key != schemas.EMPLOYEE_KEY:
         people = quality.survivors(people, natural_key, tie_breakers=tie_breakers)
-    assignment = dims.assign_keys(people, natural_key, key_map, keys_unique=True)  # one row per key after the split
-    write_table(assignment.new_keys, layout.key_map, mode=WriteMode.APPEND, rebalance=False)
-    key_map = read_table(spark, layout.key_map)
-    with_ids = dims.attach_keys(people, key_map, natural_key)
-    staged_employees = facts.employee_staging(with_ids.select(*_employee_columns(with_ids)), as_of, strict=strict)
+    people = run.work(people, "people")
+    key_map = store.read("key_map") if store.has("key_map") else None
+    new_keys = run.work(dims.assign_keys(people, natural_key, key_map, keys_unique=True).new_keys, "new-keys")
+    run.append("key_map", new_keys)
+    with_ids = dims.attach_keys(people, new_keys if key_map is None else key_map.unionByName(new_keys), natural_key)
+    staged = facts.employee_staging(with_ids.select("emp_id", *schemas.EMPLOYEES.fieldNames()), as_of, strict=strict)
 
-    city_dim = dims.city_dim(cities)
-    write_table(city_dim, layout.city_dim, partition_by=schemas.CITY_DIM_PARTITIONS)
+    # a city may move to another country, so its dimension is always replaced as a whole
+    run.replace("city_dim", dims.city_dim(cities), schemas.CITY_DIM_PARTITIONS)
 
     if outcome.decision == control.FIRST_LOAD:
-        _first_load(spark, layout, valid, staged_employees, sales, outcome, change_on)
+        _first_load(run, people, staged, sales, outcome, change_on)
     else:
-        _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback, stable_event_time, outcome, change_on)
+        lower = decision.select("lower").scalar()
+        _incremental(run, people, run.work(staged, "employees"), control.incremental_slice(sales, lower), as_of, outcome, change_on)
 
-    control.commit_mark(spark, layout.control, control.SALES_MARK_KEY, outcome.batch_max, seq=next_seq)
+    run.commit(control.SALES_MARK_KEY, decision.select(F.greatest("stored_mark", "batch_max").alias("mark_value")))
     return outcome
 
 
+def _publish_corrupt(run: Run, audit: DataFrame, corrupt: Mapping[str, DataFrame], outcome: BatchOutcome) -> DataFrame:
+    """Keep the unparsable lines of this delivery; returns the audit with those of the employees."""
+    lines = [df.select(F.lit(name).alias("input"), CORRUPT) for name, df in corrupt.items()]
+    kept = run.work(quality.union_all(lines).withColumn("batch", F.lit(_batch_name(run))), "corrupt")
+    run.rewrite("corrupt_lines", kept, kept.sparkSession.range(1).select(F.lit(_batch_name(run)).alias("batch")), ["batch"])
+    outcome.metrics.update({f"corrupt_{r['input']}": r["count"] for r in kept.groupBy("input").count().collect()})
+    bad = kept.filter(F.col("input") == "employees").select(CORRUPT, F.lit(quality.REASON_CORRUPT).alias("reasons"))
+    return audit.withColumn(CORRUPT, F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True)
+
+
+def _batch_name(run: Run) -> str:
+    return f"load-{run.store.seq + 1:08d}"
+
+
 # Fixed order among several deliveries of one sale: latest transacted_at, then the values.
 _SALES_DEDUP_ORDER = ["transacted_at", "retailer_id", "description", "amount", "city_id"]
 
 
-def _sales_keyed(layout: Layout, sales: DataFrame, outcome: BatchOutcome) -> DataFrame:
-    """Sales that can enter the fact: null keys go to the rejects table, one row per key.
+def _keyed_sales(run: Run, sales: DataFrame, outcome: BatchOutcome) -> DataFrame:
+    """The sales to load, one row per key, materialised once; null keys become this load's rejects.
 
-    The fact keeps one row per trx_id (every later merge relies on it), so the first load
-    applies the same rules as the incremental merge.
-    """
-    rejected = sales.filter(F.col("trx_id").isNull())
-    if not rejected.isEmpty():
-        write_table(rejected, layout.rejects, mode=WriteMode.OVERWRITE, rebalance=False)
-    keyed = sales.filter(F.col("trx_id").isNotNull())
-    obs = Observation()
-    keyed = keyed.observe(obs, F.count(F.lit(1)).alias("sales_keyed_rows"))
-    outcome.metrics["_keyed_obs"] = obs
-    return merge.latest_per_key(keyed, "trx_id", _SALES_DEDUP_ORDER)
-
-
-def _collect_keyed_count(outcome: BatchOutcome) -> None:
-    obs = outcome.metrics.pop("_keyed_obs", None)
-    if obs is not None:
-        outcome.metrics.update(publish.observed(obs))
-
-
-def _first_load(spark, layout, valid, staged_employees, sales, outcome, change_on) -> None:
-    write_table(staged_employees, layout.employee_dim, partition_by=schemas.EMPLOYEE_DIM_PARTITIONS)
-    keyed = _sales_keyed(layout, sales, outcome)
-    fact = facts.sales_staging(facts.add_year_month(facts.assign_employee(keyed, valid)), strict=change_on == "strict_hash")
-    obs = Observation()
-    fact = fact.observe(obs, F.count(F.lit(1)).alias("fact_rows"))
-    write_table(fact, layout.sales_fact, partition_by=schemas.SALES_FACT_PARTITIONS)
-    outcome.metrics.update(publish.observed(obs))
-    _collect_keyed_count(outcome)
-    write_table(dims.date_dim(keyed), layout.date_dim, rebalance=False)
-
-
-def _incremental(spark, layout, valid, staged_employees, sales, as_of, lookback, stable_event_time, outcome, change_on) -> None:
-    lower = outcome.stored_mark - (lookback or dt.timedelta(0))
-    batch = sales.filter(F.col("transacted_at") > _ts_literal(lower, sales, "transacted_at"))
-
-    # type 1 merge of the sales slice into the touched fact partitions
-    fact = read_table(spark, layout.sales_fact)
-    if stable_event_time:
-        fact = fact.filter(control.partition_floor(lower))
-    keyed = _sales_keyed(layout, batch, outcome)
-
-    known = publish.known_rows(fact, "trx_id", change_on, schemas.SALES_FACT_PARTITIONS, extra={"emp_id": "__known_emp"})
-    looked_up = publish.lookup(keyed, known, "trx_id")
-    # an existing sale keeps its employee; a new one gets the hash assignment of this run
-    assigned = facts.assign_employee(looked_up, valid, out="__new_emp").withColumn(
-        "emp_id", F.coalesce(F.col("__known_emp"), F.col("__new_emp"))
+    The fact keeps one row per trx_id (every later merge relies on it), so the first load applies the
+    same rules as the incremental merge."""
+    batch = _batch_name(run)
+    rejects = sales.filter(F.col("trx_id").isNull()).withColumn("batch", F.lit(batch))
+    run.rewrite("rejects", rejects, run.spark.range(1).select(F.lit(batch).alias("batch")), ["batch"])
+    keyed = merge.latest_per_key(sales.filter(F.col("trx_id").isNotNull()), "trx_id", _SALES_DEDUP_ORDER)
+    keyed = run.work(keyed, "sales")
+    outcome.metrics["sales_rows"] = keyed.count()
+    return keyed
+
+
+def _first_load(run: Run, people: DataFrame, staged: DataFrame, sales: DataFrame, outcome: BatchOutcome, change_on: str) -> None:
+    run.replace("employee_dim", staged, schemas.EMPLOYEE_DIM_PARTITIONS, key="emp_id")
+    keyed = _keyed_sales(run, sales, outcome)
+    fact = facts.sales_staging(facts.add_year_month(facts.assign_employee(keyed, people)), strict=change_on == "strict_hash")
+    run.replace("sales_fact", fact, schemas.SALES_FACT_PARTITIONS, key="trx_id")
+    outcome.metrics["fact_rows"] = run.rows_of("sales_fact")
+    run.replace("date_dim", dims.date_dim(keyed))
+
+
+def _incremental(run: Run, people: DataFrame, staged: DataFrame, sales: DataFrame, as_of: dt.date, outcome: BatchOutcome, change_on: str) -> None:
+    keyed = _keyed_sales(run, sales, outcome)
+
+    # type 1 merge of the sales into the touched fact partitions
+    parts = schemas.SALES_FACT_PARTITIONS
+    known = publish.known_rows(run, "sales_fact", keyed, "trx_id", [change_on, *parts, "emp_id"])
+    # a stored sale keeps its employee; a new one gets the hash assignment of this run
+    assigned = facts.assign_employee(keyed.join(known, "trx_id", "left"), people, out="__new_emp").withColumn(
+        "emp_id", F.coalesce(F.col("__known_emp_id"), F.col("__new_emp"))
     )
-    staged = facts.sales_staging(facts.add_year_month(assigned), strict=change_on == "strict_hash")
-    classified = publish.classify(staged, fact.columns, change_on, schemas.SALES_FACT_PARTITIONS)
+    prepared = facts.sales_staging(facts.add_year_month(assigned), strict=change_on == "strict_hash")
+    columns = run.store.tables["sales_fact"].fields.fieldNames()
+    changes = publish.changes_of(run, prepared, columns, change_on, parts)
     counts = publish.rewrite_touched(
-        fact,
-        classified,
-        layout.sales_fact,
-        "trx_id",
-        schemas.SALES_FACT_PARTITIONS,
-        merge_fn=lambda changes, target: merge.merge_scd1(
-            changes, target, update_columns=_fact_update_columns(change_on), hash_col=change_on, on_duplicate="unique"
-        ).merged,
+        run, "sales_fact", changes, "trx_id", parts,
+        lambda new, target: merge.merge_scd1(new, target, update_columns=_fact_update_columns(change_on), hash_col=change_on, on_duplicate="unique").merged,
     )
     outcome.metrics.update({f"fact_{k}": v for k, v in counts.items()})
-    _collect_keyed_count(outcome)
 
     # type 2 merge of the employee dimension: only departments with new or changed employees
     parts = schemas.EMPLOYEE_DIM_PARTITIONS
-    dim = read_table(spark, layout.employee_dim).select(*staged_employees.columns)
-    current = dim.filter(F.coalesce(F.col("is_current"), F.lit(False)))
-    looked_up = publish.lookup(staged_employees, publish.known_rows(current, "emp_id", change_on, parts), "emp_id")
-    classified = publish.classify(looked_up, staged_employees.columns, change_on, parts, moves_rows=True)
+    known = publish.known_rows(run, "employee_dim", staged, "emp_id", [change_on, *parts, "is_current"])
+    known = known.filter(F.coalesce("__known_is_current", F.lit(False)))
+    changes = publish.changes_of(run, staged.join(known, "emp_id", "left"), staged.columns, change_on, parts, moves_rows=True)
     counts = publish.rewrite_touched(
-        dim,
-        classified,
-        layout.employee_dim,
-        "emp_id",
-        parts,
-        merge_fn=lambda changes, target: merge.merge_scd2(changes, target, as_of, hash_col=change_on),
-        change_types=(merge.NEW, merge.CHANGED, merge.EXPIRED, merge.SAME, merge.KEPT, merge.HISTORY),
+        run, "employee_dim", changes, "emp_id", parts, lambda new, target: merge.merge_scd2(new, target, as_of, hash_col=change_on)
     )
-    outcome.metrics.update({f"employee_{k}": v for k, v in counts.items()})
+    outcome.metrics.update({f"employee_{merge.NEW}": counts[merge.INSERT], f"employee_{merge.CHANGED}": counts[merge.UPDATE]})
 
     # dates of this slice together with the stored ones
-    stored_dates = read_if_exists(spark, layout.date_dim)
-    dates = _checkpointed(dims.date_dim(keyed, stored=stored_dates))
-    write_table(dates, layout.date_dim, rebalance=False)
+    run.replace("date_dim", dims.date_dim(keyed, stored=run.store.read("date_dim")))
+
+
+def run_batch_from(spark: SparkSession, paths: Mapping[str, str], root: str, as_of: dt.date, fmt: str = "csv", **options) -> BatchOutcome:
+    """Run one load from files: ``paths`` has those of ``employees``, ``sales`` and ``cities`` in ``fmt``.
+
+    Files are read with the declared schemas. Text files are parsed once, into columns; lines that do
+    not parse are kept apart and published (see ``corrupt`` of ``run_batch``) instead of becoming rows
+    of nulls.
+    """
+    work = f"{root.rstrip('/')}/_work/parsed-{uuid.uuid4().hex[:8]}"
+    inputs, corrupt = {}, {}
+    for name, schema in (("employees", schemas.EMPLOYEES), ("sales", schemas.SALES), ("cities", schemas.CITIES)):
+        if fmt in ("csv", "json"):
+            df = written(read_table(spark, paths[name], fmt, schema, corrupt_column=CORRUPT), f"{work}/{name}")
+            corrupt[name] = df.filter(F.col(CORRUPT).isNotNull())
+            inputs[name] = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        else:
+            inputs[name] = read_table(spark, paths[name], fmt, schema)
+    outcome = run_batch(spark, inputs["employees"], inputs["sales"], inputs["cities"], root, as_of, corrupt=corrupt or None, **options)
+    delete_path(spark, work)
+    return outcome
 
 
 def published(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return read_table(spark, getattr(Layout(root), table))
+    """A table as of the last commit."""
+    return Store(spark, root).read(table)

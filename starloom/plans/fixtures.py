@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.sources.io import write_table
+
 # Fixed value: run date used by every fixture query (never current_date).
 AS_OF = dt.date(2024, 6, 1)
 
@@ -84,9 +86,12 @@ def sales_after(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored state: older amounts on every seventh sale, a tenth not yet loaded, extra old rows."""
+    """The stored state: older amounts on every seventh sale, a tenth not yet loaded, extra old rows.
+
+    A sale that the next delivery leaves out is always stored, so every sale is on at least one side.
+    """
     s = sales(spark, sf_dir)
-    changed = s.filter(F.col("trx_id") % 10 != 0).withColumn(
+    changed = s.filter((F.col("trx_id") % 10 != 0) | (F.col("trx_id") % 11 == 0)).withColumn(
         "amount", F.when(F.col("trx_id") % 7 == 0, F.col("amount") + 1).otherwise(F.col("amount"))
     )
     extra = s.filter(F.col("trx_id") % 50 == 0).withColumn("trx_id", F.col("trx_id") + 1000000)
@@ -104,7 +109,7 @@ def emp_after(spark: SparkSession, sf_dir: str) -> DataFrame:
 def emp_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored type 2 dimension: current rows (some older salaries) and closed history rows."""
     e = employees(spark, sf_dir)
-    current = e.filter(F.col("src_id") % 10 != 0).select(
+    current = e.filter((F.col("src_id") % 10 != 0) | (F.col("src_id") % 11 == 0)).select(
         F.col("src_id").cast("int").alias("emp_id"),
         *[c for c in _EMP_COLUMNS if c != "salary"],
         F.when(F.col("src_id") % 7 == 0, F.col("salary") + 1).otherwise(F.col("salary")).alias("salary"),
@@ -139,12 +144,15 @@ def control_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_inputs(spark: SparkSession, sf_dir: str, run: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Inputs of two consecutive loads.
+    """Inputs of a load.
 
-    run 1: employees without every eleventh, the stored sales state up to the end of 2000
-    (undated rows included); run 2: all employees and the next full delivery of sales.
+    run 0: everything, for queries of a single load. Two consecutive loads: run 1, employees without
+    every eleventh, the stored sales state up to the end of 2000 (undated rows included); run 2, all
+    employees and the next full delivery of sales.
     """
     e = employees(spark, sf_dir)
+    if run == 0:
+        return e, sales(spark, sf_dir), cities(spark, sf_dir)
     if run == 1:
         ts = F.col("transacted_at")
         return (
@@ -153,3 +161,36 @@ def batch_inputs(spark: SparkSession, sf_dir: str, run: int) -> tuple[DataFrame,
             cities(spark, sf_dir),
         )
     return e, sales_after(spark, sf_dir), cities(spark, sf_dir)
+
+
+def late_sales() -> Column:
+    """The sales that arrive after the load of their time: a ninth of six weeks."""
+    ts = F.col("transacted_at")
+    day = lambda text: F.lit(text).cast("timestamp_ntz")
+    return F.coalesce((F.col("trx_id") % 9 == 0) & (ts >= day("2000-11-01")) & (ts < day("2000-12-15")), F.lit(False))
+
+
+def late_inputs(spark: SparkSession, sf_dir: str, run: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """run 1: all sales up to the end of 2000 but the late ones; run 2: only these."""
+    s = sales(spark, sf_dir)
+    if run == 1:
+        ts = F.col("transacted_at")
+        s = s.filter(~late_sales() & (ts.isNull() | (ts < F.lit("2001-01-01").cast("timestamp_ntz"))))
+    else:
+        s = s.filter(late_sales())
+    return employees(spark, sf_dir), s, cities(spark, sf_dir)
+
+
+def csv_inputs(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    """The three inputs as CSV files with the declared columns, some lines with an unparsable field."""
+    paths = {name: f"{root}/{name}" for name in ("employees", "sales", "cities")}
+    good = employees(spark, sf_dir).drop("src_id")
+    text = lambda df: df.select(*[F.col(c).cast("string") for c in df.columns])
+    bad = good.filter(F.col("phone") == "5557").withColumn("last_name", F.upper("last_name"))
+    bad = text(bad).withColumn("dob", F.lit("not a date"))
+    write_table(text(good).unionByName(bad), paths["employees"], fmt="csv")
+    s = sales(spark, sf_dir)
+    bad_sales = text(s.filter(F.col("trx_id") % 600 == 0)).withColumn("amount", F.lit("n/a"))
+    write_table(text(s).unionByName(bad_sales), paths["sales"], fmt="csv")
+    write_table(cities(spark, sf_dir), paths["cities"], fmt="csv")
+    return paths

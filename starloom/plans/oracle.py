@@ -50,7 +50,7 @@ fx_sales_after as (select * from fx_sales where trx_id % 11 <> 0)""",
 fx_sales_before as (
   select transacted_at, trx_id, retailer_id, description,
          case when trx_id % 7 = 0 then amount + 1 else amount end as amount, city_id
-  from fx_sales where trx_id % 10 <> 0
+  from fx_sales where trx_id % 10 <> 0 or trx_id % 11 = 0
   union all
   select transacted_at, trx_id + 1000000, retailer_id, description, amount, city_id
   from fx_sales where trx_id % 50 = 0)""",
@@ -63,7 +63,7 @@ fx_emp_before as (
   select cast(src_id as integer) as emp_id, first_name, last_name, job_title, dob, email, phone,
          case when src_id % 7 = 0 then salary + 1 else salary end as salary, department_id,
          date '2024-01-01' as effective_start_date, cast(null as date) as effective_end_date, true as is_current
-  from fx_employees where src_id % 10 <> 0
+  from fx_employees where src_id % 10 <> 0 or src_id % 11 = 0
   union all
   select cast(src_id as integer), first_name, last_name, 'OLD', dob, email, phone, salary, department_id,
          date '2023-01-01', date '2024-01-01', false
@@ -247,6 +247,15 @@ def employee_rank() -> str:
     return with_fixtures(["fx_employees"], "select * from emp_ranked", [EMP_RANKED])
 
 
+def employee_chain() -> str:
+    body = f"""
+select *, {EMAIL_OK} as is_valid_email,
+       cast(row_number() over (partition by department_id, phone, email order by {DEDUP_ORDER}) as integer) as row_num
+from (select src_id, trim(first_name) as first_name, trim(last_name) as last_name, job_title, dob,
+             lower(trim(email)) as email, phone, salary, department_id from fx_employees)"""
+    return with_fixtures(["fx_employees"], body)
+
+
 def valid_employees() -> str:
     return with_fixtures(["fx_employees"], "select * from emp_valid", [EMP_RANKED, EMP_VALID])
 
@@ -299,8 +308,10 @@ def city_dim() -> str:
     return with_fixtures(["fx_cities"], "select * from city_dim", [CITY_DIM])
 
 
-def sales_city(enriched: bool) -> str:
-    if enriched:
+def sales_city(how: str) -> str:
+    if how == "left":
+        body = "select s.*, c.city, c.state, c.state_abv, c.country from fx_sales s left join city_dim c on s.city_id = c.city_id"
+    elif how == "inner":
         body = "select s.*, c.city, c.state, c.state_abv, c.country from fx_sales s join city_dim c on s.city_id = c.city_id"
     else:
         body = "select s.* from fx_sales s where not exists (select 1 from city_dim c where c.city_id = s.city_id)"
@@ -394,6 +405,23 @@ def scd1_merge() -> str:
     return with_fixtures(["fx_sales_before", "fx_sales_after"], "select * exclude (change_type) from merged", _SCD1_SIDES + [SCD1_MERGED])
 
 
+def scd1_strict_merge() -> str:
+    sides = [side.replace("as record_hash from", f"as record_hash, {_strict_hash(SALES_HASH)} as strict_hash from", 1) for side in _SCD1_SIDES]
+    pick = "case when t.trx_id is null or (s.trx_id is not null and s.strict_hash <> t.strict_hash) then s.strict_hash else t.strict_hash end as strict_hash"
+    merged = SCD1_MERGED.replace("s.record_hash <> t.record_hash", "s.strict_hash <> t.strict_hash")
+    merged = merged.replace("when s.record_hash = t.record_hash", "when s.strict_hash = t.strict_hash").replace("merged as (select ", f"merged as (select {pick}, ")
+    return with_fixtures(["fx_sales_before", "fx_sales_after"], "select * from merged", sides + [merged])
+
+
+def scd1_merge_null_keys() -> str:
+    sides = [_SCD1_SIDES[0].replace("tgt as", "whole as"), _SCD1_SIDES[1], "tgt as (select * from whole where trx_id % 50 <> 1)"]
+    body = """
+select * from merged
+union all by name
+select * replace (cast(null as integer) as trx_id), 'retained' as change_type from whole where trx_id % 50 = 1"""
+    return with_fixtures(["fx_sales_before", "fx_sales_after"], body, sides + [SCD1_MERGED])
+
+
 def scd1_change_types() -> str:
     return with_fixtures(
         ["fx_sales_before", "fx_sales_after"],
@@ -450,6 +478,15 @@ def scd2_merge() -> str:
     return with_fixtures(["fx_emp_before", "fx_emp_after"], f"select * from ({SCD2_BODY})", _SCD2_SIDES)
 
 
+def scd2_merge_null_keys() -> str:
+    body = f"""
+select * from ({SCD2_BODY})
+union all
+select * replace (cast(null as integer) as emp_id), case when is_current then 'retained' else 'history' end from whole where emp_id % 20 = 1"""
+    sides = [_SCD2_SIDES[0], _SCD2_SIDES[1].replace("tgt as", "whole as"), "tgt as (select * from whole where emp_id % 20 <> 1)", _SCD2_SIDES[2]]
+    return with_fixtures(["fx_emp_before", "fx_emp_after"], body, sides)
+
+
 def scd2_current() -> str:
     return with_fixtures(
         ["fx_emp_before", "fx_emp_after"], f"select * exclude (change_type) from ({SCD2_BODY}) where is_current", _SCD2_SIDES
@@ -478,7 +515,7 @@ from fx_sales"""
 
 
 def incremental_slice() -> str:
-    return with_fixtures(["fx_sales", "fx_control"], f"select * from fx_sales where transacted_at > {STORED}", [LATEST])
+    return with_fixtures(["fx_sales", "fx_control"], f"select * from fx_sales where transacted_at is null or transacted_at > {STORED}", [LATEST])
 
 
 # ---------------------------------------------------------------- the batch job
@@ -506,8 +543,62 @@ def _first_load_ctes() -> list[str]:
     )
 
 
+def _whole_fact(source: str) -> list[str]:
+    """The fact of one load of ``source`` with all employees."""
+    return (
+        _ranked_valid("e0", "fx_employees")
+        + murmur3_ctes(source, "trx_id", "s0_h")
+        + [
+            f"""f0 as (select *, {_hash(SALES_HASH)} as record_hash from (
+  select {SALES_COLS}, {_emp_id_expr('(select n from e0_n)')} as emp_id, {YEAR_MONTH} from s0_h))"""
+        ]
+    )
+
+
 def batch_first_load() -> str:
-    return with_fixtures(["fx_employees", "fx_sales_before"], "select * from f1", _first_load_ctes())
+    return with_fixtures(["fx_employees", "fx_sales"], "select * from f0", _whole_fact("fx_sales"))
+
+
+def batch_late_delivery() -> str:
+    source = "s0 as (select * from fx_sales where transacted_at is null or transacted_at < timestamp '2001-01-01')"
+    return with_fixtures(["fx_employees", "fx_sales"], "select * from f0", [source] + _whole_fact("s0"))
+
+
+def batch_zoned_timestamps() -> str:
+    body = """
+select 'last_Processed_date' as mark_key, max(transacted_at) as mark_value, cast(1 as bigint) as seq
+from fx_sales_before where transacted_at < timestamp '2001-01-01'
+union all
+select 'last_Processed_date', max(transacted_at), cast(2 as bigint) from fx_sales_after"""
+    return with_fixtures(["fx_sales_before", "fx_sales_after"], body)
+
+
+def batch_email_key() -> str:
+    ctes = _ranked_valid("e0", "fx_employees") + [
+        f"people as (select * from (select *, row_number() over (partition by email order by {DEDUP_ORDER}) as n from e0_valid) where n = 1)",
+        "people_n as (select count(*) as n from people)",
+    ] + murmur3_ctes("fx_sales", "trx_id", "s0_h") + [
+        f"sold as (select {_emp_id_expr('(select n from people_n)')} as emp_id, count(*) as n_sales from s0_h group by 1)",
+        "ids as (select cast(row_number() over (order by email) as bigint) as emp_id, email from people)",
+    ]
+    return with_fixtures(["fx_employees", "fx_sales"], "select emp_id, email, n_sales from ids full outer join sold using (emp_id)", ctes)
+
+
+def batch_from_csv() -> str:
+    order = "salary desc nulls last, first_name nulls first, last_name nulls first, job_title nulls first, dob nulls first"
+    body = f"""
+select {EMP_COLS}, cast(null as varchar) as corrupt_record,
+       concat_ws(',', case when email is null then 'email_null' end,
+                      case when email is not null and not {EMAIL_OK} then 'email_invalid' end,
+                      case when row_num > 1 then 'duplicate' end) as reasons
+from (select *, row_number() over (partition by department_id, phone, email order by {order}) as row_num from fx_employees)
+where row_num > 1 or not coalesce({EMAIL_OK}, false)
+union all
+select null, null, null, null, null, null, null, null,
+       concat_ws(',', first_name, upper(last_name), job_title, 'not a date', email, phone, coalesce(cast(salary as varchar), ''), cast(department_id as varchar)),
+       'corrupt_record'
+from fx_employees where phone = '5557'"""
+    return with_fixtures(["fx_employees"], body)
 
 
 def batch_incremental() -> str:
@@ -515,7 +606,7 @@ def batch_incremental() -> str:
         _first_load_ctes()
         + _ranked_valid("e2", "fx_employees")
         + [
-            "slice as (select * from fx_sales_after where transacted_at > (select max(transacted_at) from s1) - interval 365 days)"
+            "slice as (select * from fx_sales_after where transacted_at is null or transacted_at > (select max(transacted_at) from s1) - interval 365 days)"
         ]
         + murmur3_ctes("slice", "trx_id", "slice_h")
         + [
@@ -544,10 +635,9 @@ select {EMP_COLS_Q},
        concat_ws(',', case when email is null then 'email_null' end,
                       case when email is not null and not {EMAIL_OK} then 'email_invalid' end,
                       case when row_num > 1 then 'duplicate' end) as reasons
-from e1_ranked
+from e0_ranked
 where row_num > 1 or not coalesce({EMAIL_OK}, false)"""
-    extra = ["emp1 as (select * from fx_employees where src_id % 11 <> 0)"] + _ranked_valid("e1", "emp1")
-    return with_fixtures(["fx_employees"], body, extra)
+    return with_fixtures(["fx_employees"], body, _ranked_valid("e0", "fx_employees"))
 
 
 def batch_employee_dim() -> str:
@@ -589,9 +679,8 @@ from (select cast(transacted_at as date) as d from s1 where transacted_at is not
 
 def batch_rerun_control() -> str:
     body = """
-select 'last_Processed_date' as mark_key, max(transacted_at) as mark_value, cast(1 as bigint) as seq
-from fx_sales_before where transacted_at < timestamp '2001-01-01'"""
-    return with_fixtures(["fx_sales_before"], body)
+select 'last_Processed_date' as mark_key, max(transacted_at) as mark_value, cast(1 as bigint) as seq from fx_sales"""
+    return with_fixtures(["fx_sales"], body)
 
 
 def oracle_queries() -> dict[str, str]:
@@ -604,13 +693,15 @@ def oracle_queries() -> dict[str, str]:
         "clean_employees": clean_employees(),
         "email_flag": email_flag(),
         "employee_rank": employee_rank(),
+        "employee_chain": employee_chain(),
         "valid_employees": valid_employees(),
         "bad_employee_audit": bad_employee_audit(),
         "quality_counts": quality_counts(),
         "employee_rules_valid": employee_rules(True),
         "employee_rules_bad": employee_rules(False),
-        "sales_city_enriched": sales_city(True),
-        "sales_city_orphans": sales_city(False),
+        "sales_city_enriched": sales_city("inner"),
+        "sales_city_left": sales_city("left"),
+        "sales_city_orphans": sales_city("left_anti"),
         "city_dim": city_dim(),
         "employee_dim_ids": employee_dim_ids(),
         "sales_fact_assigned": sales_fact_assigned(),
@@ -622,13 +713,21 @@ def oracle_queries() -> dict[str, str]:
         "scd1_merge": scd1_merge(),
         "scd1_change_types": scd1_change_types(),
         "scd1_snapshot": scd1_snapshot(),
+        "scd1_strict_merge": scd1_strict_merge(),
+        "scd1_merge_null_keys": scd1_merge_null_keys(),
         "scd2_merge": scd2_merge(),
+        "scd2_merge_null_keys": scd2_merge_null_keys(),
         "scd2_current": scd2_current(),
         "watermark_latest": watermark_latest(),
         "batch_decision": batch_decision(),
         "incremental_slice": incremental_slice(),
         "batch_first_load": batch_first_load(),
         "batch_incremental": batch_incremental(),
+        "batch_crash_replay": batch_incremental(),
+        "batch_late_delivery": batch_late_delivery(),
+        "batch_zoned_timestamps": batch_zoned_timestamps(),
+        "batch_email_key": batch_email_key(),
+        "batch_from_csv": batch_from_csv(),
         "stream_scd1_merge": scd1_merge(),
         "batch_audit": batch_audit(),
         "batch_employee_dim": batch_employee_dim(),

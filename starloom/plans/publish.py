@@ -1,16 +1,17 @@
-"""Type 1 upsert into a partitioned Parquet table, rewriting only the touched partitions.
-
-1. A narrow lookup (key, hash, partition columns) of the stored table classifies every staging
-   row: insert (key unknown), update (hash differs) or unchanged (dropped here).
-2. Touched partitions = partitions of the inserted rows and the stored partitions of the updated
-   keys. They are calendar months, a small bounded set, so they are broadcast; the stored table
-   is semi-joined with them (which also lets dynamic partition pruning skip the other folders).
-3. One full outer merge of the changes with the touched partitions; the result is checkpointed
-   to the shared checkpoint folder (so the overwrite never reads the files it replaces) and
-   written with dynamic partition overwrite.
-
-Merging the same staging again finds only unchanged rows and rewrites nothing: replays after a
-lost executor or a failed run are harmless.
+"""Key-wise upsert into a versioned, partitioned table; only the touched partitions are written.
+
+1. Lookup. The stored rows of the delivered keys, with key, hash and partition columns only. The map's
+   key ranges rule out partitions that cannot hold any of the keys; what is left is cut by a semi
+   join with the delivered keys, which AQE broadcasts once it has measured them small, so stored rows
+   are scanned and not shuffled.
+2. Classification. A delivered row is an insert (key unknown), an update (hash differs) or unchanged
+   (dropped here). The changes are written once, as Parquet.
+3. Touched partitions: those of the inserts and the stored ones of the updates (and, where a version
+   may move, its new one). The stored rows of these partitions are read through the map, merged with
+   the changes in one join and written to the run's version. There is one path for any number of
+   partitions, and their values stay in Spark.
+
+Merging the same delivery again finds no change and writes nothing.
 """
 
 from __future__ import annotations
@@ -18,183 +19,114 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators import merge
-from starloom.session import shared_root
-from starloom.sources.io import WriteMode, read_if_exists, write_table
+from starloom.plans.store import KEY_MAX, KEY_MIN, Run, Store, _null_safe
 
-
-# Most touched partitions turned into a literal partition filter; beyond it the stored table is
-# semi-joined with the touched set instead (AQE picks broadcast or shuffle by measured size).
-MAX_LITERAL_PARTITIONS = 10_000
+_TOUCHED = "__touched_"
+_KNOWN = "__known_"
 
 
 @dataclass
-class Classified:
-    changes: DataFrame  # staging rows that insert or update (checkpointed), staging columns only
-    touched: list[tuple] | None  # distinct partition values to rewrite; None when above the cap
-    touched_frame: DataFrame | None = None  # the same set as a DataFrame (always available)
-
-
-def known_rows(
-    stored: DataFrame, key: str, hash_col: str, partition_cols: Sequence[str], extra: dict[str, str] | None = None
-) -> DataFrame:
-    """The narrow lookup side: key, hash and partition columns (plus ``extra``), renamed."""
-    return stored.select(
-        key,
-        F.col(hash_col).alias("__known_hash"),
-        *[F.col(c).alias(f"__known_{c}") for c in partition_cols],
-        *[F.col(c).alias(alias) for c, alias in (extra or {}).items()],
-    )
+class Changes:
+    rows: DataFrame  # inserts and updates, in the staging's columns
+    touched: DataFrame  # distinct partition values to rewrite
+    counts: dict[str, int]
 
 
-def lookup(staging: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Staging rows with their stored key columns (null when the key is new).
+def known_rows(run: Run, table: str, keys: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Stored rows whose key is in ``keys``: the key and ``columns``, renamed to ``__known_*``.
 
-    The stored side is first cut to the keys of this batch with a semi join: the batch is the
-    build side, so once AQE has measured it small it is broadcast and the (large) stored table
-    is only scanned, never shuffled; a runtime bloom filter can also prune the scan. The second
-    join then involves batch-sized inputs only.
+    ``keys`` must be a written table: its least and greatest key choose the partitions to scan.
     """
-    hits = known.join(staging.select(key), key, "left_semi")
-    return staging.join(hits, key, "left")
-
-
-def _checkpointed(df: DataFrame) -> DataFrame:
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def classify(
-    looked_up: DataFrame,
-    columns: Sequence[str],
-    hash_col: str = "record_hash",
-    partition_cols: Sequence[str] = ("year", "month"),
-    moves_rows: bool = False,
-) -> Classified:
-    """Split staging rows (already left-joined with ``known_rows``) into changes and touched partitions.
-
-    An insert touches its own partition; an update touches the stored row's partition and, with
-    ``moves_rows`` (a type 2 version may land in another partition), its own partition too.
-    The changes are checkpointed once, so the narrow lookup join runs a single time; only the
-    distinct partition values of the changes reach the driver.
+    store = run.store
+    found = store.map_of(table)
+    bounds = keys.agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    found = found.filter((F.col(KEY_MAX) >= bounds.select("low").scalar()) & (F.col(KEY_MIN) <= bounds.select("high").scalar()))
+    stored = store.read(table, within=run.work(found, f"{table}-candidates"))
+    narrow = stored.select(key, *[F.col(c).alias(f"{_KNOWN}{c}") for c in columns], F.lit(True).alias(f"{_KNOWN}row"))
+    return narrow.join(keys.select(key), key, "left_semi")
+
+
+def changes_of(
+    run: Run, looked_up: DataFrame, columns: Sequence[str], hash_col: str, parts: Sequence[str], moves_rows: bool = False
+) -> Changes:
+    """Split delivered rows, left-joined with ``known_rows`` (hash and partition columns), into changes.
+
+    An insert touches its own partition, an update the stored one and, with ``moves_rows`` (a type 2
+    version may land elsewhere), its own too. Presence is a marker column, not a null key.
     """
-    is_insert = F.col("__known_hash").isNull()
-    is_update = ~is_insert & (F.col(hash_col) != F.col("__known_hash"))
+    is_insert = F.col(f"{_KNOWN}row").isNull()
+    is_update = ~is_insert & ~F.col(hash_col).eqNullSafe(F.col(f"{_KNOWN}{hash_col}"))
     changes = looked_up.filter(is_insert | is_update).select(
-        *columns,
-        *[F.when(is_insert, F.col(c)).otherwise(F.col(f"__known_{c}")).alias(f"__touched_{c}") for c in partition_cols],
+        *columns, is_insert.alias("__insert"), *[F.when(is_insert, F.col(c)).otherwise(F.col(f"{_KNOWN}{c}")).alias(f"{_TOUCHED}{c}") for c in parts]
     )
-    changes = _checkpointed(changes)
-    touched_frame = changes.select(*[F.col(f"__touched_{c}").alias(c) for c in partition_cols])
+    changes = run.work(changes, "changes")
+    touched = changes.select(*[F.col(f"{_TOUCHED}{c}").alias(c) for c in parts])
     if moves_rows:
-        touched_frame = touched_frame.unionByName(changes.select(*partition_cols))
-    touched_frame = touched_frame.distinct()
-    first = [tuple(r) for r in touched_frame.limit(MAX_LITERAL_PARTITIONS + 1).collect()]
-    touched = first if len(first) <= MAX_LITERAL_PARTITIONS else None
-    return Classified(changes=changes.select(*columns), touched=touched, touched_frame=touched_frame)
-
-
-def partition_predicate(partition_cols: Sequence[str], values: list[tuple]):
-    """Literal predicate selecting exactly the listed partitions (null-safe), for static pruning.
-
-    Grouped by the leading columns, e.g. ``(year = 1998 AND month IN (1, 2)) OR ...``: one term
-    per year instead of one per month keeps the expression small for the optimizer.
-    """
-    cols = list(partition_cols)
-    if not values:
-        return F.lit(False)
-    head = F.col(cols[0])
-    if len(cols) == 1:
-        present = sorted({v[0] for v in values if v[0] is not None})
-        pred = head.isin(present) if present else F.lit(False)
-        return pred | head.isNull() if any(v[0] is None for v in values) else pred
-    groups: dict = {}
-    for v in values:
-        groups.setdefault(v[0], []).append(v[1:])
-    pred = F.lit(False)
-    for lead in sorted(groups, key=lambda x: (x is None, x)):
-        match = head.isNull() if lead is None else head == F.lit(lead)
-        pred = pred | (match & partition_predicate(cols[1:], groups[lead]))
-    return pred
-
-
-def observed(obs: Observation) -> dict:
-    """Observed metrics, or {} when the plan was empty and produced none."""
-    try:
-        return dict(obs.get)
-    except Exception:
-        return {}
+        touched = touched.unionByName(changes.select(*parts))
+    inserts, updates = changes.agg(F.count_if("__insert"), F.count_if(~F.col("__insert"))).first()
+    return Changes(changes.select(*columns), run.work(touched.distinct(), "touched"), {merge.INSERT: inserts, merge.UPDATE: updates})
 
 
 def rewrite_touched(
-    stored: DataFrame,
-    classified: Classified,
-    path: str,
+    run: Run, table: str, changes: Changes, key: str, parts: Sequence[str], merge_fn: Callable[[DataFrame, DataFrame], DataFrame]
+) -> dict[str, int]:
+    """Merge the changes into the touched partitions; ``merge_fn(changes, target)`` returns the merged
+    rows (a ``change_type`` column is dropped)."""
+    if changes.counts[merge.INSERT] + changes.counts[merge.UPDATE]:
+        store = run.store
+        stored = store.map_of(table)
+        within = stored.join(changes.touched, _null_safe(stored, changes.touched, parts), "left_semi")
+        target = store.read(table, within=run.work(within, f"{table}-touched"))
+        merged = merge_fn(changes.rows.select(*target.columns), target).drop("change_type")
+        run.rewrite(table, merged, changes.touched, parts, key)
+    return changes.counts
+
+
+def upsert(
+    run: Run,
+    table: str,
+    staging: DataFrame,
     key: str = "trx_id",
-    partition_cols: Sequence[str] = ("year", "month"),
-    merge_fn: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
-    change_types: Sequence[str] = (merge.INSERT, merge.UPDATE, merge.UNCHANGED, merge.RETAINED),
-) -> dict:
-    """Merge the changes into the touched partitions of ``stored`` and overwrite those partitions.
-
-    ``merge_fn(changes, target)`` returns the merged rows with a ``change_type`` column; the
-    default is the type 1 merge on ``key``.
-    """
-    cols = list(partition_cols)
-    counts = {t: 0 for t in change_types}
-    if classified.touched is not None and not classified.touched:
-        return counts  # nothing changed: nothing is rewritten
-    if classified.touched is not None:
-        target = stored.filter(partition_predicate(cols, classified.touched))  # static pruning
-    else:
-        touched = classified.touched_frame.select(*[F.col(c).alias(f"__t_{c}") for c in cols])
-        cond = None
-        for c in cols:
-            part = stored[c].eqNullSafe(touched[f"__t_{c}"])
-            cond = part if cond is None else cond & part
-        target = stored.join(touched, cond, "left_semi")
-    changes = classified.changes.select(*stored.columns)
-    if merge_fn is None:
-        merged = merge.merge_scd1(changes, target, key=key, on_duplicate="unique").merged
-    else:
-        merged = merge_fn(changes, target)
-    # rebalanced by partition before the checkpoint: the checkpoint files are already clustered
-    # by partition, so the overwrite needs no further shuffle and writes few files per partition
-    merged = _checkpointed(merged.hint("rebalance", *cols))
-    obs = Observation()
-    counted = merged.observe(obs, *[F.count_if(F.col("change_type") == t).alias(t) for t in counts])
-    write_table(counted.drop("change_type"), path, mode=WriteMode.OVERWRITE, partition_by=cols, rebalance=False)
-    counts.update(observed(obs))
-    return counts
-
-
-def upsert_partitioned(
+    hash_col: str = "record_hash",
+    parts: Sequence[str] = ("year", "month"),
+) -> dict[str, int]:
+    """Type 1 upsert of prepared rows: one row per key, no null key, hash and partition columns present,
+    materialised by the caller."""
+    if not run.store.has(table):
+        run.replace(table, staging, parts, key)
+        return {merge.INSERT: run.rows_of(table), merge.UPDATE: 0}
+    known = known_rows(run, table, staging, key, [hash_col, *parts])
+    changes = changes_of(run, staging.join(known, key, "left"), staging.columns, hash_col, parts)
+    return rewrite_touched(run, table, changes, key, parts, lambda new, target: merge.merge_scd1(new, target, key=key, hash_col=hash_col, on_duplicate="unique").merged)
+
+
+def upsert_batch(
     spark: SparkSession,
+    root: str,
     staging: DataFrame,
-    path: str,
+    table: str = "sales_fact",
     key: str = "trx_id",
     hash_col: str = "record_hash",
-    partition_cols: Sequence[str] = ("year", "month"),
+    parts: Sequence[str] = ("year", "month"),
     dedup_order: Sequence[str] = ("transacted_at", "record_hash"),
-    rejects_path: str | None = None,
-) -> dict:
-    """Type 1 upsert of fully prepared staging rows (hash and partition columns present).
+    batch: str = "batch",
+) -> dict[str, int]:
+    """Merge one delivery of staging rows into ``table`` below ``root`` and commit it.
 
-    Rows with a null key cannot be matched; they are appended to ``rejects_path``
-    (default: the table folder name + ``_rejects``) instead of being merged.
+    The delivery is evaluated once. Rows with a null key cannot be matched; they become the partition
+    ``batch`` of ``<table>_rejects``, so repeating a delivery under its name adds nothing.
     """
-    rejects = staging.filter(F.col(key).isNull())
-    if not rejects.isEmpty():
-        write_table(rejects, rejects_path or path.rstrip("/") + "_rejects", mode=WriteMode.APPEND, rebalance=False)
-    staging = staging.filter(F.col(key).isNotNull())
-    staging = merge.latest_per_key(staging, key, [c for c in dedup_order if c in staging.columns])
-    stored = read_if_exists(spark, path)
-    if stored is None:
-        write_table(staging, path, mode=WriteMode.OVERWRITE, partition_by=list(partition_cols))
-        return {merge.INSERT: None}
-    looked_up = lookup(staging, known_rows(stored, key, hash_col, partition_cols), key)
-    classified = classify(looked_up, staging.columns, hash_col, partition_cols)
-    return rewrite_touched(stored, classified, path, key, partition_cols)
+    store = Store(spark, root)
+    run = store.begin()
+    staging = run.work(staging, "staging")
+    one = F.lit(batch)
+    rejects = staging.filter(F.col(key).isNull()).withColumn("batch", one)
+    run.rewrite(f"{table}_rejects", rejects, spark.range(1).select(one.alias("batch")), ["batch"])
+    keyed = merge.latest_per_key(staging.filter(F.col(key).isNotNull()), key, [c for c in dedup_order if c in staging.columns])
+    counts = upsert(run, table, run.work(keyed, "keyed"), key, hash_col, parts)
+    run.commit(f"upsert/{table}")
+    return counts

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
@@ -18,6 +18,7 @@ from starloom.functions.hashing import record_hash
 from starloom.operators import control, dims, facts, merge, quality
 from starloom.plans import batch
 from starloom.plans import fixtures as fx
+from starloom.plans.store import Run, Store
 from starloom.session import scratch_path
 from starloom.sources.io import WriteMode, read_table, write_table
 
@@ -92,6 +93,12 @@ def employee_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rank_employees(fx.employees(spark, sf_dir), tie_breakers=_TIE)
 
 
+def employee_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V6: cleaning, flag and rank chained with ``transform``."""
+    flagged = fx.employees(spark, sf_dir).transform(quality.clean_employees).transform(quality.flag_email)
+    return flagged.transform(quality.rank_employees, tie_breakers=_TIE)
+
+
 def _split(spark: SparkSession, sf_dir: str) -> quality.QualitySplit:
     return quality.split_employees(fx.employees(spark, sf_dir), tie_breakers=_TIE)
 
@@ -127,6 +134,10 @@ def sales_city_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.enrich_with_city(fx.sales(spark, sf_dir), dims.city_dim(fx.cities(spark, sf_dir)), how="inner")
 
 
+def sales_city_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.enrich_with_city(fx.sales(spark, sf_dir), dims.city_dim(fx.cities(spark, sf_dir)), how="left")
+
+
 def sales_city_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.enrich_with_city(fx.sales(spark, sf_dir), dims.city_dim(fx.cities(spark, sf_dir)), how="left_anti")
 
@@ -187,9 +198,23 @@ def scd1_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merge_scd1_snapshot(staging, target)
 
 
-def _scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scd1_strict_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The type 1 merge with changes detected by the injective hash."""
+    side = lambda df: facts.sales_staging(facts.add_year_month(df.withColumn("emp_id", F.lit(1).cast("bigint"))), strict=True)
+    columns = [*schemas.SALES_UPDATE_COLUMNS, "strict_hash"]
+    staging, target = side(fx.sales_after(spark, sf_dir)), side(fx.sales_before(spark, sf_dir))
+    return merge.merge_scd1(staging, target, update_columns=columns, hash_col="strict_hash").merged
+
+
+def scd1_merge_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored state holds rows without key (as ``null_key="insert"`` leaves them); they stay."""
+    before = fx.sales_before(spark, sf_dir).withColumn("trx_id", F.when(F.col("trx_id") % 50 != 1, F.col("trx_id")))
+    return merge.merge_scd1(_scd1_side(fx.sales_after(spark, sf_dir)), _scd1_side(before)).merged
+
+
+def _scd2(spark: SparkSession, sf_dir: str, emp_id: Column | str = "emp_id") -> DataFrame:
     staging = facts.employee_staging(fx.emp_after(spark, sf_dir), fx.AS_OF)
-    before = fx.emp_before(spark, sf_dir)
+    before = fx.emp_before(spark, sf_dir).withColumn("emp_id", F.col(emp_id) if isinstance(emp_id, str) else emp_id)
     target = before.withColumn("record_hash", record_hash(schemas.EMPLOYEE_HASH_COLUMNS)).select(
         *[c for c in staging.columns if c not in schemas.SCD2_COLUMNS], *schemas.SCD2_COLUMNS
     )
@@ -200,6 +225,11 @@ def scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scd2(spark, sf_dir)
 
 
+def scd2_merge_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored dimension holds current rows without key; they stay, and stay single."""
+    return _scd2(spark, sf_dir, F.when(F.col("emp_id") % 20 != 1, F.col("emp_id")))
+
+
 def scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scd2(spark, sf_dir).filter(F.col("is_current")).drop("change_type")
 
@@ -213,7 +243,7 @@ def watermark_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     decision = control.decide(facts.batch_max(fx.sales(spark, sf_dir)), fx.control_history(spark, sf_dir))
-    return decision.drop("stored_seq")
+    return decision.drop("stored_seq", "lower")
 
 
 def incremental_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,25 +257,102 @@ def incremental_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LOOKBACK = dt.timedelta(days=365)
 
 
-def _run1(spark: SparkSession, sf_dir: str, root: str) -> None:
-    emp, sales, cities = fx.batch_inputs(spark, sf_dir, 1)
-    batch.run_batch(spark, emp, sales, cities, root, fx.AS_OF, tie_breakers=_TIE)
+def _load(spark: SparkSession, inputs: tuple[DataFrame, DataFrame, DataFrame], root: str, day: int = 0, **options) -> batch.BatchOutcome:
+    emp, sales, cities = inputs
+    return batch.run_batch(spark, emp, sales, cities, root, fx.AS_OF + dt.timedelta(days=day), **{"tie_breakers": _TIE, **options})
+
+
+def _two_loads(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Root of a first load followed by an incremental one."""
+    root = scratch_path(spark, name)
+    _load(spark, fx.batch_inputs(spark, sf_dir, 1), root)
+    _load(spark, fx.batch_inputs(spark, sf_dir, 2), root, day=1, lookback=_LOOKBACK)
+    return root
 
 
 def batch_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "batch-first")
-    _run1(spark, sf_dir, root)
+    _load(spark, fx.batch_inputs(spark, sf_dir, 0), root)
     return batch.published(spark, root, "sales_fact")
 
 
 def batch_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "batch-incremental")
-    _run1(spark, sf_dir, root)
-    emp, sales, cities = fx.batch_inputs(spark, sf_dir, 2)
-    batch.run_batch(spark, emp, sales, cities, root, fx.AS_OF + dt.timedelta(days=1), lookback=_LOOKBACK, tie_breakers=_TIE)
+    return batch.published(spark, _two_loads(spark, sf_dir, "batch-incremental"), "sales_fact")
+
+
+class Lost(RuntimeError):
+    """The failure that ``batch_crash_replay`` brings about."""
+
+
+def crashing_loads(spark: SparkSession, inputs: tuple[DataFrame, DataFrame, DataFrame], root: str, **options) -> int:
+    """Run one load again and again, each time lost inside the next of its writes (the files of that
+    write are there, some of its rows missing), until a run gets through. Returns the lost runs."""
+    whole = Run._write
+    lost = 0
+    while True:
+        left = [lost]
+
+        def write(self, table, df, *rest):
+            if not left[0]:
+                whole(self, table, df.limit(1), *rest)
+                raise Lost(table)
+            left[0] -= 1
+            return whole(self, table, df, *rest)
+
+        Run._write = write
+        try:
+            _load(spark, inputs, root, **options)
+            return lost
+        except Lost:
+            lost += 1
+        finally:
+            Run._write = whole
+
+
+def batch_crash_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental load, lost inside each of its writes in turn before it gets through."""
+    root = scratch_path(spark, "batch-crash")
+    _load(spark, fx.batch_inputs(spark, sf_dir, 1), root)
+    crashing_loads(spark, fx.batch_inputs(spark, sf_dir, 2), root, day=1, lookback=_LOOKBACK)
+    return batch.published(spark, root, "sales_fact")
+
+
+def batch_late_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second delivery with nothing but late sales, all before the stored mark."""
+    root = scratch_path(spark, "batch-late")
+    _load(spark, fx.late_inputs(spark, sf_dir, 1), root)
+    outcome = _load(spark, fx.late_inputs(spark, sf_dir, 2), root, day=1, lookback=_LOOKBACK)
+    if outcome.decision != control.INCREMENTAL:
+        raise AssertionError(f"late sales must be loaded, got {outcome.decision}")
     return batch.published(spark, root, "sales_fact")
 
 
+def batch_zoned_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marks of two loads whose timestamps have a zone, as wall clocks of the session's zone."""
+    root = scratch_path(spark, "batch-zoned")
+    for run in (1, 2):
+        emp, sales, cities = fx.batch_inputs(spark, sf_dir, run)
+        zoned = sales.withColumn("transacted_at", F.col("transacted_at").cast("timestamp"))
+        _load(spark, (emp, zoned, cities), root, day=run - 1)
+    return Store(spark, root).control().select("mark_key", "mark_value", "seq")
+
+
+def batch_email_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that identifies people by e-mail: every id of the key map with its number of sales."""
+    root = scratch_path(spark, "batch-email")
+    _load(spark, fx.batch_inputs(spark, sf_dir, 0), root, natural_key=["email"])
+    sold = batch.published(spark, root, "sales_fact").groupBy("emp_id").agg(F.count(F.lit(1)).alias("n_sales"))
+    return batch.published(spark, root, "key_map").join(sold, "emp_id", "full_outer").select("emp_id", "email", "n_sales")
+
+
+def batch_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files to the star schema; returns the audit, unparsable lines included."""
+    root = scratch_path(spark, "batch-csv")
+    paths = fx.csv_inputs(spark, sf_dir, f"{root}/in")
+    batch.run_batch_from(spark, paths, f"{root}/out", fx.AS_OF, fmt="csv")
+    return batch.published(spark, f"{root}/out", "audit")
+
+
 # ---------------------------------------------------------------- streaming form (slice 6)
 
 
@@ -254,8 +361,9 @@ def stream_scd1_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starloom.streaming.merge_stream import stream_upsert
 
     root = scratch_path(spark, "stream")
-    target = _scd1_side(fx.sales_before(spark, sf_dir))
-    write_table(target, f"{root}/sales_fact", partition_by=["year", "month"])
+    run = Store(spark, f"{root}/out").begin()
+    run.replace("sales_fact", _scd1_side(fx.sales_before(spark, sf_dir)), schemas.SALES_FACT_PARTITIONS, key="trx_id")
+    run.commit("stored")
     incoming = fx.sales_after(spark, sf_dir)
     # the delivery arrives as 8 files in event-time ranges, two files per micro-batch, so a
     # micro-batch touches (and rewrites) only the months it carries
@@ -264,56 +372,41 @@ def stream_scd1_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         f"{root}/incoming",
         incoming.schema,
-        f"{root}/sales_fact",
+        f"{root}/out",
         f"{root}/_stream_checkpoint",
         prepare=_scd1_side,
         max_files_per_trigger=2,
     )
     query.awaitTermination()
-    return read_table(spark, f"{root}/sales_fact")
-
-
-_TWO_RUNS: dict[str, str] = {}
-
-
-def _two_runs(spark: SparkSession, sf_dir: str) -> str:
-    """Root of a first load followed by an incremental load (run once per input folder)."""
-    if sf_dir not in _TWO_RUNS:
-        root = scratch_path(spark, "batch-two-runs")
-        _run1(spark, sf_dir, root)
-        emp, sales, cities = fx.batch_inputs(spark, sf_dir, 2)
-        batch.run_batch(spark, emp, sales, cities, root, fx.AS_OF + dt.timedelta(days=1), lookback=_LOOKBACK, tie_breakers=_TIE)
-        _TWO_RUNS[sf_dir] = root
-    return _TWO_RUNS[sf_dir]
+    return batch.published(spark, f"{root}/out", "sales_fact")
 
 
 def batch_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The audit CSV of the first load, read back."""
+    """The audit CSV of a first load, read back."""
     root = scratch_path(spark, "batch-audit")
-    _run1(spark, sf_dir, root)
-    schema = quality.audit_for_csv(_split(spark, sf_dir).audit).schema
-    return read_table(spark, batch.Layout(root).audit, fmt="csv", schema=schema)
+    _load(spark, fx.batch_inputs(spark, sf_dir, 0), root)
+    return batch.published(spark, root, "audit")
 
 
 def batch_employee_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Employee dimension after two loads: key map ids, type 2 versions."""
-    return batch.published(spark, _two_runs(spark, sf_dir), "employee_dim")
+    return batch.published(spark, _two_loads(spark, sf_dir, "batch-employees"), "employee_dim")
 
 
 def batch_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Date dimension after two loads: stored dates kept, slice dates added."""
-    return batch.published(spark, _two_runs(spark, sf_dir), "date_dim")
+    return batch.published(spark, _two_loads(spark, sf_dir, "batch-dates"), "date_dim")
 
 
 def batch_rerun_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same delivery loaded twice: the second run skips and commits no mark."""
     root = scratch_path(spark, "batch-rerun")
-    _run1(spark, sf_dir, root)
-    emp, sales, cities = fx.batch_inputs(spark, sf_dir, 1)
-    outcome = batch.run_batch(spark, emp, sales, cities, root, fx.AS_OF, tie_breakers=_TIE)
+    inputs = fx.batch_inputs(spark, sf_dir, 0)
+    _load(spark, inputs, root)
+    outcome = _load(spark, inputs, root)
     if outcome.decision != control.SKIP:
         raise AssertionError(f"a repeated delivery must be skipped, got {outcome.decision}")
-    return control.read_control(spark, batch.Layout(root).control).drop("committed_at")
+    return Store(spark, root).control().select("mark_key", "mark_value", "seq")
 
 
 QUERIES: dict[str, Query] = {
@@ -325,12 +418,14 @@ QUERIES: dict[str, Query] = {
     "clean_employees": clean_employees,
     "email_flag": email_flag,
     "employee_rank": employee_rank,
+    "employee_chain": employee_chain,
     "valid_employees": valid_employees,
     "bad_employee_audit": bad_employee_audit,
     "quality_counts": quality_counts,
     "employee_rules_valid": employee_rules_valid,
     "employee_rules_bad": employee_rules_bad,
     "sales_city_enriched": sales_city_enriched,
+    "sales_city_left": sales_city_left,
     "sales_city_orphans": sales_city_orphans,
     "city_dim": city_dim,
     "employee_dim_ids": employee_dim_ids,
@@ -343,13 +438,21 @@ QUERIES: dict[str, Query] = {
     "scd1_merge": scd1_merge,
     "scd1_change_types": scd1_change_types,
     "scd1_snapshot": scd1_snapshot,
+    "scd1_strict_merge": scd1_strict_merge,
+    "scd1_merge_null_keys": scd1_merge_null_keys,
     "scd2_merge": scd2_merge,
+    "scd2_merge_null_keys": scd2_merge_null_keys,
     "scd2_current": scd2_current,
     "watermark_latest": watermark_latest,
     "batch_decision": batch_decision,
     "incremental_slice": incremental_slice,
     "batch_first_load": batch_first_load,
     "batch_incremental": batch_incremental,
+    "batch_crash_replay": batch_crash_replay,
+    "batch_late_delivery": batch_late_delivery,
+    "batch_zoned_timestamps": batch_zoned_timestamps,
+    "batch_email_key": batch_email_key,
+    "batch_from_csv": batch_from_csv,
     "stream_scd1_merge": stream_scd1_merge,
     "batch_audit": batch_audit,
     "batch_employee_dim": batch_employee_dim,

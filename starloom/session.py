@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOT: str | None = None
 
@@ -25,6 +25,7 @@ def local_session(app: str = "starloom", cores: str | int = "*", shuffle_partiti
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
@@ -38,6 +39,11 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+def _default_is_local(spark: SparkSession) -> bool:
+    """Paths without a scheme belong to the default file system."""
+    return spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:")
+
+
 def shared_root(spark: SparkSession) -> str:
     """Root of the shared folder; sets the checkpoint directory when it is unset.
 
@@ -48,6 +54,8 @@ def shared_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
+        if not _is_local(spark) and "://" not in configured and _default_is_local(spark):
+            raise RuntimeError(f"spark.checkpoint.dir={configured} is a local folder; a cluster needs a shared one")
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
@@ -65,5 +73,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/starloom-work/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet at ``path`` (a fresh folder on the shared storage) and read it back:
+    a materialisation that survives lost executors, keeps true sizes for the planner and, unlike a
+    checkpoint, is read column by column."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

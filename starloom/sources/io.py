@@ -151,3 +151,21 @@ def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet", schema=
         if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
             return None
         raise
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the Hadoop file system of its path; absent is fine."""
+    hpath, fs = _hadoop(spark, path)
+    fs.delete(hpath, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the direct children of a folder ([] when it is absent)."""
+    hpath, fs = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []

@@ -1,11 +1,12 @@
 """Structured Streaming form of the type 1 fact merge.
 
 Sales files arriving in a folder are read as a stream with a declared schema; every
-micro-batch is upserted into the partitioned fact table by ``foreachBatch`` with the same
-idempotent merge the batch job uses. Late rows are never dropped: a micro-batch is merged like
+micro-batch is upserted by ``foreachBatch`` into the versioned fact table with the same idempotent
+merge the batch job uses, and committed as a whole. Late rows are never dropped: a micro-batch is merged like
 a batch, whatever its event times. Several rows of one key inside a micro-batch keep the latest
 ``transacted_at``; a key seen again in a later micro-batch updates the stored row. A restarted
-query may replay its last micro-batch; the merge makes the replay a no-op.
+query may replay its last micro-batch: the merge then finds no change, and the batch's rejects
+replace themselves.
 
 ``trigger(availableNow=True)`` processes what is in the folder and stops, which gives a
 scheduled incremental job with exactly-once effect through the streaming checkpoint.
@@ -19,15 +20,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from starloom.plans.publish import upsert_partitioned
+from starloom.plans.publish import upsert_batch
 
 
 def stream_upsert(
     spark: SparkSession,
     source_path: str,
     schema: StructType,
-    table_path: str,
+    root: str,
     checkpoint_location: str,
+    table: str = "sales_fact",
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     key: str = "trx_id",
     partition_cols: tuple[str, ...] = ("year", "month"),
@@ -43,7 +45,7 @@ def stream_upsert(
     staged = prepare(raw) if prepare else raw
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        upsert_partitioned(batch.sparkSession, batch, table_path, key=key, partition_cols=partition_cols)
+        upsert_batch(batch.sparkSession, root, batch, table, key=key, parts=partition_cols, batch=f"stream-{batch_id:012d}")
 
     writer = staged.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

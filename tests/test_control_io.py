@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators import control, facts
+from starloom.plans.store import Store
 from starloom.session import scratch_path
 from starloom.sources.io import WriteMode, read_if_exists, read_table, write_table
 from tests.conftest import rows
@@ -37,31 +38,55 @@ def test_latest_mark_wins(spark):
     assert dict(rows(control.latest_marks(ctl), "mark_key", "mark_value")) == {"j": M, "k": M - dt.timedelta(days=9)}
 
 
-def test_commit_mark_appends(spark):
-    path = scratch_path(spark, "control-test")
-    assert control.read_control(spark, path) is None
-    control.commit_mark(spark, path, "k", M)
-    control.commit_mark(spark, path, "k", M + dt.timedelta(days=1))
-    ctl = control.read_control(spark, path)
+def test_lookback_moves_the_gate(spark):
+    ctl = spark.createDataFrame([("last_Processed_date", M, 1)], CTL)
+    late = batch(spark, [M - dt.timedelta(days=3)])
+    assert control.decide(late, ctl, lookback="7 days").first()["decision"] == "incremental"
+    assert control.decide(late, ctl, lookback="1 day").first()["decision"] == "skip"
+
+
+def test_commits_append(spark):
+    root = scratch_path(spark, "control-test")
+    assert Store(spark, root).control() is None
+    for n in range(2):
+        mark = spark.createDataFrame([(M + dt.timedelta(days=n),)], "mark_value timestamp_ntz")
+        Store(spark, root).begin().commit("k", mark)
+    ctl = Store(spark, root).control()
     assert rows(ctl, "seq") == [(1,), (2,)]
     assert control.latest_marks(ctl).first()["mark_value"] == M + dt.timedelta(days=1)
 
 
-def test_slice_and_partition_floor(spark):
+def test_store_replace_append_rewrite(spark):
+    root = scratch_path(spark, "store")
+    table = lambda data: spark.createDataFrame(data, "k int, p string")
+    run = Store(spark, root).begin()
+    run.replace("t", table([(1, "a"), (2, "b"), (3, None)]), ["p"], key="k")
+    run.append("log", table([(1, "x")]))
+    assert not Store(spark, root).has("t")  # nothing is visible before the commit
+    run.commit("k")
+    store = Store(spark, root)
+    run = store.begin()
+    touched = spark.createDataFrame([("b",), (None,), ("c",)], "p string")
+    run.rewrite("t", table([(9, "c"), (4, None)]), touched, ["p"], key="k")  # b is emptied
+    run.append("log", table([(2, "y")]))
+    run.append("log2", table([]))
+    assert rows(store.read("t"), "k") == [(1,), (2,), (3,)]
+    run.commit("k")
+    store = Store(spark, root)
+    assert rows(store.read("t")) == rows(table([(1, "a"), (9, "c"), (4, None)]))
+    assert rows(store.read("log"), "k") == [(1,), (2,)] and store.read("log2").count() == 0
+    assert rows(store.map_of("t"), "p", "__rows", "__key_min") == [("a", 1, 1), ("c", 1, 9), (None, 1, 4)]
+    run = store.begin()
+    run.replace("t", table([]), ["p"], key="k")
+    run.commit("k")
+    assert Store(spark, root).read("t").count() == 0
+    assert any(n.startswith("t/version=") for n in Store(spark, root).vacuum()) and rows(Store(spark, root).read("log"), "k") == [(1,), (2,)]
+
+
+def test_slice_keeps_undated_rows(spark):
     sales = spark.createDataFrame([(M,), (M + dt.timedelta(hours=1),), (None,)], "transacted_at timestamp_ntz")
-    sliced = control.incremental_slice(sales, F.lit(M).cast("timestamp_ntz"))
-    assert sliced.count() == 1
-    assert control.incremental_slice(sales, F.lit(M).cast("timestamp_ntz"), "1 day").count() == 2
-    parts = spark.createDataFrame([(2023, 12), (2024, 1), (2024, 2), (None, None)], "year int, month int")
-    assert parts.filter(control.partition_floor(dt.datetime(2024, 1, 15))).count() == 3
-
-
-def test_partition_filter_reaches_scan(spark):
-    path = scratch_path(spark, "pruning")
-    df = spark.createDataFrame([(2023, 12, 1), (2024, 1, 2)], "year int, month int, v int")
-    write_table(df, path, partition_by=["year", "month"])
-    plan = read_table(spark, path).filter(control.partition_floor(dt.datetime(2024, 1, 1)))._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "isnull(year" in plan.replace(" ", "").lower() or "year" in plan
+    assert control.incremental_slice(sales, F.lit(M).cast("timestamp_ntz")).count() == 2
+    assert control.incremental_slice(sales, F.lit(M).cast("timestamp_ntz"), "1 day").count() == 3
 
 
 def test_write_modes_and_formats(spark):
@@ -103,15 +128,3 @@ def test_delta_reports_missing_connector(spark):
 
 def test_read_if_exists(spark):
     assert read_if_exists(spark, scratch_path(spark, "missing")) is None
-
-
-def test_touched_partitions_are_pruned_statically(spark):
-    from starloom.plans.publish import partition_predicate
-
-    path = scratch_path(spark, "touched")
-    df = spark.createDataFrame([(2023, 12, 1), (2024, 1, 2), (None, None, 3)], "year int, month int, v int")
-    write_table(df, path, partition_by=["year", "month"])
-    pruned = read_table(spark, path).filter(partition_predicate(["year", "month"], [(2024, 1), (None, None)]))
-    plan = pruned._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
-    assert sorted(r.v for r in pruned.collect()) == [2, 3]

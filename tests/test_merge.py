@@ -133,3 +133,14 @@ def test_operators_chain_with_transform(spark):
                                "src_id int, first_name string, last_name string, job_title string, dob date, email string, phone string, salary int, department_id int")
     out = df.transform(quality.clean_employees).transform(quality.flag_email).transform(quality.rank_employees)
     assert out.first()["row_num"] == 1 and out.first()["is_valid_email"] is True
+
+
+def test_stored_null_keys_are_kept(spark):
+    target = fact(spark, [(T1, 1, 1, "a", 1.0, 1, 1, "h1", 2024, 1), (T1, None, 5, "no key", 5.0, 5, 5, "h5", 2024, 1)])
+    staging = fact(spark, [(T2, 1, 9, "A", 2.0, 2, 2, "h1x", 2024, 2)])
+    got = merge.merge_scd1(staging, target).merged
+    assert rows(got, "trx_id", "description", "change_type") == [(1, "A", "update"), (None, "no key", "retained")]
+    dim = spark.createDataFrame([(None, "n", "x", OLD, None, True), (1, "a", "h", OLD, None, True)], EMP)
+    new = spark.createDataFrame([(1, "b", "h2", AS_OF, None, True)], EMP)
+    got = merge.merge_scd2(new, dim, AS_OF)
+    assert rows(got, "emp_id", "name", "change_type") == [(1, "a", "expired"), (1, "b", "new_version"), (None, "n", "retained")]

@@ -79,9 +79,18 @@ def test_identical_rows_keep_one(spark):
     assert split.valid.count() == 1 and split.audit.count() == 2
 
 
-def test_valid_plan_uses_partial_group_limit(spark, edge):
-    plan = quality.split_employees(edge, tie_breakers=["src_id"]).valid._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+def test_all_outputs_come_from_one_materialised_ranking(spark, edge):
+    split = quality.split_employees(edge, tie_breakers=["src_id"])
+    for df in (split.valid, split.audit, split.counts()):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and plan.count("Scan ExistingRDD") == 1
+
+
+def test_split_is_total_for_any_tie_breakers(spark, edge):
+    split = quality.split_employees(edge, tie_breakers=["first_name"])
+    partial = quality.split_employees(edge, tie_breakers=[])
+    for s in (split, partial):
+        assert s.valid.count() + s.audit.count() == 10
 
 
 def test_fixture_counts(spark):

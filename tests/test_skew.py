@@ -64,10 +64,10 @@ def test_identical_hot_copies(spark):
     split = quality.split_employees(same)
     assert split.valid.count() == 1
     assert split.audit.count() == 29999
+    from starloom.functions.ranking import range_numbered
 
-
-def test_expand_counts_splits_large_groups(spark):
-    counted = spark.createDataFrame([("a", 3), ("b", 25)], "v string, n bigint")
-    out = quality.expand_counts(counted, "n", "i", chunk=10)
-    got = sorted((r.v, r.i) for r in out.collect())
-    assert got == sorted([("a", i) for i in range(1, 4)] + [("b", i) for i in range(1, 26)])
+    ranged = range_numbered(same, schemas.EMPLOYEE_KEY, [F.col("salary").desc_nulls_last()], num_partitions=6)
+    per_task = [r["count"] for r in ranged.groupBy("__pid").count().collect()]
+    assert len(per_task) > 3 and max(per_task) < 15000  # identical rows are spread
+    counts = split.counts().first()
+    assert (counts.input_rows, counts.duplicates) == (30000, 29999)
