@@ -157,16 +157,18 @@ def fit(windows: Sequence[bytes], labels: np.ndarray, n_labels: int, steps: int
 
 def sampled_windows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """``lang, window``: the bounded training sample. Only rows with a language and a letter count."""
-    order = Window.partitionBy("lang").orderBy("h", "doc_id", "data")
-    data = F.col("data")
+    data = F.col(text_col).cast("binary")
     start = lambda i: F.floor(F.greatest(F.octet_length(data) - WINDOW, F.lit(0)) * i / (SAMPLE_WINDOWS - 1)).cast("int") + 1
-    return (
-        docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-        .select(F.col(lang_col).alias("lang"), F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).cast("binary").alias("data"))
-        .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_docs)
-        .select("lang", "h", F.explode(F.transform(F.sequence(F.lit(0), F.lit(SAMPLE_WINDOWS - 1)), lambda i: F.substring(data, start(i), F.lit(WINDOW)))).alias("window"))
-        .distinct().orderBy("lang", "h", "window")
+    windows = F.transform(F.sequence(F.lit(0), F.lit(SAMPLE_WINDOWS - 1)), lambda i: F.substring(data, start(i), F.lit(WINDOW)))
+    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
+        F.col(lang_col).alias("lang"), F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col)).alias("h"), windows.alias("windows")
     )
+    # the windows travel, not the texts; salted first, so that what each task of the scan finds of a
+    # frequent language is cut down by many tasks before one takes the last choice
+    for key in (["lang", F.pmod("h", F.lit(64))], ["lang"]):
+        order = Window.partitionBy(*key).orderBy("h", "doc_id", "windows")
+        rows = rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_docs).drop("n")
+    return rows.select("lang", "h", F.explode("windows").alias("window")).distinct().orderBy("lang", "h", "window")
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], Params]:
