@@ -81,10 +81,12 @@ def exact_dedup(
     sequence = rows.select("rid", F.size("digests").alias("n_blocks"), F.posexplode("digests").alias("pos", "digest"))
     sequence = checkpointed(sequence.join(named, "digest").select("rid", "n_blocks", "pos", "name"))
     identity = _fold_pairs(sequence)
-    facts = rows.select("rid", "doc_id", "n_bytes", "text_sha256").join(identity, "rid")
-    groups = facts.groupBy("n_blocks", "name").agg(
+    # both sides of the last join are written: a join next to an aggregation of the same key would keep
+    # the aggregation's partitioning, and a hot group could not be split
+    facts = checkpointed(rows.select("rid", "doc_id", "n_bytes", "text_sha256").join(identity, "rid"))
+    groups = checkpointed(facts.groupBy("n_blocks", "name").agg(
         F.max(F.struct("doc_id", "rid")).alias("keep"), F.count(F.lit(1)).alias("group_size")
-    )
+    ))
     return facts.join(groups, ["n_blocks", "name"]).select(
         "doc_id",
         F.col("keep.doc_id").alias("keep_id"),
