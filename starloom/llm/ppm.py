@@ -45,7 +45,7 @@ HEAD_SHARE = 2.0**-20
 END, PAD = 0xFE, 0xFF
 SYMBOLS = 255
 _CHUNK = 1 << 20
-_FLUSH = 1 << 22
+_FLUSH = 1 << 21
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
