@@ -89,6 +89,10 @@ def _ball(fp: Column, bits: range, radius: int) -> Column:
     return F.transform(F.lit(np.array(_masks(bits, radius), np.int64)), lambda m: m.bitwiseXOR(fp))
 
 
+def _cells(segment: int, values: Column) -> Column:
+    return F.transform(values, lambda v: F.struct(F.lit(segment).alias("segment"), v.alias("value")))
+
+
 def links(fps: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS, crowded: int = CROWDED) -> DataFrame:
     """Distinct fingerprints ``fp`` -> links ``a < b`` (bigint) whose components are those of all
     pairs within ``max_bits``. ``max_bits`` must be even when cells are crowded (centres of balls)."""
@@ -105,8 +109,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS, cr
     for s in range(segments):
         r = radius if s <= spare else radius - 1
         if r >= 0:
-            ball = _ball(fp.bitwiseAND(F.lit(keep[s])), ranges[s], r)
-            probes.append(F.transform(ball, lambda v, s=s: F.struct(F.lit(s).alias("segment"), v.alias("value"))))
+            probes.append(_cells(s, _ball(fp.bitwiseAND(F.lit(keep[s])), ranges[s], r)))
     probe = fps.select(fp.alias("probe"), F.explode(F.concat(*probes)).alias("e")).select("probe", "e.*")
 
     cells = checkpointed(table.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("n")))
