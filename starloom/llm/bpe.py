@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from functools import lru_cache
 from itertools import islice
 
@@ -140,14 +141,41 @@ def load_ranks(path: str) -> Ranks:
     return Ranks(path)
 
 
+def ascii_form(pattern: str) -> str | None:
+    """The pattern for texts of ASCII only, in the standard library's syntax, which matches them twice as
+    fast; None if it has Unicode classes other than letters and numbers."""
+    out, inside, at = [], False, 0
+    while at < len(pattern):
+        if pattern.startswith(("\\p", "\\P"), at):
+            ranges = {"\\p{L}": "A-Za-z", "\\p{N}": "0-9"}.get(pattern[at : at + 5])
+            if ranges is None:
+                return None
+            out.append(ranges if inside else f"[{ranges}]")
+            at += 5
+            continue
+        if pattern[at] == "\\":
+            out.append(pattern[at : at + 2])
+            at += 2
+            continue
+        inside = pattern[at] == "[" or inside and pattern[at] != "]"
+        out.append(pattern[at])
+        at += 1
+    return "".join(out)
+
+
 class Encoder:
     """Encodes texts, remembering the words seen last."""
 
     def __init__(self, path: str, pattern: str, cache_words: int = CACHE_WORDS):
-        self.ranks, self.find, self.limit = load_ranks(path), regex.compile(pattern).findall, cache_words
-        self.iterate = regex.compile(pattern).finditer
+        self.ranks, self.limit = load_ranks(path), cache_words
+        self.find_any, self.iterate = regex.compile(pattern).findall, regex.compile(pattern).finditer
+        plain = ascii_form(pattern)
+        self.find_ascii = re.compile(plain, re.ASCII).findall if plain else self.find_any
         self.known: dict[str, bytes] = {}
 
+    def find(self, text: str) -> list[str]:
+        return self.find_ascii(text) if text.isascii() else self.find_any(text)
+
     def fold(self, words: list[str]) -> dict[str, bytes]:
         """The ids of distinct words."""
         out: dict[str, bytes] = {}
@@ -163,7 +191,7 @@ class Encoder:
         if len(self.known) > self.limit:
             self.known.clear()
         found = [self.find(t) if t and len(t) < TEXT_WORDS else [] for t in texts]
-        self.known.update(self.fold([w for w in set().union(*found) if w not in self.known]))
+        self.known.update(self.fold(list(set().union(*found).difference(self.known))))
         get = self.known.__getitem__
         return [self._long(t) if t and len(t) >= TEXT_WORDS else b"".join(map(get, w)) for t, w in zip(texts, found)]
 

@@ -30,7 +30,8 @@ def fuzz(n, seed=0):
 
 
 def test_encoder_equals_the_tokenizer(oracle, monkeypatch):
-    texts = TEXTS + fuzz(1000)
+    rng = random.Random(5)
+    texts = TEXTS + fuzz(1000) + ["".join(rng.choices([chr(c) for c in (*range(128), 32, 32, 39, 39, 115, 116)], k=rng.randint(0, 60))) for _ in range(1000)]
     want = [np.array(x, "<u4").tobytes() for x in oracle.encode_ordinary_batch(texts)]
     encoder = bpe.Encoder(PATH, public_tokenizers.PATTERN, cache_words=50)
     assert encoder.encode(texts) == want
@@ -41,6 +42,11 @@ def test_encoder_equals_the_tokenizer(oracle, monkeypatch):
     assert [ranks.encode_long(w) for w in words] == ranks.encode_many(words)
 
 
+def test_ascii_form():
+    assert bpe.ascii_form(r"'s| ?\p{L}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)") == r"'s| ?[A-Za-z]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)"
+    assert bpe.ascii_form(r"\p{Lu}+") is None and bpe.ascii_form(r"[\]\p{N}]\p{N}") == r"[\]0-9][0-9]"
+
+
 def test_documents_round_trip(spark, oracle):
     rows = [(i, t, 9) for i, t in enumerate(TEXTS)] + [(None, None, 9), (3, TEXTS[3], 9)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids int")
