@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import bpe, line_dedup, mixing, quality_rules, simhash
-from starloom.llm.common import written
+from starloom.llm.common import checkpointed, written
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 #: The mix of the pipeline cuts larger blocks than the query, so that fewer texts are cut.
@@ -34,36 +34,48 @@ def _with_text(frame: DataFrame, text: Column) -> DataFrame:
     return frame.select(doc.alias("doc")).select("doc.*")
 
 
+def _content_key() -> list[Column]:
+    """128 bits that rows share exactly if they are copies of each other in id and text. Decisions are
+    made on narrow rows and return by this key, so that no stage keeps another copy of the texts."""
+    return [F.xxhash64("doc_id", "text").alias("__k1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("__k2")]
+
+
+_KEY = ["__k1", "__k2"]
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that they reject go."""
-    measured = docs.select(_whole(docs), quality_rules.text_stats(F.col("text")).alias("s")).select("doc", "s.*")
-    return quality_rules.judge(written(measured, "pipeline-stats")).filter("kept").select("doc.*")
+    stats = docs.select(*_content_key(), quality_rules.text_stats(F.col("text")).alias("s")).select(*_KEY, "s.*")
+    kept = quality_rules.judge(checkpointed(stats)).filter("kept").select(*_KEY)
+    return docs.select(_whole(docs), *_content_key()).join(kept, _KEY, "left_semi").select("doc.*")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup: lines that an earlier document holds go. A document may end up without any line; the
     empty texts are one group of the next stage."""
-    frame = docs.select(_whole(docs), "doc_id", "text")
-    return _with_text(line_dedup.apply_bitmaps(frame, line_dedup.keep_bitmaps(frame)), F.col("text"))
+    text = F.col("doc.text")
+    marked = line_dedup.with_bitmaps(docs.select(_whole(docs)), line_dedup.keep_bitmaps(docs), F.col("doc.doc_id"), text)
+    return _with_text(marked, line_dedup.kept_text(F.coalesce(text, F.lit("")), F.col("__dropped_words")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: of each group the row with the smallest doc_id stays."""
-    rows = written(docs.select(_whole(docs), "doc_id", "text", F.monotonically_increasing_id().alias("row")), "pipeline-rows")
-    found = simhash.near_duplicates(rows, carry=["row"])
-    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
-    return rows.join(first.select("first.row"), "row", "left_semi").select("doc.*")
+    found = simhash.near_duplicates(docs.select("doc_id", "text", *_content_key()), carry=_KEY)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", *_KEY)
+    first = found.groupBy("root").agg(F.min(order).alias("first")).select("first.__k1", "first.__k2")
+    # copies of the first row in id and text are left to the last step
+    return docs.select(_whole(docs), *_content_key()).join(first, _KEY, "left_semi").dropDuplicates(_KEY).select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing: a document appears once for each epoch of its source, with the words that the mix takes of
-    it in that epoch (all of them in a full epoch)."""
-    rows = written(docs.select(_whole(docs), "doc_id", "text", "source", F.monotonically_increasing_id().alias("row")), "pipeline-rows")
-    sized = mixing.measured(rows, row_col="row", block_words=MIX_BLOCK_WORDS)
+    it in that epoch (all of them in a full epoch). Copies of a row are mixed as documents of their own."""
+    sized = mixing.measured(docs, carry=_content_key(), block_words=MIX_BLOCK_WORDS)
     pieces = mixing.mix(sized, block_words=MIX_BLOCK_WORDS)
-    taken = pieces.groupBy("row", "epoch").agg(F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias("pieces"))
-    joined = taken.join(rows.select("row", "doc", "text"), "row")
-    return _with_text(joined, mixing.pieces_text(F.col("text"), F.col("pieces")))
+    taken = pieces.groupBy("row", "epoch").agg(F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias("__pieces"))
+    taken = taken.join(sized.select("row", *_KEY), "row").select(*_KEY, "__pieces")
+    texts = docs.select(_whole(docs), *_content_key()).dropDuplicates(_KEY)
+    return _with_text(texts.join(taken, _KEY), mixing.pieces_text(F.col("doc.text"), F.col("__pieces")))
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -116,18 +116,21 @@ def kept_text(text: Column, dropped_words: Column) -> Column:
     return F.when(F.size(dropped_words) == 0, text).otherwise(let(split_lines(text), pick))
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``text_col`` reduced to its kept lines, plus ``n_lines`` and ``n_dropped``.
-
-    Existing columns of those two names are replaced. The join is on (id, text hash), so every row,
-    repeated ones too, meets its own bitmap.
-    """
+def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc_id: Column, text: Column) -> DataFrame:
+    """``docs`` with the columns ``__n_lines, __n_dropped, __dropped_words`` of each row's bitmap. The join
+    is on (id, text hash), so every row, repeated ones too, meets its own."""
     marks = bitmaps.select(
-        F.col("doc_id").alias("__d"), F.col("text_hash").alias("__th"), F.col("n_lines").alias("__n"),
-        F.col("n_dropped").alias("__k"), F.col("dropped_words").alias("__w"),
+        F.col("doc_id").alias("__d"), F.col("text_hash").alias("__th"), F.col("n_lines").alias("__n_lines"),
+        F.col("n_dropped").alias("__n_dropped"), F.col("dropped_words").alias("__dropped_words"),
     )
-    text = text_or_empty(text_col)
-    joined = docs.join(marks, docs[id_col].eqNullSafe(marks["__d"]) & (F.xxhash64(text) == F.col("__th")))
-    return joined.withColumns({text_col: kept_text(text, F.col("__w")), "n_lines": F.col("__n"), "n_dropped": F.col("__k")}).drop(
-        "__d", "__th", "__n", "__k", "__w"
+    return docs.join(marks, doc_id.eqNullSafe(marks["__d"]) & (F.xxhash64(text_or_empty(text)) == marks["__th"])).drop("__d", "__th")
+
+
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with ``text_col`` reduced to its kept lines, plus ``n_lines`` and ``n_dropped``. Existing
+    columns of those two names are replaced."""
+    joined = with_bitmaps(docs, bitmaps, docs[id_col], docs[text_col])
+    kept = kept_text(text_or_empty(text_col), F.col("__dropped_words"))
+    return joined.withColumns({text_col: kept, "n_lines": F.col("__n_lines"), "n_dropped": F.col("__n_dropped")}).drop(
+        "__n_lines", "__n_dropped", "__dropped_words"
     )

@@ -147,15 +147,15 @@ def pack_blocks(sized: DataFrame, block_words: int = BLOCK_WORDS, bucket_docs: i
 
 
 def measured(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None, **options
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: Sequence[Column] = (), **options
 ) -> DataFrame:
-    """One row per document: ``row`` (``row_col``, unique, or a number given here), ``doc_id, tie`` (text
-    hash), ``source, size``, and its source's columns of ``mix_targets``."""
+    """One row per document: ``row`` (a number given here), ``doc_id, tie`` (text hash), ``source, size``,
+    the columns ``carry`` and its source's columns of ``mix_targets``."""
     text = text_or_empty(text_col)
     sized = checkpointed(docs.select(
-        F.monotonically_increasing_id().alias("row") if row_col is None else F.col(row_col).alias("row"),
+        F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("tie"), F.col(source_col).alias("source"),
-        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), *carry,
     ))
     targets = mix_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), **options)
     return checkpointed(sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop(targets["source"]))
