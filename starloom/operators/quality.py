@@ -237,8 +237,17 @@ def split_employees(
     return QualitySplit(ranked.checkpoint(eager=True), email_col)
 
 
-def valid_employees(df: DataFrame, **kwargs) -> DataFrame:
-    return split_employees(df, **kwargs).valid
+def valid_employees(
+    df: DataFrame,
+    keys: Sequence[str] = EMPLOYEE_KEY,
+    order: Sequence[Column] | None = None,
+    tie_breakers: Sequence[str] | None = None,
+    email_col: str = "email",
+) -> DataFrame:
+    """The valid side of the split alone, lazily: a top-1 window with a partial limit before its shuffle
+    instead of a full ranking. The order must be total; where the audit is needed too, take both from
+    ``split_employees``."""
+    return survivors(df, keys, order, tie_breakers).filter(email_is_valid(email_col))
 
 
 def audit_for_csv(audit: DataFrame) -> DataFrame:

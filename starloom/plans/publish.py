@@ -123,9 +123,9 @@ def upsert_batch(
     store = Store(spark, root)
     run = store.begin()
     staging = run.work(staging, "staging")
-    one = F.lit(batch)
-    rejects = staging.filter(F.col(key).isNull()).withColumn("batch", one)
-    run.rewrite(f"{table}_rejects", rejects, spark.range(1).select(one.alias("batch")), ["batch"])
+    rejects = staging.filter(F.col(key).isNull()).withColumn("batch", F.lit(batch))
+    if store.has(f"{table}_rejects") or rejects.limit(1).count():  # of the written copy: its statistics answer
+        run.rewrite(f"{table}_rejects", rejects, spark.range(1).select(F.lit(batch).alias("batch")), ["batch"])
     keyed = merge.latest_per_key(staging.filter(F.col(key).isNotNull()), key, [c for c in dedup_order if c in staging.columns])
     counts = upsert(run, table, run.work(keyed, "keyed"), key, hash_col, parts)
     run.commit(f"upsert/{table}")

@@ -104,7 +104,7 @@ def _split(spark: SparkSession, sf_dir: str) -> quality.QualitySplit:
 
 
 def valid_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _split(spark, sf_dir).valid
+    return quality.valid_employees(fx.employees(spark, sf_dir), tie_breakers=_TIE)
 
 
 def bad_employee_audit(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ holds, for every table, the map that is current, and the high-water mark; append
 moved into place by Spark's job commit) publishes all tables together.
 
 A map has one row per partition: the partition values, the version that holds its rows, their count
-and the least and greatest key. A run that rewrites some partitions writes these only and a new map;
+and the least and greatest key (an unpartitioned table: one row per version). A run that rewrites some partitions writes these only and a new map;
 the others keep pointing at older versions. A partition without rows has no map row, so an emptied
 partition disappears.
 
@@ -169,10 +169,14 @@ class Run:
         return written(df, f"{self.store.root}/_work/{self.version}/{name}-{uuid.uuid4().hex[:6]}")
 
     def _write(self, table: str, df: DataFrame, parts: Sequence[str], key: str | None, fmt: str | None) -> tuple[Entry, DataFrame]:
-        """Write the rows of this version once; returns the entry and its map rows."""
+        """Write the rows of this version once; returns the entry and its map rows. An unpartitioned
+        table without key needs no statistics: its files are not read again."""
         entry = Entry(self.version, df.schema.json(), tuple(parts), key, fmt or self.store.fmt)
         path = f"{self.store.root}/{table}/version={self.version}"
         write_table(df, path, fmt=entry.fmt, mode=WriteMode.ERROR_IF_EXISTS, partition_by=list(parts) or None)
+        if not parts and not key:
+            one = self.spark.range(1).select(F.lit(self.version).alias(VERSION), F.lit(None).cast("bigint").alias(ROWS))
+            return entry, one
         back = read_table(self.spark, path, entry.fmt, entry.fields)
         stats = [F.count(F.lit(1)).alias(ROWS)]
         if key:

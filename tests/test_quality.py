@@ -86,6 +86,12 @@ def test_all_outputs_come_from_one_materialised_ranking(spark, edge):
         assert "Window" not in plan and plan.count("Scan ExistingRDD") == 1
 
 
+def test_valid_alone_uses_a_partial_group_limit(spark, edge):
+    valid = quality.valid_employees(edge, tie_breakers=["src_id"])
+    assert "WindowGroupLimit" in valid._jdf.queryExecution().executedPlan().toString()
+    assert rows(valid, "src_id") == rows(quality.split_employees(edge, tie_breakers=["src_id"]).valid, "src_id")
+
+
 def test_split_is_total_for_any_tie_breakers(spark, edge):
     split = quality.split_employees(edge, tie_breakers=["first_name"])
     partial = quality.split_employees(edge, tie_breakers=[])
