@@ -2,10 +2,8 @@
 
 import random
 
-import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from starloom.llm import queries, simhash
 from tests.conftest import SF_SMALL
