@@ -11,11 +11,17 @@ distribution over whole texts.
   pruning removed. A stored symbol of count c has (c - 1/2) / T.
 * Exclusion: the symbols of a context are among those of each shorter one, so what an escape excludes
   depends on the escaped context alone, and its corrected denominator is computed once, in the trie.
-* Pruning: a gram is stored if it makes up at least ``SHARE`` of all positions, at every size of the
-  corpus alike. So the trie has at most ``1 / SHARE`` grams per order, which bounds the broadcast.
+* Pruning: none, unless ``share`` asks for it; every gram of the corpus is in the trie.
+
+Most positions have a common gram of the longest context: one that makes up at least ``COMMON_SHARE`` of all
+positions. There are at most ``1 / COMMON_SHARE`` of these, and they are broadcast with their exact
+probabilities. The grams that miss are counted per document and joined with the table of all grams. What is not
+there either escapes to shorter contexts: such grams meet all grams with the same last ``BASE`` context bytes,
+which hold every count of the contexts of ``BASE`` and more bytes; the grams of shorter contexts (at most
+``256 ** BASE``) are broadcast whole.
 
 Training is one pass: each task counts its longest grams in numpy, and the words for the base score;
-Spark sums both. Scoring is one pass with the broadcast trie. The base score needs the corpus count of
+Spark sums both. The base score needs the corpus count of
 every word: words that make up at least ``HEAD_SHARE`` of all tokens (at most ``1 / HEAD_SHARE``) are
 broadcast, all others are joined with the count table by word; such words are rare by definition, so the
 join has no hot key.
@@ -38,7 +44,8 @@ from pyspark.sql import types as T
 from starloom.llm.common import written
 
 ORDER = 6
-SHARE = 2.0**-22
+COMMON_SHARE = 2.0**-24
+BASE = 3
 HEAD_SHARE = 2.0**-20
 
 #: Bytes that UTF-8 never has: the symbol behind a text, and the context before it.
@@ -156,20 +163,31 @@ def count_grams_and_words(texts: DataFrame, order: int = ORDER) -> DataFrame:
     return written(texts.mapInArrow(count, schema).groupBy("code", "word").agg(F.sum("n").alias("n")), "ppm-counts")
 
 
-def stored_grams(counts: DataFrame, order: int = ORDER, share: float = SHARE) -> DataFrame:
-    """``level, gram, n, total``: the grams of each context length that the trie stores, with the count of
-    their context. A context has at most SYMBOLS rows, so its window is small."""
-    grams = counts.filter("code IS NOT NULL").select(F.col("code").alias("gram"), "n")
-    positions = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    stored = None
-    for level in range(order, -1, -1):
-        if level < order:  # each level from the one above, which is smaller than the text's grams
-            shorter = F.col("gram").bitwiseAND(F.lit((1 << 8 * (level + 1)) - 1))
-            grams = written(grams.groupBy(shorter.alias("gram")).agg(F.sum("n").alias("n")), f"ppm-grams-{level}")
-        whole = Window.partitionBy(F.shiftright("gram", 8))
-        here = grams.withColumn("total", F.sum("n").over(whole)).filter(F.col("n") >= share * positions).withColumn("level", F.lit(level))
-        stored = here if stored is None else stored.unionByName(here)
-    return stored
+def with_totals(counts: DataFrame) -> DataFrame:
+    """``code, n, total``: the longest grams with the count of their context, written once. A context has at
+    most SYMBOLS rows, so its window is small."""
+    whole = Window.partitionBy(F.shiftright("code", 8))
+    return written(counts.filter("code IS NOT NULL").select("code", "n", F.sum("n").over(whole).alias("total")), "ppm-grams")
+
+
+def shortened(gram: np.ndarray, n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of the last ``size`` bytes of grams, sorted."""
+    gram, of = np.unique(gram & ((1 << 8 * size) - 1), return_inverse=True)
+    summed = np.zeros(len(gram), np.int64)
+    np.add.at(summed, of, n)
+    return gram, summed
+
+
+def stored(level: int, gram: np.ndarray, n: np.ndarray, least: float) -> tuple[np.ndarray, ...]:
+    """``level, gram, n, total`` of the grams of one context length that the trie has."""
+    _, total = shortened(gram >> 8, n, level)
+    _, of = np.unique(gram >> 8, return_inverse=True)
+    some = n >= least
+    return np.full(some.sum(), level), gram[some], n[some], total[of][some]
+
+
+def stacked(parts: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    return [np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 4
 
 
 @dataclass
@@ -283,31 +301,86 @@ class Scorer:
 
 @dataclass
 class Model:
-    """What scoring needs, and what it is bounded by: at most 1 / SHARE grams per context length and
-    1 / HEAD_SHARE words."""
+    """What scoring needs. In memory are the grams of contexts below BASE bytes, at most 1 / COMMON_SHARE
+    grams of the longest contexts and at most 1 / HEAD_SHARE words; the rest is in tables."""
 
     key: str
     order: int
-    levels: list[Level]
+    levels: list[Level]  # those below BASE, and last the common grams of the longest contexts
+    base: list[np.ndarray] = field(repr=False)  # level, gram, n, total below BASE
+    least: float  # count of a stored gram
+    common: float  # count of a gram in memory
+    grams: DataFrame = field(repr=False)  # code, n, total: all longest grams
     head: dict[bytes, int]
     words: DataFrame = field(repr=False)  # word, n: all counts
     tokens: int = 0  # N
     distinct: int = 0  # V
 
 
-def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, share: float = SHARE, head_share: float = HEAD_SHARE) -> Model:
-    """The model of all texts of ``docs``. Without any row the trie is empty: every symbol is uniform."""
+def train(
+    docs: DataFrame, text_col: str = "text", order: int = ORDER, share: float = 0.0, head_share: float = HEAD_SHARE, common_share: float = COMMON_SHARE
+) -> Model:
+    """The model of all texts of ``docs``. Without any row the trie is empty: every symbol is uniform.
+
+    ``share`` above 0 prunes the grams below that share of all positions. ``common_share`` and ``head_share``
+    only say what is kept in memory; results don't depend on them."""
     counts = count_grams_and_words(docs.select(F.col(text_col).cast("binary").alias("text")), order)
-    grams = stored_grams(counts, order, share).toArrow()
-    column = lambda name: grams.column(name).to_numpy().astype(np.int64)
-    levels = build_levels(*map(column, ("level", "gram", "n", "total")), order=order)
+    grams, first = with_totals(counts), min(BASE, order)
+    low = grams.groupBy(F.col("code").bitwiseAND(F.lit((1 << 8 * first) - 1)).alias("gram")).agg(F.sum("n").alias("n")).toArrow()
+    column = lambda table, name: table.column(name).to_numpy().astype(np.int64)
+    gram, n = column(low, "gram"), column(low, "n")
+    least = share * n.sum()
+    common = max(least, common_share * n.sum())
+    base = stacked([stored(j, *shortened(gram, n, j + 1), least) for j in range(first)])
+    top = grams.filter(F.col("n") >= common).toArrow()
+    longest = (np.full(len(top), first), column(top, "code"), column(top, "n"), column(top, "total"))
+    levels = build_levels(*stacked([tuple(base), longest]), order=first)
     words = counts.filter("code IS NULL").select("word", "n")
     tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     head = words.filter(F.col("n") >= head_share * tokens).toArrow()
-    return Model(uuid.uuid4().hex, order, levels, dict(zip(head["word"].to_pylist(), head["n"].to_pylist())), words, tokens, distinct)
+    head = dict(zip(head["word"].to_pylist(), head["n"].to_pylist()))
+    return Model(uuid.uuid4().hex, order, levels, base, float(least), float(common), grams, head, words, tokens, distinct)
+
+
+def unseen_logs(codes: DataFrame, model: Model) -> DataFrame:
+    """``code`` (distinct, none of them stored) -> ``code, log``: natural logarithms by the shorter contexts."""
+    spark, order, least, first = codes.sparkSession, model.order, model.least, min(BASE, model.order)
+    shared = spark.sparkContext.broadcast(model.base)
+    key = F.shiftright("code", 8).bitwiseAND(F.lit((1 << 8 * first) - 1)).alias("key")
+    rows = model.grams.select(key, "code", "n").unionByName(codes.select(key, "code", F.lit(-1).cast("long").alias("n")))
+    schema = T.StructType([T.StructField("code", T.LongType()), T.StructField("log", T.DoubleType())])
+
+    def solved(keys: np.ndarray, code: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        asked = n < 0
+        wanted = np.unique(keys[asked])
+        if len(wanted):
+            near = ~asked & np.isin(keys, wanted)
+            local = [stored(j, *shortened(code[near], n[near], j + 1), least) for j in range(first, order + 1)]
+            levels = build_levels(*stacked([tuple(shared.value), *local]), order=order)
+            ask, scorer = code[asked], Scorer(levels)
+            for at in range(0, len(ask), 1 << 16):
+                some = ask[at : at + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(scorer.log_probability(some))], names=["code", "log"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            size += batch.num_rows
+            if size > _CHUNK:
+                whole = [np.concatenate(x) for x in zip(*held)]
+                cut = np.searchsorted(whole[0], whole[0][-1])  # the last key may go on
+                if cut:
+                    yield from solved(*(x[:cut] for x in whole))
+                held = [[x[cut:] for x in whole]]
+                size = 0 if not cut else len(held[0][0])  # a large key is looked at again after as many rows
+        if held:
+            yield from solved(*(np.concatenate(x) for x in zip(*held)))
+
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, schema)
 
 
-_SCORERS: dict[str, Scorer] = {}
+_INDEXES: dict[str, _Index] = {}
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", **extra: Column) -> DataFrame:
@@ -320,27 +393,40 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     id is kept. An empty table gives an empty result. Other columns are ignored.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.key, model.order, model.levels, {w: (np.log10(n + 1), n > 0) for w, n in model.head.items()}))
-    made = [("row", "bigint"), ("n_tokens", "bigint"), ("n_known", "bigint"), ("known_logs", "double"), ("score", "double"), ("tail", "array<binary>")]
+    shared = spark.sparkContext.broadcast((model.key, model.order, model.levels[-1].grams, model.levels[-1].log_top, {w: (np.log10(n + 1), n > 0) for w, n in model.head.items()}))
+    made = [("row", "bigint"), ("n_tokens", "bigint"), ("n_known", "bigint"), ("known_logs", "double"), ("score", "double"), ("tail", "array<binary>"), ("rest", "array<struct<code: bigint, times: bigint>>")]
     columns = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), *[c.alias(k) for k, c in extra.items()], F.col(text_col).cast("binary").alias("text"))
     carried = columns.schema[1:-1]
     schema = T.StructType([*carried, *T._parse_datatype_string(", ".join(f"`{a}` {b}" for a, b in made)).fields])
 
+    def pieces(number: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``number, code, times``, each pair once."""
+        by = np.lexsort((code, number))
+        number, code = number[by], code[by]
+        new = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (number[1:] != number[:-1]))[: len(code)])
+        return number[new], code[new], np.diff(np.append(new, len(code)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, order, levels, head = shared.value
-        scorer = _SCORERS.get(key)
-        if scorer is None:
-            _SCORERS.clear()
-            scorer = _SCORERS[key] = Scorer(levels)
+        key, order, grams, tops, head = shared.value
+        index = _INDEXES.get(key)
+        if index is None:
+            _INDEXES.clear()
+            index = _INDEXES[key] = _Index(grams)
         get = head.get
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            for first in range(0, whole.num_rows, 512):
+                batch = whole.slice(first, 512)
                 datas = [lowered(v) for v in batch.column(batch.num_columns - 1)]
-                logs = np.zeros(len(datas))
+                logs, rest = np.zeros(len(datas)), []
                 for number, code in coded(datas, order):
-                    starts = np.flatnonzero(np.diff(number, prepend=-1))
-                    logs[number[starts]] += np.add.reduceat(scorer.log_probability(code), starts)
+                    at = index.find(code)
+                    miss = at < 0
+                    logs += np.bincount(number[~miss], tops[at[~miss]], len(datas))
+                    rest.append(pieces(number[miss], code[miss]))
+                rest = [np.concatenate(x) for x in zip(*rest)] or [np.zeros(0, np.int64)] * 3
+                by = np.argsort(rest[0], kind="stable")
+                ends = np.append(0, np.cumsum(np.bincount(rest[0], minlength=len(datas)))).astype(np.int32)
+                left = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(rest[1][by]), pa.array(rest[2][by])], names=["code", "times"]))
                 tokens, known, sums, tails = [], [], [], []
                 for data in datas:
                     n, total, rare = 1, 0.0, []
@@ -357,7 +443,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                     if end is None:
                         rare.append(b"")
                     tokens.append(n), known.append(n - len(rare)), sums.append(total), tails.append(rare)
-                arrays = [*batch.columns[1:-1], batch.column(0), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(sums), pa.array(logs / np.log(10)), pa.array(tails, pa.list_(pa.binary()))]
+                arrays = [*batch.columns[1:-1], batch.column(0), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(sums), pa.array(logs), pa.array(tails, pa.list_(pa.binary())), left]
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
 
     scored = written(columns.mapInArrow(run, schema), "ppm-scored")
@@ -366,9 +452,24 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         tail.join(model.words, "word").groupBy("row")
         .agg(F.count(F.lit(1)).alias("rare_known"), F.sum(F.log10(F.col("n") + 1)).alias("rare_logs"))
     )
+    others = model.grams.filter((F.col("n") >= model.least) & (F.col("n") < model.common)).select("code", (F.log(F.col("n") - 0.5) - F.log("total")).alias("log"))
+    looked = written(
+        scored.select("row", F.inline("rest")).join(others, "code", "left")
+        .groupBy("row", F.when(F.col("log").isNull(), F.col("code")).alias("code"))
+        .agg(F.sum(F.col("times") * F.col("log")).alias("log"), F.sum("times").alias("times")),
+        "ppm-looked",
+    )
+    unseen = looked.filter("code IS NOT NULL").select("row", "code", "times")
+    logs = unseen_logs(unseen.select("code").distinct(), model)
+    missed = (
+        looked.filter("code IS NULL").select("row", "log")
+        .unionByName(unseen.join(logs, "code").select("row", (F.col("times") * F.col("log")).alias("log")))
+        .groupBy("row").agg(F.sum("log").alias("missed_logs"))
+    )
     every = np.log10(model.tokens + model.distinct + 1)
     nothing = F.lit(0.0)
-    return scored.join(rare, "row", "left").select(
+    return scored.join(rare, "row", "left").join(missed, "row", "left").select(
         *[f.name for f in carried], "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        (F.col("known_logs") + F.coalesce("rare_logs", nothing) - F.col("n_tokens") * F.lit(float(every))).alias("base_score"), "score",
+        (F.col("known_logs") + F.coalesce("rare_logs", nothing) - F.col("n_tokens") * F.lit(float(every))).alias("base_score"),
+        ((F.col("score") + F.coalesce("missed_logs", nothing)) / float(np.log(10))).alias("score"),
     )

@@ -61,6 +61,29 @@ def test_scores_equal_the_plain_model(spark, order, share):
         assert got[i].score == pytest.approx(want, rel=1e-5), t
 
 
+@pytest.mark.parametrize("order,share,common_share", [(6, 0.0, 2.0), (4, 0.0, 0.02), (2, 0.03, 2.0), (0, 0.0, 2.0)])
+def test_joined_grams_score_as_those_in_memory(spark, order, share, common_share):
+    model = ppm.train(frame(spark, TRAIN), order=order, share=share, common_share=common_share)
+    tables = plain_tables(TRAIN, order)
+    got = {r.doc_id: r.score for r in ppm.score(frame(spark, TEXTS), model).collect()}
+    for i, t in enumerate(TEXTS):
+        data = bytes([ppm.PAD]) * order + (t or "").encode().lower() + bytes([ppm.END])
+        assert got[i] == pytest.approx(sum(plain_log(tables, share, data[k - order : k], data[k]) for k in range(order, len(data))), rel=1e-5), t
+
+
+def test_rare_grams_are_kept_among_much_other_text(spark):
+    """With 20 MB of one character beside it, each gram of the other texts is below 2^-22 of all positions."""
+    order, size = 6, 20_000_000
+    filler = spark.range(1).select(F.lit(-1).alias("doc_id"), F.expr(f"repeat('~', {size})").alias("text"))
+    model = ppm.train(frame(spark, TRAIN).select("doc_id", "text").union(filler))
+    tables = plain_tables([*TRAIN, "~" * order], order)
+    for j in range(order + 1):  # each further character is one more of the same gram
+        tables[j][b"~" * j][ord("~")] += size - order
+    for r in ppm.score(frame(spark, TEXTS), model).collect():
+        data = bytes([ppm.PAD]) * order + (TEXTS[r.doc_id] or "").encode().lower() + bytes([ppm.END])
+        assert r.score == pytest.approx(sum(plain_log(tables, 0, data[k - order : k], data[k]) for k in range(order, len(data))), rel=1e-5)
+
+
 def test_probabilities_sum_to_one(spark):
     model = ppm.train(frame(spark, TRAIN), order=3, share=0.004)
     scorer = ppm.Scorer(model.levels)
