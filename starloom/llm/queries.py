@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, exact_dedup, language_id, line_dedup, mixing, ppm, quality_model, quality_rules, simhash, warc
+from starloom.llm import bpe, exact_dedup, language_id, line_dedup, mixing, ppm, quality_model, quality_rules, runs, simhash, warc
+from starloom.llm.common import let, text_or_empty, words
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,11 +86,41 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def _periodic_ending(text: Column, doc_id: Column) -> Column:
+    """The stand-in input of op11: one text in ten (by the hash of its id) repeats a stretch of its words up
+    to its end. A null id leaves its text as it is."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def rewritten(w: Column) -> Column:
+        n = F.size(w)
+        a = F.pmod(g, n).cast("int")
+        p = (F.floor((n - a) / (3 + F.pmod(g, F.lit(8)))) + 1).cast("int")
+        word = lambda i: F.get(w, F.when(i < a, i).otherwise(a + F.pmod(i - a, p)))
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), word), " ")).otherwise("")
+
+    return F.when(F.coalesce(F.pmod(h, F.lit(10)) == 0, F.lit(False)), let(words(text_or_empty(text)), rewritten)).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", _periodic_ending(F.col("text"), F.col("doc_id")).alias("text"))
+    found = runs.detect_runs(docs)
+    # the greatest length, then the smallest start and period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("l"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    line = lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.l").alias("length"),
+        (-F.col("best.p")).alias("period"), F.expr("1000 * best.l div -best.p").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing, op2_ppm_scoring, op3_exact_dedup, op4_language_id, op5_warc, op6_line_dedup, op7_quality_classifier,
-        op8_byte_bpe, op9_quality_rules, op10_simhash_near_dedup,
+        op8_byte_bpe, op9_quality_rules, op10_simhash_near_dedup, op11_periodic_runs,
     )
 }
 
