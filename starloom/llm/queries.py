@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, exact_dedup, language_id, line_dedup, mixing, ppm, quality_model, quality_rules, runs, simhash, warc
+from starloom.llm import bpe, conversations, decontamination, exact_dedup, language_id, line_dedup, mixing, ppm, quality_model, quality_rules, runs, simhash, warc
 from starloom.llm.common import let, text_or_empty, words
 
 
@@ -116,11 +116,46 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def _damaged(rows: DataFrame) -> DataFrame:
+    """The stand-in input of op13: rows dropped, emptied, cut, repeated or given another role by a hash."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    h = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn")).cast("binary")) % 20
+    text = F.when(h == 1, "").when(h == 2, F.translate(space("text"), ".!?", "")).otherwise(space("text"))
+    role = F.when(h == 4, "user").otherwise(space("role"))
+    times = F.explode(F.when(h == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return rows.filter(h != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), times).drop("col")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    repaired = conversations.repair(_damaged(rows))
+    key = F.struct("conv_id").alias("c")
+    ordered = lambda value, *by: F.array_sort(F.collect_list(F.struct(*by, value.alias("value"))))["value"]
+    audits = repaired.pieces.groupBy(key).agg(F.array_join(ordered(F.col("audit"), "block"), "").alias("audit"))
+    lines = repaired.edits.filter("edit <> 'D'").groupBy(key).agg(
+        F.array_join(ordered(F.concat("role", F.lit(":"), "text"), "block", "step"), "\n").alias("lines")
+    )
+    found = rows.select(key).distinct().join(repaired.conversations.withColumn("c", key).drop("conv_id"), "c", "left").join(audits, "c", "left").join(lines, "c", "left")
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select(
+        "c.conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.sha2(F.coalesce("lines", F.lit("")).cast("binary"), 256).alias("repaired_sha256")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing, op2_ppm_scoring, op3_exact_dedup, op4_language_id, op5_warc, op6_line_dedup, op7_quality_classifier,
         op8_byte_bpe, op9_quality_rules, op10_simhash_near_dedup, op11_periodic_runs,
+        op12_decontamination, op13_conversation_repair,
     )
 }
 
@@ -162,4 +197,35 @@ ORACLE_SQL = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    # an occurrence is a stretch of as many document words as a window of any item has, equal to one
+    "op12_decontamination": r"""
+        WITH split AS (
+            SELECT doc_id, row_number() OVER () AS row,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), items AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), places AS (
+            SELECT item_id, w, unnest(range(greatest(len(w) - 9, 1))) AS i FROM items WHERE len(w) > 0
+        ), windows AS (
+            SELECT DISTINCT item_id, w[i + 1 : i + 10] AS words FROM places
+        ), sizes AS (
+            SELECT DISTINCT len(words) AS n FROM windows
+        ), starts AS (
+            SELECT row, w, n, unnest(range(len(w) - n + 1)) AS i FROM split, sizes WHERE len(w) >= n
+        ), found AS (
+            SELECT row, i, n, item_id FROM (SELECT row, i, n, w[i + 1 : i + n] AS words FROM starts) JOIN windows USING (words)
+        ), hit AS (
+            SELECT row, count(DISTINCT place) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS place FROM found) GROUP BY row
+        ), listed AS (
+            SELECT row, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+            FROM found GROUP BY row
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM split LEFT JOIN hit USING (row) LEFT JOIN listed USING (row)
+    """,
 }
