@@ -4,8 +4,8 @@ A *window* is ``window_words`` consecutive words of an item (an item with fewer
 document contains it if the same words follow each other in the document. Words are lower-cased (A-Z).
 
 1. *Shingles.* A window is the ordered set of its shingles of ``shingle_words`` words (a shorter window is
-   one shingle). The document words that start a shingle of any item are found by an equality join, on a
-   64-bit hash and on the words themselves. A document's matches are a few narrow rows; its text is read once.
+   one shingle). The document words that start a shingle of any item are found by an equality join on the
+   shingle's words. A document's matches are a few narrow rows; its text is read once.
 2. *Rarity.* The matches of each shingle are counted over all documents. The order of a window's shingles
    is from rare to frequent.
 3. *Prefix.* All of a window's m shingles must be there, so any set of m - m + 1 = 1 of them has to meet the
@@ -35,7 +35,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import ascii_lower, text_or_empty, written
+from starloom.llm.common import ascii_lower, let, text_or_empty, written
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW_WORDS = 10
@@ -74,18 +74,23 @@ def shingle_matches(
     document also has one row with ``base`` set, which is a match only if it has a ``sid``."""
     text = text_or_empty(text_col)
     key = [F.xxhash64(F.col(id_col), text).alias("k1"), F.xxhash64(F.lit(1), F.col(id_col), text).alias("k2")]
-    split = docs.select(*key, F.col(id_col).alias("doc_id"), item_words(F.col(text_col)).alias("w"))
-    placed = split.select(*_KEY, "doc_id", "w", F.size("w").alias("n_words"), F.posexplode_outer("w").alias("at", "first"))
-    placed = placed.withColumn("length", F.lit(lengths[0]) if len(lengths) == 1 else F.explode(F.array(*map(F.lit, lengths))))
-    word = lambda i: F.get("w", F.col("at") + i)
-    placed = placed.withColumn("h", F.xxhash64("length", "first", *[F.when(F.col("length") > i, word(i)) for i in range(1, max(lengths))]))
-    names = [F.get("shingle", F.lit(i)) for i in range(max(lengths))]
-    known = shingles.groupBy(F.xxhash64(F.size("shingle"), *names).alias("kh")).agg(F.collect_list(F.struct("sid", "shingle")).alias("known"))
-    joined = placed.join(F.broadcast(known), F.col("h") == F.col("kh"), "left")
-    # equal hashes only point at the shingles; the words decide
-    same = F.filter("known", lambda k: k["shingle"] == F.slice("w", F.col("at") + 1, F.col("length")))
+
+    def cut(w: Column, length: Column) -> Column:
+        # words have no spaces, so a joined shingle stands for its words
+        joined = lambda i: F.concat_ws(" ", *[F.get(w, i) if j == 0 else F.when(length > j, F.get(w, i + j)) for j in range(max(lengths))])
+        return F.when(F.size(w) >= length, F.transform(F.sequence(F.lit(0), F.size(w) - length), joined)).otherwise(F.array().cast("array<string>"))
+
+    cuts = let(item_words(F.col(text_col)), lambda w: F.struct(F.size(w).alias("n"), F.array(*[cut(w, F.lit(n)) for n in lengths]).alias("all")))
+    split = docs.select(*key, F.col(id_col).alias("doc_id"), cuts.alias("s")).select(*_KEY, "doc_id", F.col("s.n").alias("n_words"), F.col("s.all").alias("all"))
+    if len(lengths) == 1:
+        split = split.select(*_KEY, "doc_id", "n_words", F.lit(lengths[0]).alias("length"), F.get("all", F.lit(0)).alias("cut"))
+    else:
+        split = split.select(*_KEY, "doc_id", "n_words", F.posexplode("all").alias("which", "cut"))
+        split = split.withColumn("length", F.get(F.array(*map(F.lit, lengths)), F.col("which"))).drop("which")
+    placed = split.select(*_KEY, "doc_id", "n_words", "length", F.posexplode_outer("cut").alias("at", "joined"))
+    known = shingles.select("sid", F.array_join("shingle", " ").alias("joined"))
     base = (F.coalesce(F.col("at"), F.lit(0)) == 0) & (F.col("length") == lengths[0]) if with_base else F.lit(False)
-    joined = joined.withColumns({"sid": F.when(F.col("known").isNotNull(), F.get(same, F.lit(0))["sid"]), "base": base})
+    joined = placed.join(F.broadcast(known), "joined", "left").withColumn("base", base)
     return joined.filter(F.col("base") | F.col("sid").isNotNull()).select(*_KEY, "doc_id", "n_words", "at", "length", "sid", "base")
 
 

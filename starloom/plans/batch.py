@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from starloom import schemas
 from starloom.operators import control, dims, facts, merge, quality
 from starloom.plans import publish
-from starloom.plans.store import Run, Store
+from starloom.plans.store import OnWrite, Run, Store
 from starloom.session import written
 from starloom.sources.io import delete_path, read_table
 
@@ -72,6 +72,7 @@ def run_batch(
     change_on: str = "record_hash",
     fmt: str = "parquet",
     corrupt: Mapping[str, DataFrame] | None = None,
+    on_write: OnWrite | None = None,
 ) -> BatchOutcome:
     """Run one load into ``root``; returns the decision and the counts.
 
@@ -90,6 +91,7 @@ def run_batch(
     ``corrupt`` has the unparsable lines of each input by its name, in a column ``corrupt_record``;
     those of the employees go to the audit, those of the sales to the rejects, and all to
     ``corrupt_lines``.
+    ``on_write`` is called for each write of a published table, see ``plans.store``.
     """
     if mark_granularity not in ("exact", "day"):
         raise ValueError("mark_granularity must be 'exact' or 'day'")
@@ -102,7 +104,7 @@ def run_batch(
     quality.check_schema(cities, schemas.CITIES, strict_types)
 
     store = Store(spark, root, fmt)
-    run = store.begin()
+    run = store.begin(on_write)
     mark_col = "day_mark" if mark_granularity == "day" else "max_ts"
     decision = run.work(control.decide(facts.batch_max(sales), store.control(), mark_col=mark_col, lookback=interval(lookback)), "decision")
     row = decision.select("decision", "stored_mark", "batch_max").first()
@@ -178,10 +180,10 @@ def _keyed_sales(run: Run, sales: DataFrame, outcome: BatchOutcome) -> DataFrame
 
 
 def _first_load(run: Run, people: DataFrame, staged: DataFrame, sales: DataFrame, outcome: BatchOutcome, change_on: str) -> None:
-    run.replace("employee_dim", staged, schemas.EMPLOYEE_DIM_PARTITIONS, key="emp_id")
+    run.replace("employee_dim", staged, schemas.EMPLOYEE_DIM_PARTITIONS)
     keyed = _keyed_sales(run, sales, outcome)
     fact = facts.sales_staging(facts.add_year_month(facts.assign_employee(keyed, people)), strict=change_on == "strict_hash")
-    run.replace("sales_fact", fact, schemas.SALES_FACT_PARTITIONS, key="trx_id")
+    run.replace("sales_fact", fact, schemas.SALES_FACT_PARTITIONS)
     outcome.metrics["fact_rows"] = run.rows_of("sales_fact")
     run.replace("date_dim", dims.date_dim(keyed))
 
@@ -200,7 +202,7 @@ def _incremental(run: Run, people: DataFrame, staged: DataFrame, sales: DataFram
     columns = run.store.tables["sales_fact"].fields.fieldNames()
     changes = publish.changes_of(run, prepared, columns, change_on, parts)
     counts = publish.rewrite_touched(
-        run, "sales_fact", changes, "trx_id", parts,
+        run, "sales_fact", changes, parts,
         lambda new, target: merge.merge_scd1(new, target, update_columns=_fact_update_columns(change_on), hash_col=change_on, on_duplicate="unique").merged,
     )
     outcome.metrics.update({f"fact_{k}": v for k, v in counts.items()})
@@ -211,7 +213,7 @@ def _incremental(run: Run, people: DataFrame, staged: DataFrame, sales: DataFram
     known = known.filter(F.coalesce("__known_is_current", F.lit(False)))
     changes = publish.changes_of(run, staged.join(known, "emp_id", "left"), staged.columns, change_on, parts, moves_rows=True)
     counts = publish.rewrite_touched(
-        run, "employee_dim", changes, "emp_id", parts, lambda new, target: merge.merge_scd2(new, target, as_of, hash_col=change_on)
+        run, "employee_dim", changes, parts, lambda new, target: merge.merge_scd2(new, target, as_of, hash_col=change_on)
     )
     outcome.metrics.update({f"employee_{merge.NEW}": counts[merge.INSERT], f"employee_{merge.CHANGED}": counts[merge.UPDATE]})
 

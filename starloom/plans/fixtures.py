@@ -24,13 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Employees with names to trim, null/invalid/upper-case e-mails, shared phones, null salaries."""
+    """Employees with names to trim, null/invalid/upper-case e-mails, shared phones, null salaries; some
+    have an empty name and a title with line breaks, quotes, a comma and a backslash."""
     k = F.col("c_custkey")
+    odd = (k % 20 == 0) & (k % 3 == 0)
     return table(spark, sf_dir, "customer").select(
         k.alias("src_id"),
         F.when(k % 3 == 0, " Ann ").when(k % 3 == 1, "Bo").otherwise("Cy").alias("first_name"),
-        F.substr(F.col("c_name"), F.lit(10)).alias("last_name"),
-        F.col("c_mktsegment").alias("job_title"),
+        F.when(odd, "").otherwise(F.substr(F.col("c_name"), F.lit(10))).alias("last_name"),
+        F.when(odd, F.concat("c_mktsegment", F.lit('\n"a, b"\r\\'))).otherwise(F.col("c_mktsegment")).alias("job_title"),
         F.when(k % 101 == 0, None)
         .otherwise(F.date_add(F.lit("1960-01-01").cast("date"), ((k * 37) % 20000).cast("int")))
         .alias("dob"),
@@ -143,24 +145,37 @@ def control_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def batch_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the first of two loads delivers: the stored state of the sales up to the end of 2000 and the
+    undated ones. The tenth that it lacks is younger than March 2000 or undated, in reach of the second."""
+    s, ts = sales(spark, sf_dir), F.col("transacted_at")
+    day = lambda text: F.lit(text).cast("timestamp_ntz")
+    later = (F.col("trx_id") % 10 == 0) & (F.col("trx_id") % 11 != 0) & (ts.isNull() | (ts >= day("2000-03-01")))
+    changed = s.filter(~later).withColumn("amount", F.when(F.col("trx_id") % 7 == 0, F.col("amount") + 1).otherwise(F.col("amount")))
+    extra = s.filter(F.col("trx_id") % 50 == 0).withColumn("trx_id", F.col("trx_id") + 1000000)
+    return changed.unionByName(extra).filter(ts.isNull() | (ts < day("2001-01-01")))
+
+
+def batch_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second of two loads delivers: all sales from 2001 on, and of the others, which the first has,
+    all but every eleventh."""
+    recent = F.col("transacted_at") >= F.lit("2001-01-01").cast("timestamp_ntz")
+    return sales(spark, sf_dir).filter((F.col("trx_id") % 11 != 0) | F.coalesce(recent, F.lit(False)))
+
+
 def batch_inputs(spark: SparkSession, sf_dir: str, run: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Inputs of a load.
 
     run 0: everything, for queries of a single load. Two consecutive loads: run 1, employees without
-    every eleventh, the stored sales state up to the end of 2000 (undated rows included); run 2, all
-    employees and the next full delivery of sales.
+    every eleventh and the sales of ``batch_before``; run 2, all employees and the sales of ``batch_after``.
+    Every sale is in one of the two loads at least, within reach of a look-back of a year.
     """
     e = employees(spark, sf_dir)
     if run == 0:
         return e, sales(spark, sf_dir), cities(spark, sf_dir)
     if run == 1:
-        ts = F.col("transacted_at")
-        return (
-            e.filter(F.col("src_id") % 11 != 0),
-            sales_before(spark, sf_dir).filter(ts.isNull() | (ts < F.lit("2001-01-01").cast("timestamp_ntz"))),
-            cities(spark, sf_dir),
-        )
-    return e, sales_after(spark, sf_dir), cities(spark, sf_dir)
+        return e.filter(F.col("src_id") % 11 != 0), batch_before(spark, sf_dir), cities(spark, sf_dir)
+    return e, batch_after(spark, sf_dir), cities(spark, sf_dir)
 
 
 def late_sales() -> Column:
@@ -171,14 +186,9 @@ def late_sales() -> Column:
 
 
 def late_inputs(spark: SparkSession, sf_dir: str, run: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """run 1: all sales up to the end of 2000 but the late ones; run 2: only these."""
-    s = sales(spark, sf_dir)
-    if run == 1:
-        ts = F.col("transacted_at")
-        s = s.filter(~late_sales() & (ts.isNull() | (ts < F.lit("2001-01-01").cast("timestamp_ntz"))))
-    else:
-        s = s.filter(late_sales())
-    return employees(spark, sf_dir), s, cities(spark, sf_dir)
+    """run 1: all sales but the late ones; run 2: only these."""
+    late = late_sales()
+    return employees(spark, sf_dir), sales(spark, sf_dir).filter(~late if run == 1 else late), cities(spark, sf_dir)
 
 
 def csv_inputs(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:

@@ -14,8 +14,9 @@ FX = {
 fx_employees as (
   select c_custkey as src_id,
          case when c_custkey % 3 = 0 then ' Ann ' when c_custkey % 3 = 1 then 'Bo' else 'Cy' end as first_name,
-         substr(c_name, 10) as last_name,
-         c_mktsegment as job_title,
+         case when c_custkey % 20 = 0 and c_custkey % 3 = 0 then '' else substr(c_name, 10) end as last_name,
+         case when c_custkey % 20 = 0 and c_custkey % 3 = 0
+              then c_mktsegment || chr(10) || '"a, b"' || chr(13) || chr(92) else c_mktsegment end as job_title,
          case when c_custkey % 101 = 0 then null
               else cast(date '1960-01-01' + cast((c_custkey * 37) % 20000 as integer) as date) end as dob,
          case when c_custkey % 40 = 0 then null
@@ -54,6 +55,18 @@ fx_sales_before as (
   union all
   select transacted_at, trx_id + 1000000, retailer_id, description, amount, city_id
   from fx_sales where trx_id % 50 = 0)""",
+    "fx_batch_before": """
+fx_batch_before as (
+  select transacted_at, trx_id, retailer_id, description,
+         case when trx_id % 7 = 0 then amount + 1 else amount end as amount, city_id
+  from fx_sales
+  where (trx_id % 10 <> 0 or trx_id % 11 = 0 or transacted_at < timestamp '2000-03-01')
+    and (transacted_at is null or transacted_at < timestamp '2001-01-01')
+  union all
+  select transacted_at, trx_id + 1000000, retailer_id, description, amount, city_id
+  from fx_sales where trx_id % 50 = 0 and (transacted_at is null or transacted_at < timestamp '2001-01-01'))""",
+    "fx_batch_after": """
+fx_batch_after as (select * from fx_sales where trx_id % 11 <> 0 or transacted_at >= timestamp '2001-01-01')""",
     "fx_emp_after": """
 fx_emp_after as (
   select cast(src_id as integer) as emp_id, first_name, last_name, job_title, dob, email, phone, salary, department_id
@@ -78,6 +91,8 @@ fx_control as (
 _DEPENDS = {
     "fx_sales_after": ["fx_sales"],
     "fx_sales_before": ["fx_sales"],
+    "fx_batch_after": ["fx_sales"],
+    "fx_batch_before": ["fx_sales"],
     "fx_emp_after": ["fx_employees"],
     "fx_emp_before": ["fx_employees"],
     "fx_control": ["fx_sales"],
@@ -534,7 +549,7 @@ def _first_load_ctes() -> list[str]:
     return (
         ["emp1 as (select * from fx_employees where src_id % 11 <> 0)"]
         + _ranked_valid("e1", "emp1")
-        + ["s1 as (select * from fx_sales_before where transacted_at is null or transacted_at < timestamp '2001-01-01')"]
+        + ["s1 as (select * from fx_batch_before)"]
         + murmur3_ctes("s1", "trx_id", "s1_h")
         + [
             f"""f1 as (select *, {_hash(SALES_HASH)} as record_hash from (
@@ -560,17 +575,16 @@ def batch_first_load() -> str:
 
 
 def batch_late_delivery() -> str:
-    source = "s0 as (select * from fx_sales where transacted_at is null or transacted_at < timestamp '2001-01-01')"
-    return with_fixtures(["fx_employees", "fx_sales"], "select * from f0", [source] + _whole_fact("s0"))
+    return batch_first_load()
 
 
 def batch_zoned_timestamps() -> str:
     body = """
 select 'last_Processed_date' as mark_key, max(transacted_at) as mark_value, cast(1 as bigint) as seq
-from fx_sales_before where transacted_at < timestamp '2001-01-01'
+from fx_batch_before
 union all
-select 'last_Processed_date', max(transacted_at), cast(2 as bigint) from fx_sales_after"""
-    return with_fixtures(["fx_sales_before", "fx_sales_after"], body)
+select 'last_Processed_date', max(transacted_at), cast(2 as bigint) from fx_batch_after"""
+    return with_fixtures(["fx_batch_before", "fx_batch_after"], body)
 
 
 def batch_email_key() -> str:
@@ -606,7 +620,7 @@ def batch_incremental() -> str:
         _first_load_ctes()
         + _ranked_valid("e2", "fx_employees")
         + [
-            "slice as (select * from fx_sales_after where transacted_at is null or transacted_at > (select max(transacted_at) from s1) - interval 365 days)"
+            "slice as (select * from fx_batch_after where transacted_at is null or transacted_at > (select max(transacted_at) from s1) - interval 365 days)"
         ]
         + murmur3_ctes("slice", "trx_id", "slice_h")
         + [
@@ -619,7 +633,7 @@ def batch_incremental() -> str:
             SCD1_MERGED,
         ]
     )
-    return with_fixtures(["fx_employees", "fx_sales_before", "fx_sales_after"], "select * exclude (change_type) from merged", ctes)
+    return with_fixtures(["fx_employees", "fx_batch_before", "fx_batch_after"], "select * exclude (change_type) from merged", ctes)
 
 
 KEY_ORDER = "department_id nulls first, phone nulls first, email nulls first"
@@ -671,10 +685,10 @@ select d as "date", cast(day(d) as integer) as day, cast(month(d) as integer) as
        cast(year(d) as integer) as year, cast(quarter(d) as integer) as quarter
 from (select cast(transacted_at as date) as d from s1 where transacted_at is not null
       union
-      select cast(transacted_at as date) from fx_sales_after
+      select cast(transacted_at as date) from fx_batch_after
       where transacted_at > (select max(transacted_at) from s1) - interval 365 days)"""
-    ctes = ["s1 as (select * from fx_sales_before where transacted_at is null or transacted_at < timestamp '2001-01-01')"]
-    return with_fixtures(["fx_sales_before", "fx_sales_after"], body, ctes)
+    ctes = ["s1 as (select * from fx_batch_before)"]
+    return with_fixtures(["fx_batch_before", "fx_batch_after"], body, ctes)
 
 
 def batch_rerun_control() -> str:

@@ -1,13 +1,12 @@
 """Key-wise upsert into a versioned, partitioned table; only the touched partitions are written.
 
-1. Lookup. The stored rows of the delivered keys, with key, hash and partition columns only. The map's
-   key ranges rule out partitions that cannot hold any of the keys; what is left is cut by a semi
-   join with the delivered keys, which AQE broadcasts once it has measured them small, so stored rows
-   are scanned and not shuffled.
+1. Lookup. The stored rows of the delivered keys, with key, hash and partition columns only: a semi join
+   with the delivered keys, which AQE broadcasts once it has measured them small, so stored rows are
+   scanned and not shuffled.
 2. Classification. A delivered row is an insert (key unknown), an update (hash differs) or unchanged
    (dropped here). The changes are written once, as Parquet.
 3. Touched partitions: those of the inserts and the stored ones of the updates (and, where a version
-   may move, its new one). The stored rows of these partitions are read through the map, merged with
+   may move, its new one). The stored rows of these partitions are read from the folders in the map, merged with
    the changes in one join and written to the run's version. There is one path for any number of
    partitions, and their values stay in Spark.
 
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators import merge
-from starloom.plans.store import KEY_MAX, KEY_MIN, Run, Store, _null_safe
+from starloom.plans.store import Run, Store, _null_safe
 
 _TOUCHED = "__touched_"
 _KNOWN = "__known_"
@@ -37,15 +36,8 @@ class Changes:
 
 
 def known_rows(run: Run, table: str, keys: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Stored rows whose key is in ``keys``: the key and ``columns``, renamed to ``__known_*``.
-
-    ``keys`` must be a written table: its least and greatest key choose the partitions to scan.
-    """
-    store = run.store
-    found = store.map_of(table)
-    bounds = keys.agg(F.min(key).alias("low"), F.max(key).alias("high"))
-    found = found.filter((F.col(KEY_MAX) >= bounds.select("low").scalar()) & (F.col(KEY_MIN) <= bounds.select("high").scalar()))
-    stored = store.read(table, within=run.work(found, f"{table}-candidates"))
+    """Stored rows whose key is in ``keys``: the key and ``columns``, renamed to ``__known_*``."""
+    stored = run.store.read(table)
     narrow = stored.select(key, *[F.col(c).alias(f"{_KNOWN}{c}") for c in columns], F.lit(True).alias(f"{_KNOWN}row"))
     return narrow.join(keys.select(key), key, "left_semi")
 
@@ -72,7 +64,7 @@ def changes_of(
 
 
 def rewrite_touched(
-    run: Run, table: str, changes: Changes, key: str, parts: Sequence[str], merge_fn: Callable[[DataFrame, DataFrame], DataFrame]
+    run: Run, table: str, changes: Changes, parts: Sequence[str], merge_fn: Callable[[DataFrame, DataFrame], DataFrame]
 ) -> dict[str, int]:
     """Merge the changes into the touched partitions; ``merge_fn(changes, target)`` returns the merged
     rows (a ``change_type`` column is dropped)."""
@@ -80,9 +72,9 @@ def rewrite_touched(
         store = run.store
         stored = store.map_of(table)
         within = stored.join(changes.touched, _null_safe(stored, changes.touched, parts), "left_semi")
-        target = store.read(table, within=run.work(within, f"{table}-touched"))
+        target = store.read(table, within=within)
         merged = merge_fn(changes.rows.select(*target.columns), target).drop("change_type")
-        run.rewrite(table, merged, changes.touched, parts, key)
+        run.rewrite(table, merged, changes.touched, parts)
     return changes.counts
 
 
@@ -97,11 +89,11 @@ def upsert(
     """Type 1 upsert of prepared rows: one row per key, no null key, hash and partition columns present,
     materialised by the caller."""
     if not run.store.has(table):
-        run.replace(table, staging, parts, key)
+        run.replace(table, staging, parts)
         return {merge.INSERT: run.rows_of(table), merge.UPDATE: 0}
     known = known_rows(run, table, staging, key, [hash_col, *parts])
     changes = changes_of(run, staging.join(known, key, "left"), staging.columns, hash_col, parts)
-    return rewrite_touched(run, table, changes, key, parts, lambda new, target: merge.merge_scd1(new, target, key=key, hash_col=hash_col, on_duplicate="unique").merged)
+    return rewrite_touched(run, table, changes, parts, lambda new, target: merge.merge_scd1(new, target, key=key, hash_col=hash_col, on_duplicate="unique").merged)
 
 
 def upsert_batch(

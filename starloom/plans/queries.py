@@ -287,26 +287,23 @@ class Lost(RuntimeError):
 def crashing_loads(spark: SparkSession, inputs: tuple[DataFrame, DataFrame, DataFrame], root: str, **options) -> int:
     """Run one load again and again, each time lost inside the next of its writes (the files of that
     write are there, some of its rows missing), until a run gets through. Returns the lost runs."""
-    whole = Run._write
     lost = 0
     while True:
-        left = [lost]
+        left = lost
 
-        def write(self, table, df, *rest):
-            if not left[0]:
-                whole(self, table, df.limit(1), *rest)
+        def on_write(table: str, df: DataFrame, save: Callable[[DataFrame], None]) -> None:
+            nonlocal left
+            if not left:
+                save(df.limit(1))
                 raise Lost(table)
-            left[0] -= 1
-            return whole(self, table, df, *rest)
+            left -= 1
+            save(df)
 
-        Run._write = write
         try:
-            _load(spark, inputs, root, **options)
+            _load(spark, inputs, root, on_write=on_write, **options)
             return lost
         except Lost:
             lost += 1
-        finally:
-            Run._write = whole
 
 
 def batch_crash_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,7 +318,7 @@ def batch_late_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second delivery with nothing but late sales, all before the stored mark."""
     root = scratch_path(spark, "batch-late")
     _load(spark, fx.late_inputs(spark, sf_dir, 1), root)
-    outcome = _load(spark, fx.late_inputs(spark, sf_dir, 2), root, day=1, lookback=_LOOKBACK)
+    outcome = _load(spark, fx.late_inputs(spark, sf_dir, 2), root, day=1, lookback=2 * _LOOKBACK)
     if outcome.decision != control.INCREMENTAL:
         raise AssertionError(f"late sales must be loaded, got {outcome.decision}")
     return batch.published(spark, root, "sales_fact")
@@ -333,7 +330,7 @@ def batch_zoned_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     for run in (1, 2):
         emp, sales, cities = fx.batch_inputs(spark, sf_dir, run)
         zoned = sales.withColumn("transacted_at", F.col("transacted_at").cast("timestamp"))
-        _load(spark, (emp, zoned, cities), root, day=run - 1)
+        _load(spark, (emp, zoned, cities), root, day=run - 1, lookback=_LOOKBACK)
     return Store(spark, root).control().select("mark_key", "mark_value", "seq")
 
 
@@ -362,7 +359,7 @@ def stream_scd1_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     root = scratch_path(spark, "stream")
     run = Store(spark, f"{root}/out").begin()
-    run.replace("sales_fact", _scd1_side(fx.sales_before(spark, sf_dir)), schemas.SALES_FACT_PARTITIONS, key="trx_id")
+    run.replace("sales_fact", _scd1_side(fx.sales_before(spark, sf_dir)), schemas.SALES_FACT_PARTITIONS)
     run.commit("stored")
     incoming = fx.sales_after(spark, sf_dir)
     # the delivery arrives as 8 files in event-time ranges, two files per micro-batch, so a

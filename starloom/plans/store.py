@@ -10,15 +10,14 @@ table and a failed run can simply be repeated: what it left is named by no commi
 holds, for every table, the map that is current, and the high-water mark; appending it (one file,
 moved into place by Spark's job commit) publishes all tables together.
 
-A map has one row per partition: the partition values, the version that holds its rows, their count
-and the least and greatest key (an unpartitioned table: one row per version). A run that rewrites some partitions writes these only and a new map;
-the others keep pointing at older versions. A partition without rows has no map row, so an emptied
-partition disappears.
+A map has one row per partition: the partition values, the folder that holds its rows (of the version that
+wrote it) and their count; an unpartitioned table has one row per version. A run that rewrites some
+partitions writes these only and a new map; the others keep pointing at older versions. A partition without
+rows has no map row, so an emptied partition disappears.
 
-A table is read by a semi join of all its versions with the current map, on the version and the
-partition columns. That is an equality join with a small Parquet table, so dynamic partition pruning
-lists only the folders in the map; null partition values, which equality cannot match, are a second
-branch with static partition filters. The key ranges of the map prune a key lookup in the same way.
+A table is read from the folders in its map, and from no others: the driver gets one folder name per live
+partition, as many as Spark's own file index holds. What older runs have left is neither listed nor read;
+its folders can be deleted by age, once no reader needs the commits that name them.
 
 One run at a time may write a root.
 """
@@ -28,22 +27,26 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 from functools import reduce
-from typing import Sequence
+from typing import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from starloom.session import written
-from starloom.sources.io import WriteMode, delete_path, list_names, path_exists, read_table, write_table
+from starloom.sources.io import WriteMode, delete_path, path_exists, read_table, write_table
 
 CONTROL_SCHEMA = (
     "mark_key string, mark_value timestamp_ntz, seq bigint, version string, "
-    "tables map<string,struct<map:string,schema:string,parts:array<string>,key:string,fmt:string>>, committed_at timestamp"
+    "tables map<string,struct<map:string,schema:string,parts:array<string>,fmt:string>>, committed_at timestamp"
 )
-_ENTRY = "map<string,struct<map:string,schema:string,parts:array<string>,key:string,fmt:string>>"
+_ENTRY = "map<string,struct<map:string,schema:string,parts:array<string>,fmt:string>>"
 
-VERSION, ROWS, KEY_MIN, KEY_MAX = "__version", "__rows", "__key_min", "__key_max"
+FOLDER, ROWS = "__folder", "__rows"
+
+#: Called instead of a run's write with the table, its rows and the function that writes them.
+OnWrite = Callable[[str, DataFrame, Callable[[DataFrame], None]], None]
 
 
 @dataclass(frozen=True)
@@ -53,7 +56,6 @@ class Entry:
     map: str
     schema: str  # JSON
     parts: tuple[str, ...] = ()
-    key: str | None = None
     fmt: str = "parquet"
 
     @property
@@ -64,9 +66,7 @@ class Entry:
 
     def map_schema(self) -> StructType:
         table = self.fields
-        fields = [StructField(c, table[c].dataType) for c in self.parts] + [StructField(VERSION, StringType()), StructField(ROWS, LongType())]
-        if self.key:
-            fields += [StructField(c, table[self.key].dataType) for c in (KEY_MIN, KEY_MAX)]
+        fields = [StructField(c, table[c].dataType) for c in self.parts] + [StructField(FOLDER, StringType()), StructField(ROWS, LongType())]
         return StructType(fields)
 
 
@@ -89,7 +89,7 @@ class Store:
         if head is not None:
             self.seq = head["seq"]
             self.tables = {
-                name: Entry(e["map"], e["schema"], tuple(e["parts"] or ()), e["key"], e["fmt"]) for name, e in (head["tables"] or {}).items()
+                name: Entry(e["map"], e["schema"], tuple(e["parts"] or ()), e["fmt"]) for name, e in (head["tables"] or {}).items()
             }
 
     def control(self) -> DataFrame | None:
@@ -109,44 +109,19 @@ class Store:
         return self.spark.read.schema(entry.map_schema()).parquet(f"{self.root}/_maps/{table}/{entry.map}")
 
     def read(self, table: str, within: DataFrame | None = None) -> DataFrame:
-        """The committed rows; ``within`` (rows of the map, as a Parquet table) reads these partitions only."""
+        """The committed rows; ``within`` (rows of the map) reads these partitions only."""
         entry = self.tables[table]
-        parts = list(entry.parts)
         fields = entry.fields
-        columns = [f.name for f in fields.fields]
-        # always true; Spark prunes partitions dynamically only by a side that has such a predicate
-        found = (self.map_of(table) if within is None else within).filter(F.col(VERSION) > "")
-        path = f"{self.root}/{table}"
-        if not path_exists(self.spark, path):
+        live = (self.map_of(table) if within is None else within).select(FOLDER).collect()  # one per live partition
+        if not live:
             return self.spark.createDataFrame([], fields)
-        scan = read_table(self.spark, path, entry.fmt, StructType([*fields.fields, StructField("version", StringType())]))
-
-        def joined(rows: DataFrame, live: DataFrame, equal) -> DataFrame:
-            live = live.select(*[F.col(c).alias(f"__m_{c}") for c in parts], VERSION)
-            same = [rows["version"] == live[VERSION]] + [equal(rows[c], live[f"__m_{c}"]) for c in parts]
-            return rows.join(live, _all(same[1:]) & same[0] if parts else same[0], "left_semi").select(*columns)
-
-        if not parts:
-            return joined(scan, found, None)
-        whole = _all([F.col(c).isNotNull() for c in parts])
-        return joined(scan.filter(whole), found.filter(whole), lambda a, b: a == b).unionByName(
-            joined(scan.filter(~whole), found.filter(~whole), lambda a, b: a.eqNullSafe(b))
-        )
+        base = f"{self.root}/{table}"
+        schema = StructType([*fields.fields, StructField("version", StringType())])
+        rows = read_table(self.spark, [f"{base}/{unquote(r[0])}" for r in live], entry.fmt, schema, options={"basePath": base})
+        return rows.select(*fields.fieldNames())
 
-    def begin(self) -> "Run":
-        return Run(self)
-
-    def vacuum(self) -> list[str]:
-        """Delete what no committed table needs: older and uncommitted versions, old maps, work folders.
-        Readers of older commits must have ended. Returns the deleted folders."""
-        gone = [f"_work/{n}" for n in list_names(self.spark, f"{self.root}/_work")]
-        for table, entry in self.tables.items():
-            live = {r[0] for r in self.map_of(table).select(VERSION).distinct().collect()}  # at most one per commit
-            gone += [f"{table}/{n}" for n in list_names(self.spark, f"{self.root}/{table}") if n.startswith("version=") and n[8:] not in live]
-            gone += [f"_maps/{table}/{n}" for n in list_names(self.spark, f"{self.root}/_maps/{table}") if n != entry.map]
-        for name in gone:
-            delete_path(self.spark, f"{self.root}/{name}")
-        return gone
+    def begin(self, on_write: OnWrite | None = None) -> "Run":
+        return Run(self, on_write=on_write)
 
 
 @dataclass
@@ -156,6 +131,7 @@ class Run:
     store: Store
     version: str = ""
     entries: dict[str, Entry] = field(default_factory=dict)
+    on_write: OnWrite | None = None
 
     def __post_init__(self) -> None:
         self.version = f"{self.store.seq + 1:08d}-{uuid.uuid4().hex[:8]}"
@@ -168,56 +144,59 @@ class Run:
         """An intermediate table of this run."""
         return written(df, f"{self.store.root}/_work/{self.version}/{name}-{uuid.uuid4().hex[:6]}")
 
-    def _write(self, table: str, df: DataFrame, parts: Sequence[str], key: str | None, fmt: str | None) -> tuple[Entry, DataFrame]:
-        """Write the rows of this version once; returns the entry and its map rows. An unpartitioned
-        table without key needs no statistics: its files are not read again."""
-        entry = Entry(self.version, df.schema.json(), tuple(parts), key, fmt or self.store.fmt)
-        path = f"{self.store.root}/{table}/version={self.version}"
-        write_table(df, path, fmt=entry.fmt, mode=WriteMode.ERROR_IF_EXISTS, partition_by=list(parts) or None)
-        if not parts and not key:
-            one = self.spark.range(1).select(F.lit(self.version).alias(VERSION), F.lit(None).cast("bigint").alias(ROWS))
-            return entry, one
+    def _write(self, table: str, df: DataFrame, parts: Sequence[str], fmt: str | None) -> tuple[Entry, DataFrame]:
+        """Write the rows of this version once; returns the entry and its map rows. The files of an
+        unpartitioned table are not read again."""
+        entry = Entry(self.version, df.schema.json(), tuple(parts), fmt or self.store.fmt)
+        folder = f"version={self.version}"
+        path = f"{self.store.root}/{table}/{folder}"
+
+        def save(rows: DataFrame) -> None:
+            write_table(rows, path, fmt=entry.fmt, mode=WriteMode.ERROR_IF_EXISTS, partition_by=list(parts) or None)
+
+        if self.on_write is None:
+            save(df)
+        else:
+            self.on_write(table, df, save)
+        if not parts:
+            return entry, self.spark.range(1).select(F.lit(folder).alias(FOLDER), F.lit(None).cast("bigint").alias(ROWS))
         back = read_table(self.spark, path, entry.fmt, entry.fields)
-        stats = [F.count(F.lit(1)).alias(ROWS)]
-        if key:
-            stats += [F.min(key).alias(KEY_MIN), F.max(key).alias(KEY_MAX)]
-        rows = back.groupBy(*parts).agg(*stats).filter(F.col(ROWS) > 0).withColumn(VERSION, F.lit(self.version))
+        inside = F.regexp_extract("_metadata.file_path", rf"({folder}(?:/[^/]+)*)/[^/]+$", 1)
+        rows = back.select(*parts, inside.alias(FOLDER)).groupBy(*parts, FOLDER).agg(F.count(F.lit(1)).alias(ROWS))
         return entry, rows.select(*[f.name for f in entry.map_schema().fields])
 
     def _publish(self, table: str, entry: Entry, rows: DataFrame) -> None:
         rows.coalesce(1).write.parquet(f"{self.store.root}/_maps/{table}/{self.version}")
         self.entries[table] = entry
 
-    def replace(self, table: str, df: DataFrame, parts: Sequence[str] = (), key: str | None = None, fmt: str | None = None) -> None:
+    def replace(self, table: str, df: DataFrame, parts: Sequence[str] = (), fmt: str | None = None) -> None:
         """The whole table is ``df``."""
-        self._publish(table, *self._write(table, df, parts, key, fmt))
+        self._publish(table, *self._write(table, df, parts, fmt))
 
-    def rewrite(
-        self, table: str, df: DataFrame, touched: DataFrame, parts: Sequence[str], key: str | None = None, fmt: str | None = None
-    ) -> None:
+    def rewrite(self, table: str, df: DataFrame, touched: DataFrame, parts: Sequence[str], fmt: str | None = None) -> None:
         """The partitions in ``touched`` (distinct partition values) become ``df``; the others stay."""
-        entry, rows = self._write(table, df, parts, key, fmt)
+        entry, rows = self._write(table, df, parts, fmt)
         if self.store.has(table):
             kept = self.store.map_of(table)
             rows = kept.join(touched, _null_safe(kept, touched, parts), "left_anti").unionByName(rows)
         self._publish(table, entry, rows)
 
-    def append(self, table: str, df: DataFrame, key: str | None = None, fmt: str | None = None) -> None:
+    def append(self, table: str, df: DataFrame, fmt: str | None = None) -> None:
         """The rows of ``df`` join those of an unpartitioned table."""
-        entry, rows = self._write(table, df, (), key, fmt)
+        entry, rows = self._write(table, df, (), fmt)
         if self.store.has(table):
             rows = self.store.map_of(table).unionByName(rows)
         self._publish(table, entry, rows)
 
     def rows_of(self, table: str) -> int:
-        """Rows of a table that this run has written, from its map."""
+        """Rows of a partitioned table that this run has written, from its map."""
         return self.store.map_of(table, self.entries[table]).agg(F.coalesce(F.sum(ROWS), F.lit(0))).first()[0]
 
     def commit(self, mark_key: str, mark: DataFrame | None = None) -> None:
         """Append the control row. ``mark`` is one row ``mark_value`` that never leaves Spark, so no
         time zone of the driver can touch it."""
         entries = {**self.store.tables, **self.entries}
-        rows = {n: Row(map=e.map, schema=e.schema, parts=list(e.parts), key=e.key, fmt=e.fmt) for n, e in entries.items()}
+        rows = {n: Row(map=e.map, schema=e.schema, parts=list(e.parts), fmt=e.fmt) for n, e in entries.items()}
         tables = self.spark.createDataFrame([(rows,)], f"tables {_ENTRY}")
         value = F.lit(None).cast("timestamp_ntz") if mark is None else mark.select("mark_value").scalar().cast("timestamp_ntz")
         row = tables.select(

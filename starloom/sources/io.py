@@ -26,17 +26,27 @@ class WriteMode(str, Enum):
 
 FORMATS = ("csv", "json", "parquet", "delta")
 
+#: What a value may hold survives a CSV file: a quote is doubled (RFC 4180), a backslash is a character, and a
+#: field may have line breaks. An unquoted empty field is null and a quoted one the empty string; for that the
+#: reader's text for null must be one that no field has, here a code point that is no character.
+_CSV_READ = {"header": True, "escape": '"', "nullValue": "\uffff"}
+_CSV_WRITE = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def read_table(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     fmt: str = "parquet",
     schema: StructType | str | None = None,
     infer_schema: bool = False,
     corrupt_column: str | None = None,
     options: dict | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Read a table. CSV gets a header; a declared schema skips the inference job.
+    """Read a table (one path or several). CSV gets a header; a declared schema skips the inference job.
+
+    CSV fields may hold line breaks, so a file is one task; write many files of moderate size, or say
+    ``multi_line=False`` for files without such fields, which Spark then splits.
 
     ``corrupt_column`` keeps unparsable CSV/JSON lines in a string column (PERMISSIVE mode) so
     that they can be routed to an audit instead of becoming silent nulls.
@@ -45,7 +55,7 @@ def read_table(
         raise ValueError(f"unknown format {fmt!r}; expected one of {FORMATS}")
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**_CSV_READ, multiLine=multi_line)
     if schema is not None:
         if corrupt_column and fmt in ("csv", "json"):
             if isinstance(schema, StructType):
@@ -97,12 +107,7 @@ def write_table(
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
     if fmt == "csv":
-        # the CSV writer trims values by default, which would alter data such as " Ann "
-        writer = (
-            writer.option("header", True)
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-        )
+        writer = writer.options(**_CSV_WRITE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
         if dynamic_overwrite:
@@ -163,9 +168,3 @@ def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through the Hadoop file system of its path; absent is fine."""
     hpath, fs = _hadoop(spark, path)
     fs.delete(hpath, True)
-
-
-def list_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the direct children of a folder ([] when it is absent)."""
-    hpath, fs = _hadoop(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []

@@ -60,14 +60,14 @@ def test_store_replace_append_rewrite(spark):
     root = scratch_path(spark, "store")
     table = lambda data: spark.createDataFrame(data, "k int, p string")
     run = Store(spark, root).begin()
-    run.replace("t", table([(1, "a"), (2, "b"), (3, None)]), ["p"], key="k")
+    run.replace("t", table([(1, "a"), (2, "b"), (3, None)]), ["p"])
     run.append("log", table([(1, "x")]))
     assert not Store(spark, root).has("t")  # nothing is visible before the commit
     run.commit("k")
     store = Store(spark, root)
     run = store.begin()
     touched = spark.createDataFrame([("b",), (None,), ("c",)], "p string")
-    run.rewrite("t", table([(9, "c"), (4, None)]), touched, ["p"], key="k")  # b is emptied
+    run.rewrite("t", table([(9, "c"), (4, None)]), touched, ["p"])  # b is emptied
     run.append("log", table([(2, "y")]))
     run.append("log2", table([]))
     assert rows(store.read("t"), "k") == [(1,), (2,), (3,)]
@@ -75,12 +75,34 @@ def test_store_replace_append_rewrite(spark):
     store = Store(spark, root)
     assert rows(store.read("t")) == rows(table([(1, "a"), (9, "c"), (4, None)]))
     assert rows(store.read("log"), "k") == [(1,), (2,)] and store.read("log2").count() == 0
-    assert rows(store.map_of("t"), "p", "__rows", "__key_min") == [("a", 1, 1), ("c", 1, 9), (None, 1, 4)]
+    assert rows(store.map_of("t"), "p", "__rows") == [("a", 1), ("c", 1), (None, 1)]
     run = store.begin()
-    run.replace("t", table([]), ["p"], key="k")
+    run.replace("t", table([]), ["p"])
     run.commit("k")
     assert Store(spark, root).read("t").count() == 0
-    assert any(n.startswith("t/version=") for n in Store(spark, root).vacuum()) and rows(Store(spark, root).read("log"), "k") == [(1,), (2,)]
+    assert rows(Store(spark, root).read("log"), "k") == [(1,), (2,)]
+
+
+def test_only_live_folders_are_read(spark):
+    """No file of an older version of a partition is in the scan; odd partition values find their folders."""
+    root = scratch_path(spark, "live")
+    table = lambda data: spark.createDataFrame(data, "k int, p string")
+    odd = ["a b", "50%", "x=y/z", "+", "é", "[1]", "{q}", "a:b", None]
+    run = Store(spark, root).begin()
+    run.replace("t", table(list(enumerate(odd))), ["p"])
+    run.commit("k")
+    assert rows(Store(spark, root).read("t")) == rows(table(list(enumerate(odd))))
+    for n in range(3):
+        run = Store(spark, root).begin()
+        run.rewrite("t", table([(100 + n, "50%")]), spark.createDataFrame([("50%",)], "p string"), ["p"])
+        run.commit("k")
+    store = Store(spark, root)
+    files = store.read("t").inputFiles()
+    assert len([f for f in files if "version=00000001" in f]) == len(odd) - 1
+    assert len([f for f in files if "version=00000004" in f]) == 1 and len(files) == len(odd)
+    assert rows(store.read("t").filter("p = '50%'"), "k") == [(102,)]
+    one = store.map_of("t").filter("p = '+'")
+    assert store.read("t", within=one).inputFiles() == [f for f in files if "p=+" in f]
 
 
 def test_slice_keeps_undated_rows(spark):
@@ -121,6 +143,20 @@ def test_corrupt_csv_lines_are_kept(spark, tmp_path_factory):
     assert got == [(1, None), (None, "x,b")]
 
 
+VALUES = ["a\nb", "a\rb", "a\r\nb", 'q"x"', "back\\slash", "\\", 'x\\"y', "a,b", "", None, " lead ", '"', '""', "\n", "\r", "#c", "\\N", "é\u2028z", "tab\t"]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_any_value_survives_a_file(spark, fmt):
+    path = scratch_path(spark, f"values-{fmt}")
+    df = spark.createDataFrame([(i, v, v if i % 2 else "z") for i, v in enumerate(VALUES)], "i int, v string, w string")
+    write_table(df, path, fmt=fmt)
+    back = read_table(spark, path, fmt=fmt, schema=df.schema, corrupt_column="bad" if fmt != "parquet" else None)
+    assert rows(back, *df.columns) == rows(df)
+    if fmt != "parquet":
+        assert {r.bad for r in back.collect()} == {None}
+
+
 def test_delta_reports_missing_connector(spark):
     with pytest.raises(RuntimeError, match="Delta"):
         read_table(spark, scratch_path(spark, "delta"), fmt="delta")
