@@ -4,8 +4,8 @@ A *window* is ``window_words`` consecutive words of an item (an item with fewer
 document contains it if the same words follow each other in the document. Words are lower-cased (A-Z).
 
 1. *Shingles.* A window is the ordered set of its shingles of ``shingle_words`` words (a shorter window is
-   one shingle). The document words that start a shingle of any item are found by an equality join on the
-   shingle's words. A document's matches are a few narrow rows; its text is read once.
+   one shingle). The document words that start a shingle of any item are found by an equality join, on a
+   64-bit hash and on the words themselves. A document's matches are a few narrow rows; its text is read once.
 2. *Rarity.* The matches of each shingle are counted over all documents. The order of a window's shingles
    is from rare to frequent.
 3. *Prefix.* All of a window's m shingles must be there, so any set of m - m + 1 = 1 of them has to meet the
@@ -35,9 +35,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import ascii_lower, let, text_or_empty, written
+from starloom.llm.common import text_or_empty, written
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What separates words, once A-Z are lower-cased: ASCII but for letters and digits.
+SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 3
 #: Rows of a broadcast block: a shingle holds three words, a window at most ``WINDOW_WORDS`` numbers.
@@ -48,13 +49,26 @@ _KEY = ["k1", "k2"]
 _SPANS = "array<struct<start:int,length:int>>"
 
 
-def item_words(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(text_or_empty(text)), F.lit(WORD), F.lit(0))
+def split_words(docs: DataFrame, text_col: str, *columns: Column) -> DataFrame:
+    """``columns`` and ``w``, the words of each text in a form that is equal if and only if the words are,
+    but for the case of A-Z.
+
+    The UTF-8 bytes are read as Latin-1 characters and lower-cased. Besides A-Z that changes lead bytes of
+    two-byte characters only (by 32), and how many bytes follow one still tells it from those of longer
+    characters. Lower-casing the text itself would also change other letters, and mapping 26 letters
+    character by character takes several times as long.
+    """
+    plain = F.lower(F.decode(F.encode(text_or_empty(text_col), "UTF-8"), "ISO-8859-1"))
+    pieces = docs.select(*columns, F.split(plain, SEPARATORS).alias("x"))
+    first = (F.get("x", F.lit(0)) == "").cast("int")  # only the first and the last piece can be empty
+    last = F.when(F.size("x") > first, (F.get("x", F.size("x") - 1) == "").cast("int")).otherwise(0)
+    kept = [c for c in pieces.columns if c != "x"]
+    return pieces.select(*kept, F.slice("x", first + 1, F.size("x") - first - last).alias("w"))
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window_words: int = WINDOW_WORDS) -> DataFrame:
     """``item_id, words``: the distinct windows of each item."""
-    split = items.select(F.col(id_col).alias("item_id"), item_words(F.col(text_col)).alias("w")).filter(F.size("w") > 0)
+    split = split_words(items, text_col, F.col(id_col).alias("item_id")).filter(F.size("w") > 0)
     at = F.explode(F.sequence(F.lit(1), F.greatest(F.size("w") - window_words + 1, F.lit(1))))
     return split.select("item_id", "w", at.alias("at")).select("item_id", F.slice("w", F.col("at"), window_words).alias("words")).distinct()
 
@@ -75,22 +89,22 @@ def shingle_matches(
     text = text_or_empty(text_col)
     key = [F.xxhash64(F.col(id_col), text).alias("k1"), F.xxhash64(F.lit(1), F.col(id_col), text).alias("k2")]
 
-    def cut(w: Column, length: Column) -> Column:
-        # words have no spaces, so a joined shingle stands for its words
-        joined = lambda i: F.concat_ws(" ", *[F.get(w, i) if j == 0 else F.when(length > j, F.get(w, i + j)) for j in range(max(lengths))])
-        return F.when(F.size(w) >= length, F.transform(F.sequence(F.lit(0), F.size(w) - length), joined)).otherwise(F.array().cast("array<string>"))
-
-    cuts = let(item_words(F.col(text_col)), lambda w: F.struct(F.size(w).alias("n"), F.array(*[cut(w, F.lit(n)) for n in lengths]).alias("all")))
-    split = docs.select(*key, F.col(id_col).alias("doc_id"), cuts.alias("s")).select(*_KEY, "doc_id", F.col("s.n").alias("n_words"), F.col("s.all").alias("all"))
-    if len(lengths) == 1:
-        split = split.select(*_KEY, "doc_id", "n_words", F.lit(lengths[0]).alias("length"), F.get("all", F.lit(0)).alias("cut"))
-    else:
-        split = split.select(*_KEY, "doc_id", "n_words", F.posexplode("all").alias("which", "cut"))
-        split = split.withColumn("length", F.get(F.array(*map(F.lit, lengths)), F.col("which"))).drop("which")
-    placed = split.select(*_KEY, "doc_id", "n_words", "length", F.posexplode_outer("cut").alias("at", "joined"))
-    known = shingles.select("sid", F.array_join("shingle", " ").alias("joined"))
+    split = split_words(docs, text_col, *key, F.col(id_col).alias("doc_id"))
+    following = F.arrays_zip(*[(F.col("w") if i == 0 else F.slice("w", i + 1, F.size("w"))).alias(f"w{i}") for i in range(max(lengths))])
+    # the words' array is used up before the words become rows, which would each carry it
+    split = split.select(*_KEY, "doc_id", F.size("w").alias("n_words"), following.alias("following"))
+    placed = split.select(*_KEY, "doc_id", "n_words", F.posexplode_outer("following").alias("at", "e"))
+    placed = placed.withColumn("length", F.lit(lengths[0]) if len(lengths) == 1 else F.explode(F.array(*map(F.lit, lengths))))
+    here = [F.col("e.w0"), *[F.when(F.col("length") > i, F.col(f"e.w{i}")) for i in range(1, max(lengths))]]
+    placed = placed.withColumn("h", F.xxhash64("length", *here))
+    theirs = [F.get("shingle", F.lit(i)) for i in range(max(lengths))]
+    known = shingles.select(F.xxhash64(F.size("shingle"), *theirs).alias("kh"), F.struct("sid", *[w.alias(f"w{i}") for i, w in enumerate(theirs)]).alias("k"))
+    known = known.groupBy("kh").agg(F.collect_list("k").alias("known"))
+    joined = placed.join(F.broadcast(known), F.col("h") == F.col("kh"), "left")
+    # equal hashes only point at the shingles; the words decide
+    same = F.filter("known", lambda k: reduce(lambda a, b: a & b, [k[f"w{i}"].eqNullSafe(w) for i, w in enumerate(here)]))
     base = (F.coalesce(F.col("at"), F.lit(0)) == 0) & (F.col("length") == lengths[0]) if with_base else F.lit(False)
-    joined = placed.join(F.broadcast(known), "joined", "left").withColumn("base", base)
+    joined = joined.withColumns({"sid": F.when(F.col("known").isNotNull(), F.get(same, F.lit(0))["sid"]), "base": base})
     return joined.filter(F.col("base") | F.col("sid").isNotNull()).select(*_KEY, "doc_id", "n_words", "at", "length", "sid", "base")
 
 

@@ -89,6 +89,16 @@ def test_edge_cases(spark):
     assert by_id[7].n_hit == 4014 and by_id[6]["items"] == ["", "5"]
 
 
+def test_words_differ_as_they_should(spark):
+    """Only A-Z are folded: all other characters of one to four bytes stay apart."""
+    chars = [chr(c) for c in {*range(0x80, 0x250), *range(0x2C00, 0x2C60), *range(0x3000, 0x3100), 0xD7, 0xDF, 0x1F600, 0x1F620, 0x10400, 0x10428, 0xFF21, 0xFF41}]
+    frame = spark.createDataFrame([(i, f"-A{c}b{c}{c}z;Q") for i, c in enumerate(chars)], "i long, t string")
+    got = [tuple(r.w) for r in dc.split_words(frame, "t").collect()]
+    assert len(set(got)) == len(chars) and all(len(w) == 2 and w[1] == "q" for w in got)
+    assert [r.w for r in dc.split_words(spark.createDataFrame([("ÀB ab\x7fÀb",)], "t string"), "t").collect()][0][0] == dc.split_words(
+        spark.createDataFrame([("Àb",)], "t string"), "t").first().w[0]
+
+
 def test_empty_tables(spark):
     assert check(spark, [], [(1, "a b c", "x")]) == []
     got = check(spark, [(1, "a b c", "x", "y"), (None, None, None, None)], [])
