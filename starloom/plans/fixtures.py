@@ -82,6 +82,16 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dated_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales with the employee who made them, moved 23 years on into the time of the employees' history."""
+    s = table(spark, sf_dir, "orders")
+    moved = F.col("o_orderdate") + F.expr("interval 23 years") + F.make_dt_interval(hours=F.col("o_orderkey").cast("int") % 24)
+    return s.select(
+        F.col("o_orderkey").cast("int").alias("trx_id"), F.col("o_custkey").cast("int").alias("emp_id"),
+        F.when(F.col("o_orderkey") % 503 != 0, moved).alias("sold_at"),
+    )
+
+
 def sales_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The next delivery: every eleventh sale is absent."""
     return sales(spark, sf_dir).filter(F.col("trx_id") % 11 != 0)

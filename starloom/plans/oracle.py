@@ -44,6 +44,11 @@ fx_sales as (
          case when o_orderkey % 13 = 0 then null else o_orderpriority end as description,
          o_totalprice as amount,
          cast(o_custkey % 30 as integer) as city_id
+  from orders)""",
+    "fx_dated_sales": """
+fx_dated_sales as (
+  select cast(o_orderkey as integer) as trx_id, cast(o_custkey as integer) as emp_id,
+         case when o_orderkey % 503 <> 0 then o_orderdate + interval 23 years + to_hours(cast(o_orderkey % 24 as integer)) end as sold_at
   from orders)""",
     "fx_sales_after": """
 fx_sales_after as (select * from fx_sales where trx_id % 11 <> 0)""",
@@ -697,6 +702,44 @@ select 'last_Processed_date' as mark_key, max(transacted_at) as mark_value, cast
     return with_fixtures(["fx_sales"], body)
 
 
+def fact_employee_as_of() -> str:
+    body = f"""
+select d.*, h.effective_start_date, h.job_title, h.salary, h.is_current
+from fx_dated_sales d left join ({SCD2_BODY}) h
+  on d.emp_id = h.emp_id and d.sold_at >= h.effective_start_date and (h.effective_end_date is null or d.sold_at < h.effective_end_date)"""
+    return with_fixtures(["fx_emp_before", "fx_emp_after", "fx_dated_sales"], body, _SCD2_SIDES)
+
+
+def retailer_moving_sums() -> str:
+    body = """
+select distinct retailer_id, transacted_at, count(*) over span as n, cast(sum(cast(amount as decimal(18,2))) over span as double) as total
+from fx_sales
+window span as (partition by retailer_id order by transacted_at range between interval 30 days preceding and current row)"""
+    return with_fixtures(["fx_sales"], body)
+
+
+def retailer_sessions() -> str:
+    ctes = [
+        """marked as (select *, case when transacted_at <= lag(transacted_at) over w + interval 45 days then 0 else 1 end as starts
+  from fx_sales where transacted_at is not null window w as (partition by retailer_id order by transacted_at, trx_id))""",
+        "named as (select *, sum(starts) over (partition by retailer_id order by transacted_at, trx_id) as session from marked)",
+    ]
+    body = """
+select retailer_id, min(transacted_at) as "start", max(transacted_at) as "last", count(*) as n,
+       cast(sum(cast(amount as decimal(18,2))) as double) as total
+from named group by retailer_id, session"""
+    return with_fixtures(["fx_sales"], body, ctes)
+
+
+def sales_cube() -> str:
+    body = f"""
+select year, month, country, city, cast(grouping(year, month, country, city) as bigint) as "grouping", count(*) as n,
+       cast(sum(cast(amount as decimal(18,2))) as double) as total
+from (select s.amount, {YEAR_MONTH}, c.country, c.city from fx_sales s left join city_dim c on s.city_id = c.city_id)
+group by cube (year, month, country, city)"""
+    return with_fixtures(["fx_sales", "fx_cities"], body, [CITY_DIM])
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "source_csv_roundtrip": roundtrip(),
@@ -742,6 +785,10 @@ def oracle_queries() -> dict[str, str]:
         "batch_zoned_timestamps": batch_zoned_timestamps(),
         "batch_email_key": batch_email_key(),
         "batch_from_csv": batch_from_csv(),
+        "fact_employee_as_of": fact_employee_as_of(),
+        "retailer_moving_sums": retailer_moving_sums(),
+        "retailer_sessions": retailer_sessions(),
+        "sales_cube": sales_cube(),
         "stream_scd1_merge": scd1_merge(),
         "batch_audit": batch_audit(),
         "batch_employee_dim": batch_employee_dim(),

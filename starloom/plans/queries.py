@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.functions.hashing import record_hash
-from starloom.operators import control, dims, facts, merge, quality
+from starloom.operators import control, dims, facts, merge, quality, temporal, totals
 from starloom.plans import batch
 from starloom.plans import fixtures as fx
 from starloom.plans.store import Run, Store
@@ -350,6 +350,44 @@ def batch_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.published(spark, f"{root}/out", "audit")
 
 
+# ---------------------------------------------------------------- over time and over groups
+
+
+def _money(column: str) -> Column:
+    return F.col(column).cast("decimal(18,2)")
+
+
+def fact_employee_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The employee version that was valid at each sale, from the type 2 dimension with its history (T12). A
+    version holds from its start date until its end date."""
+    history = _scd2(spark, sf_dir).drop("change_type")
+    sold = fx.dated_sales(spark, sf_dir)
+    return temporal.as_of_join(
+        sold, history, ["emp_id"], "sold_at", "effective_start_date", ["effective_start_date", "job_title", "salary", "is_current"], until="effective_end_date"
+    )
+
+
+def retailer_moving_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales and amount of each retailer in the 30 days up to each of their sales."""
+    found = temporal.moving_sums(fx.sales(spark, sf_dir), ["retailer_id"], "transacted_at", _money("amount"), "30 days")
+    return found.select("retailer_id", "transacted_at", "n", F.col("total").cast("double").alias("total"))
+
+
+def retailer_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales of each retailer, grouped where none is more than 45 days behind the one before."""
+    found = temporal.sessions(fx.sales(spark, sf_dir), ["retailer_id"], "transacted_at", "45 days", _money("amount"))
+    return found.select("retailer_id", "start", "last", "n", F.col("total").cast("double").alias("total"))
+
+
+def sales_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the sales by year, month, country and city, and over each of them; a null city is a sale
+    without one, a total has its bit in ``grouping``."""
+    cities_ = dims.city_dim(fx.cities(spark, sf_dir)).select("city_id", "city", "country")
+    rows = facts.add_year_month(fx.sales(spark, sf_dir)).join(cities_, "city_id", "left")
+    found = totals.grouped_totals(rows, ["year", "month", "country", "city"], _money("amount"))
+    return found.withColumn("total", F.col("total").cast("double"))
+
+
 # ---------------------------------------------------------------- streaming form (slice 6)
 
 
@@ -450,6 +488,10 @@ QUERIES: dict[str, Query] = {
     "batch_zoned_timestamps": batch_zoned_timestamps,
     "batch_email_key": batch_email_key,
     "batch_from_csv": batch_from_csv,
+    "fact_employee_as_of": fact_employee_as_of,
+    "retailer_moving_sums": retailer_moving_sums,
+    "retailer_sessions": retailer_sessions,
+    "sales_cube": sales_cube,
     "stream_scd1_merge": stream_scd1_merge,
     "batch_audit": batch_audit,
     "batch_employee_dim": batch_employee_dim,
