@@ -1,30 +1,24 @@
 """Line deduplication: range-partitioned line hashes, streamed in (document, position) order.
 
 1. Each line becomes a narrow row: document, text hash, position and a 128-bit hash of its key.
-2. The rows are range-partitioned by the hash and sorted within a partition by (hash, document,
-   position). Streaming through a run of equal hashes, the first row's document holds the line; rows
-   of any other document are marked as dropped. No group is buffered.
+2. The rows are range-partitioned by (hash, document, position) and sorted, so a line that many documents
+   share spans several tasks. Streaming through a run of equal hashes, the first row's document holds the
+   line; rows of any other document are marked as dropped. Only the first hash of a partition can go on from
+   the one before: its holder is carried over, one row per partition (``functions.scan``). Spark's window
+   holds the rows of one hash in one partition while it streams them, and spills beyond its buffer.
 3. Dropped positions return to their documents as sparse bitmaps: one (word, mask) entry per 32 lines
    that lose any. Absent words keep all their lines. Texts are not part of this shuffle.
-
-A hash cannot be split by a range partition, so hot lines leave the stream: the most frequent lines
-of a deterministic sample (at most ``HOT_LINES``, by construction, which bounds the broadcast) take
-their first document from a partially aggregated minimum. The sample chooses the route only; both
-routes apply the same rule to every line, so the result does not depend on it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.scan import FIRST, Running, running
 from starloom.llm.common import WS_CHARS, ascii_lower, let, text_or_empty, written
 
 MIN_KEY_CHARS = 10
-#: Upper bound of the lines that take the pre-aggregated route, and the sample count that makes a line hot.
-HOT_LINES = 1000
-HOT_COUNT = 16
-HOT_SAMPLE = 16
 
 _WORD_BITS = 32
 
@@ -43,18 +37,18 @@ def keep_bitmaps(
     id_col: str = "doc_id",
     text_col: str = "text",
     min_key_chars: int = MIN_KEY_CHARS,
-    hot_lines: int = HOT_LINES,
-    hot_count: int = HOT_COUNT,
-    hot_sample: int = HOT_SAMPLE,
+    tasks: int | None = None,
 ) -> DataFrame:
     """One row per distinct (id, text): ``doc_id, text_hash, n_lines, n_dropped, dropped_words``.
 
     Keys of at least ``min_key_chars`` code points found in two or more documents lose all their
     lines except in the smallest id holding them. ``dropped_words`` is an array of
-    ``(word int, mask bigint)``: bit *b* of word *w* set means line ``32 w + b`` is dropped.
+    ``(word int, mask bigint)``: bit *b* of word *w* set means line ``32 w + b`` is dropped. The lines are
+    streamed in ``tasks`` range partitions, by default as many as shuffles have.
 
     Edge cases: a null or empty text is one empty line. Rows with the same id count as one document
-    (a line they share is not found in two documents). A null id is the largest. Other columns are
+    (a line they share is not found in two documents). A null id is the largest. Very long texts are
+    split whole, a line is a row of its own. An empty table gives an empty result. Other columns are
     ignored.
     """
     text = text_or_empty(text_col)
@@ -66,21 +60,8 @@ def keep_bitmaps(
     )
     lines = written(lines, "lines")
     holder = F.struct(F.col("d").isNull().alias("last"), F.col("d").alias("id"))
-
-    sample = lines.filter(F.pmod(F.xxhash64("d", "pos"), F.lit(hot_sample)) == 0)
-    hot = (
-        sample.groupBy("h1", "h2").count().filter(F.col("count") >= hot_count)
-        .orderBy(F.desc("count"), "h1", "h2").limit(hot_lines).select("h1", "h2")
-    )
-    hot = F.broadcast(written(hot, "hot-lines"))
-    firsts = lines.join(hot, ["h1", "h2"]).groupBy("h1", "h2").agg(F.min(holder).alias("first"))
-    hot_rows = lines.join(F.broadcast(firsts), ["h1", "h2"])  # at most hot_lines rows
-
-    rest = lines.join(hot, ["h1", "h2"], "left_anti").repartitionByRange("h1", "h2")
-    stream = Window.partitionBy("h1", "h2").orderBy(F.col("d").asc_nulls_last(), "th", "pos")
-    rest = rest.withColumn("first", F.first(holder).over(stream.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-
-    dropped = hot_rows.unionByName(rest).filter(~F.col("first.id").eqNullSafe(F.col("d")))
+    held = running(lines, ["h1", "h2"], [F.col("d").asc_nulls_last(), "th", "pos"], {"first": Running(FIRST, holder)}, tasks)
+    dropped = held.filter(~F.col("first.id").eqNullSafe(F.col("d")))
     words = (
         dropped.groupBy("d", "th", F.expr(f"cast(pos div {_WORD_BITS} as int)").alias("word"))
         .agg(F.bit_or(F.expr(f"shiftleft(1L, pos % {_WORD_BITS})")).alias("mask"))

@@ -38,6 +38,8 @@ SEED = 17
 BUCKET_DOCS = 1000
 GROUP = 1000
 CHUNK = 1 << 16
+#: Slots drawn and mapped by one task.
+TASK_SLOTS = 1 << 18
 
 _WALKS = 64
 
@@ -110,9 +112,11 @@ def draw_slots(targets: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = S
     """``shard, slot, sid, epoch, block``: which block of which source fills each slot of the mix."""
     targets = running_before(targets.select("sid", "blocks", "slots"), [], "sid", "slots", "before")
     n_slots = targets.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
+    # few rows become many; a stated number of partitions is not merged before that
+    tasks = max(1, -(-n_slots // TASK_SLOTS))
     chunks = targets.filter("slots > 0").select("*", F.explode(F.expr(f"sequence(0, (slots - 1) div {CHUNK})")).alias("chunk"))
     tickets = (
-        chunks.repartition("sid", "chunk")
+        chunks.repartition(tasks, "sid", "chunk")
         .select("*", F.explode(F.expr(f"sequence(chunk * {CHUNK}, least(slots, (chunk + 1) * {CHUNK}) - 1)")).alias("j"))
         .select("sid", "blocks", permuted(F.col("before") + F.col("j"), F.lit(n_slots).cast("long"), F.lit(seed)).alias("t"))
     )
@@ -123,6 +127,7 @@ def draw_slots(targets: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = S
         "offset": F.coalesce(F.sum("n").over(in_shard.orderBy("sid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         "width": F.sum("n").over(in_shard),
     })
+    counts = counts.repartition(tasks, "shard", "sid")
     slots = counts.select("*", F.explode(F.expr("sequence(0L, n - 1)")).alias("k")).withColumns({"j": F.col("first") + F.col("k"), "at": F.col("offset") + F.col("k")})
     slots = slots.withColumns({"epoch": F.expr("j div blocks"), "index": F.expr("j % blocks")})
     return slots.select(
@@ -167,7 +172,9 @@ def mix(sized: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHA
     (shard, slot), the pieces are the words of the mix; ``pieces_text`` cuts their text.
 
     Edge cases: documents without words (null or empty text) have no pieces. A null source is a
-    source of its own. Repeated rows are separate documents. An empty table gives an empty mix.
+    source of its own. Repeated rows are separate documents. A very long text is many blocks. Columns of the
+    documents other than id, text and source are ignored, whatever their names. An empty table gives an
+    empty mix.
     """
     targets = sized.groupBy("sid").agg(F.first("blocks").alias("blocks"), F.first("slots").alias("slots"))
     slots = draw_slots(targets, shard_slots, seed)

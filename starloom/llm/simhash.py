@@ -39,6 +39,8 @@ SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEGMENTS = 2
 CROWDED = 64
+#: Fingerprints whose balls (65 values each, with 2 bits) one task enumerates.
+TASK_FINGERPRINTS = 1 << 13
 _SEED = 42
 _CHUNK = 1 << 16
 
@@ -126,7 +128,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS, cr
     pairs = found.filter(~F.col("crowd")).select(F.col("probe").alias("a"), F.explode("near").alias("b"))
 
     # every member of a crowded cell looks up its own value, so `found` holds both sides of its pairs
-    crowd = found.filter("crowd").select(F.col("probe").alias("fp")).distinct()
+    crowd = checkpointed(found.filter("crowd").select(F.col("probe").alias("fp")).distinct())
+    # few bytes become many rows; a stated number of partitions is not merged before that
+    crowd = crowd.repartition(max(1, -(-crowd.count() // TASK_FINGERPRINTS)), "fp")
     centred = checkpointed(crowd.select("fp", F.explode(_ball(fp, range(64), max_bits // 2)).alias("centre")))
     stars = centred.groupBy("centre").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).filter("a < z").select("centre", "a")
     stars = centred.join(stars, "centre").select("a", F.col("fp").alias("b")).filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
@@ -175,8 +179,8 @@ def near_duplicates(
 
     Edge cases: a null or empty text has fingerprint 0 and links like any other. Repeated rows share a
     fingerprint, so they are always in one component. Null ids are ignored by the minimum; a component
-    of null ids only has a null ``component_id``. An empty table gives an empty result. Other columns
-    are ignored.
+    of null ids only has a null ``component_id``. Very long texts are hashed whole, shingle by shingle. An
+    empty table gives an empty result. Other columns are ignored.
     """
     marked = checkpointed(docs.select(*carry, F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col), shingle_words).alias("fp")))
     groups = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")))

@@ -1,7 +1,7 @@
 """Deterministic sharded WARC archives.
 
-*Writing.* Records are range-sorted by page id over tasks; a task writes its range in order and rolls to
-a new file when the compressed size passes a limit. Every record is a gzip member of its own, with headers
+*Writing.* Records are range-sorted by page id and payload digest over tasks; a task writes its range in
+order and rolls to a new file when the compressed size passes a limit. Every record is a gzip member of its own, with headers
 and digests generated from the record. Of the records with equal payloads, that with the smallest page id
 is a response and the others are revisits that refer to it.
 
@@ -13,9 +13,10 @@ are removed with the temporary folder.
 
 *Reading.* A file of the manifest is streamed record by record; digests and lengths are checked.
 
-Range bounds come from the ids with the smallest hashes, so a rerun cuts the same ranges: at most
-``RANGES`` ranges and ``RANGES * PER_RANGE`` sampled ids, whatever the input's size. Paths are opened with
-Arrow's file systems (local, HDFS, S3, GCS), on executors too, so the folder must be a shared one.
+A range is ``range_bytes`` of payload in that order, cut by a running sum over all records, so a rerun cuts
+the same ranges, null and repeated ids are split like others, and there is no bound on their number. The
+driver and the tasks get 16 bytes for each range, about 6 MB for 100 TB at 256 MB a range. Paths are opened
+with Arrow's file systems (local, HDFS, S3, GCS), on executors too, so the folder must be a shared one.
 """
 
 from __future__ import annotations
@@ -37,18 +38,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.functions.scan import SUM, Running, running
 from starloom.llm.common import written
 from starloom.session import scratch_path
 
-FILE_BYTES = 32 << 20
-RANGE_BYTES = 16 << 20
-RANGES = 4096
-PER_RANGE = 32
+#: Compressed bytes after which a file is closed, and payload bytes of a range: some files at usual ratios.
+FILE_BYTES = 4 << 20
+RANGE_BYTES = 32 << 20
+#: Files renamed by one task.
+RENAMES = 1 << 10
 MIN_REVISIT_BYTES = 0
 DATE = "2000-01-01T00:00:00Z"
 LEVEL = 6
 
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Stands for a null id in the order; an id of this value is sorted with the nulls.
+_NULL_ID = -(1 << 63)
 _FILES = "range int, seq int, temporary string, name string, records bigint, bytes bigint"
 _RECORDS = "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary"
 
@@ -137,15 +142,23 @@ class _Rolling:
             self.out = None
 
 
-def _bounds(pages: DataFrame, range_bytes: int) -> np.ndarray:
-    """Upper ids of all ranges but the last."""
-    total = pages.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    ranges = int(min(RANGES, max(1, -(-total // range_bytes))))
-    if ranges == 1:
-        return np.zeros(0, np.int64)
-    ids = pages.filter("page_id IS NOT NULL").select("page_id", F.xxhash64("page_id").alias("h")).orderBy("h", "page_id").limit(ranges * PER_RANGE)
-    ids = np.sort(ids.toArrow()["page_id"].to_numpy())
-    return np.unique(ids[(np.arange(1, ranges) * len(ids)) // ranges]) if len(ids) else ids
+def _bounds(pages: DataFrame, range_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Page id and digest key of the first record of every range but the first."""
+    placed = running(pages, [], ["id", "key"], {"upto": Running(SUM, F.col("size"))})
+    placed = placed.select("id", "key", F.expr(f"(upto - size) div {range_bytes}").alias("range"))
+    firsts = placed.filter("range > 0").groupBy("range").agg(F.min(F.struct("id", "key")).alias("first"))
+    firsts = firsts.select("first.*").distinct().orderBy("id", "key").toArrow()
+    return tuple(firsts[c].to_numpy().astype(np.int64) for c in ("id", "key"))
+
+
+def _ranges(ids: np.ndarray, keys: np.ndarray, bounds: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The number of bounds that are not above each (id, key)."""
+    low, high = (np.searchsorted(bounds[0], ids, side=side) for side in ("left", "right"))
+    for at in np.unique(low[high > low]):  # an id with bounds inside its records
+        mine = (low == at) & (high > low)
+        end = int(high[mine][0])
+        low[mine] = at + np.searchsorted(bounds[1][at:end], keys[mine], side="right")
+    return low
 
 
 def write_warcs(
@@ -157,26 +170,29 @@ def write_warcs(
     Payloads of fewer than ``min_revisit_bytes`` bytes are always responses. Edge cases: a null payload is
     empty. Rows that repeat id and payload follow each other; the first is the response, the others are
     revisits that refer to their own id. A null id is largest in its payload group (it is a revisit if any
-    other row has the payload), sorted first in the archives, and has no id header. An empty table writes
-    no file. Other columns are ignored.
+    other row has the payload), sorted first in the archives, and has no id header. A very long payload is
+    one record, in memory as a whole, and may pass the limit of its file. An empty table writes no file. Other
+    columns are ignored.
     """
     rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumns({"digest": F.sha1("payload"), "size": F.octet_length("payload").cast("bigint")})
-    narrow = written(rows.select("page_id", "digest", "size"), "warc-digests")
+    order = {"id": F.coalesce("page_id", F.lit(_NULL_ID)), "key": F.conv(F.substring("digest", 1, 15), 16, 10).cast("bigint")}
+    rows = rows.withColumns(order)
+    narrow = written(rows.select("page_id", "digest", "size", *order), "warc-digests")
     groups = narrow.filter(F.col("size") >= min_revisit_bytes).groupBy("digest", "size").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
     copies = narrow.join(groups.filter("n > 1"), ["digest", "size"]).filter(~F.col("page_id").eqNullSafe(F.col("first")))
     # written, so that the join below is planned with its true size
     copies = written(copies.select(F.col("page_id").alias("copy_id"), F.col("digest").alias("copy_digest"), F.col("first").alias("refers_to")).distinct(), "warc-copies")
-    bounds = _bounds(narrow, range_bytes)
+    bounds = _bounds(narrow.select("id", "key", "size"), range_bytes)
 
     @F.arrow_udf("int")
-    def range_of(ids: pa.Array) -> pa.Array:
-        return pa.array(np.searchsorted(bounds, ids.fill_null(int(np.iinfo(np.int64).min)).to_numpy(zero_copy_only=False), side="left"), pa.int32())
+    def range_of(ids: pa.Array, keys: pa.Array) -> pa.Array:
+        return pa.array(_ranges(ids.to_numpy(zero_copy_only=False), keys.to_numpy(zero_copy_only=False), bounds), pa.int32())
 
     joined = rows.join(copies, rows["page_id"].eqNullSafe(copies["copy_id"]) & (rows["digest"] == copies["copy_digest"]), "left")
     ranged = (
-        joined.select(range_of("page_id").alias("range"), "page_id", "digest", "url", "payload", "size", "refers_to", F.col("copy_digest").isNotNull().alias("revisit"))
-        .repartition(len(bounds) + 1, "range").sortWithinPartitions("range", "page_id", "digest", "url")
+        joined.select(range_of("id", "key").alias("range"), "page_id", "key", "digest", "url", "payload", "size", "refers_to", F.col("copy_digest").isNotNull().alias("revisit"))
+        .repartition(len(bounds[0]) + 1, "range").sortWithinPartitions("range", "page_id", "key", "digest", "url").drop("key")
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,6 +219,7 @@ def write_warcs(
             yield batch
 
     written_files = written(ranged.mapInArrow(write, _FILES), "warc-files")
+    written_files = written_files.repartition(max(1, -(-written_files.count() // RENAMES)), "name")
     manifest = written(written_files.mapInArrow(rename, _FILES).drop("temporary"), "warc-manifest")
     fs, base = _filesystem(root)
     if fs.get_file_info(f"{base}/_temporary").type != pafs.FileType.NotFound:
@@ -238,7 +255,7 @@ def read_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
         yield headers, block
 
 
-def read_warcs(manifest: DataFrame, root: str, with_payload: bool = True) -> DataFrame:
+def read_warcs(manifest: DataFrame, root: str, with_payload: bool = True, task_bytes: int = FILE_BYTES) -> DataFrame:
     """The records of the manifest's files: ``page_id, url, record_type, payload_bytes, payload_digest,
     refers_to, payload``. Length and digest of a response are those of the payload read; a revisit has
     them in its headers and no payload."""
@@ -269,7 +286,9 @@ def read_warcs(manifest: DataFrame, root: str, with_payload: bool = True) -> Dat
                 if rows:
                     yield _batch(rows, _RECORDS)
 
-    return manifest.select("name").repartition("name").mapInArrow(read, schema)
+    # one row of the manifest is a whole file; a stated number of partitions is not merged
+    tasks = -(-(manifest.agg(F.sum("bytes")).first()[0] or 1) // task_bytes)
+    return manifest.select("name").repartition(tasks, "name").mapInArrow(read, schema)
 
 
 def archive_root(spark: SparkSession) -> str:

@@ -76,13 +76,21 @@ def brute_lines(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("hot", [{}, {"hot_count": 1, "hot_sample": 1}, {"hot_count": 1, "hot_sample": 1, "hot_lines": 1}])
-def test_line_dedup_equals_brute_force(docs, hot):
-    got = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs, **hot))
+@pytest.mark.parametrize("tasks", [None, 1, 50])
+def test_line_dedup_equals_brute_force(docs, tasks):
+    got = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs, tasks=tasks))
     assert sorted((str(r.doc_id), r.n_lines, r.n_dropped, r.text) for r in got.collect()) == brute_lines(TEXTS)
     assert set(got.columns) == set(docs.columns) | {"n_dropped"}
 
 
+def test_many_hot_lines_span_tasks(spark):
+    """2,000 lines, each in more documents than a task has rows for: every document but the first loses all."""
+    lines = "concat_ws('\\n', transform(sequence(0, 1999), i -> concat('a line that is everywhere ', i)))"
+    docs = spark.range(40).selectExpr("id as doc_id", f"{lines} as text")
+    marks = {r.doc_id: r for r in line_dedup.keep_bitmaps(docs, tasks=3000).select("doc_id", "n_lines", "n_dropped").collect()}
+    assert {i: (r.n_lines, r.n_dropped) for i, r in marks.items()} == {i: (2000, 2000 if i else 0) for i in range(40)}
+
+
 def test_bitmaps_are_sparse(docs):
     marks = {r.doc_id: r for r in line_dedup.keep_bitmaps(docs).collect()}
     assert marks[3].dropped_words == [] and marks[3].n_lines == 1
@@ -105,7 +113,7 @@ def test_queries_equal_their_sql(spark, name):
     from tools.check_oracle import _rows
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
     got, want = queries.QUERIES[name](spark, SF_SMALL).toPandas(), con.execute(queries.ORACLE_SQL[name]).df()
     assert _rows(got) == _rows(want)

@@ -110,3 +110,19 @@ def test_query(spark):
     sums = got.groupby("source").agg(size=("size", "sum"), target=("target", "first"), taken=("taken", "sum"))
     assert dict(sums.target) == pytest.approx(brute_targets(dict(sums["size"])))
     assert (abs(sums.taken - sums.target) <= 128).all() and (got.taken <= 3 * got["size"]).all()
+
+
+def test_slots_are_drawn_in_many_tasks(spark, monkeypatch):
+    """Few source rows become many slots: not in one task, whatever AQE makes of the source rows."""
+    monkeypatch.setattr(mixing, "TASK_SLOTS", 1000)
+    targets = spark.createDataFrame([(1, 4000, 6000), (2, 500, 1500)], "sid long, blocks long, slots long")
+    slots = mixing.draw_slots(targets, shard_slots=64)
+    assert slots.count() == 7500 and slots.select("shard", "slot").distinct().count() == 7500
+    assert slots.groupBy(F.spark_partition_id()).count().count() > 3
+
+
+def test_a_very_long_text(spark):
+    rows = [(1, "long " * 50_000, "a"), (2, "short text", "b")]
+    sized = mixing.measured(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, source string, tie string"))
+    taken = {r.doc_id: r.n for r in mixing.mix(sized).groupBy("doc_id").agg(F.sum("n_words").alias("n")).collect()}
+    assert taken[2] == 6 and abs(taken[1] - 49_996) <= 2 * mixing.BLOCK_WORDS

@@ -96,6 +96,29 @@ def test_run_is_repeatable(spark):
     assert digests[0] == digests[1] and digests[0]
 
 
+def test_rows_equal_in_id_and_text(spark):
+    """Rows that differ in source and language only are not mixed up, in any stage."""
+    long_text = PROSE + " and more" * 20_000
+    rows = [(1, PROSE, "de", "b", 9), (1, PROSE, "en", "a", 9), (1, PROSE, "en", "a", 9), (2, long_text, "en", "c", 9), (2, long_text, "fr", "c", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    plain = sorted((r.doc_id, r.lang, r.source) for r in docs.collect())
+    key = lambda df: sorted((r.doc_id, r.lang, r.source) for r in df.collect())
+    assert set(key(corpus_pipeline.keep_good(spark, docs, SF_SMALL))) <= set(plain)
+    assert key(corpus_pipeline.drop_lines(spark, docs, SF_SMALL)) == plain
+    kept = {tuple(key(corpus_pipeline.drop_near_copies(spark, docs.repartition(n), SF_SMALL))) for n in (1, 3, 7)}
+    assert len(kept) == 1 and [k[0] for k in kept.pop()] == [1, 2]
+    mixed = corpus_pipeline.mix_sources(spark, docs, SF_SMALL).collect()
+    assert {(r.doc_id, r.lang, r.source) for r in mixed} <= set(plain)
+    words = Counter()
+    for r in mixed:
+        words[r.source] += len(r.text.split())
+    sizes = Counter()
+    for _, text, _, source, _ in rows:
+        sizes[source] += len(text.split())
+    for s, want in brute_targets(dict(sizes)).items():
+        assert abs(words[s] - want) <= 4 * corpus_pipeline.MIX_BLOCK_WORDS
+
+
 def test_empty_table(spark, stages):
     docs = stages[0].limit(0)
     for _, stage in corpus_pipeline.STAGES:

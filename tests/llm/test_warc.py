@@ -83,3 +83,41 @@ def test_damage_is_found(spark, pages):
 def test_empty_table(spark, pages):
     root = warc.archive_root(spark)
     assert warc.read_warcs(warc.write_warcs(pages.limit(0), root), root).count() == 0
+
+
+def test_files_roll_at_the_shipped_ratio(spark):
+    """Ranges and files scaled down alike: a range of usual pages is several files."""
+    page = "concat('<html><body><p>', array_join(transform(sequence(1, 40), i -> sha1(concat(id, ':', i % 9))), ' '), '</p></body></html>')"
+    pages = spark.range(400).selectExpr("id as page_id", "concat('http://x/', id) as url", f"{page} as html")
+    root = warc.archive_root(spark)
+    manifest = warc.write_warcs(pages, root, file_bytes=warc.FILE_BYTES >> 8, range_bytes=warc.RANGE_BYTES >> 8).collect()
+    assert max(r.seq for r in manifest) >= 1 and max(r.range for r in manifest) >= 2
+    assert sum(r.records for r in manifest) == 400
+
+
+def test_null_and_repeated_ids_are_split(spark):
+    """A third of all ids null and a third the same: no range has much more than its share of bytes."""
+    pages = spark.range(900).selectExpr("if(id % 3 = 0, null, if(id % 3 = 1, 7, id)) as page_id", "'u' as url", "repeat(sha1(cast(id as string)), 10) as html")
+    root = warc.archive_root(spark)
+    manifest = warc.write_warcs(pages, root, range_bytes=20_000).collect()
+    per_range = {r.range: r.records for r in manifest}
+    assert len(per_range) == 18 and max(per_range.values()) <= 52
+    assert warc.read_warcs(spark.createDataFrame(manifest), root).count() == 900
+
+
+def test_many_files_are_read_in_many_tasks(spark, pages):
+    from pyspark.sql import functions as F
+
+    root = warc.archive_root(spark)
+    manifest = warc.write_warcs(pages, root, file_bytes=300, range_bytes=2000)
+    read = warc.read_warcs(manifest, root, task_bytes=400)
+    assert read.select(F.spark_partition_id()).distinct().count() > 1 and read.count() == len(PAGES)
+
+
+def test_ranges_of_ids_and_keys():
+    import numpy as np
+
+    bounds = np.array([5, 7, 7, 7, 9]), np.array([1, 10, 20, 30, 0])
+    ids, keys = np.array([4, 5, 5, 6, 7, 7, 7, 7, 8, 9, 10]), np.array([99, 0, 1, 0, 5, 10, 29, 30, 0, 0, 0])
+    want = [sum((a, b) <= (i, k) for a, b in zip(*bounds)) for i, k in zip(ids, keys)]
+    assert warc._ranges(ids, keys, bounds).tolist() == want
