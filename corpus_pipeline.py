@@ -7,7 +7,10 @@ carried inside one struct and come out unchanged. ``run`` writes each stage as P
 so a lost executor costs at most part of one stage.
 
 * A null or empty text is rejected by the first stage. An empty table gives empty results.
-* Repeated rows are documents of their own until the near-duplicate stage, which keeps one.
+* Repeated rows are documents of their own until the near-duplicate stage, which keeps one. Rows that are equal
+  in id and text but not in other columns are told apart in every stage; where they tie, a hash of all columns
+  decides which one the near-duplicate stage keeps.
+* Very long texts are handled whole by every stage.
 """
 
 from __future__ import annotations
@@ -34,10 +37,12 @@ def _with_text(frame: DataFrame, text: Column) -> DataFrame:
     return frame.select(doc.alias("doc")).select("doc.*")
 
 
-def _content_key() -> list[Column]:
-    """128 bits that rows share exactly if they are copies of each other in id and text. Decisions are
+def _row_key(docs: DataFrame) -> list[Column]:
+    """128 bits of all columns of a row: rows share them exactly if they cannot be told apart. Decisions are
     made on narrow rows and return by this key, so that no stage keeps another copy of the texts."""
-    return [F.xxhash64("doc_id", "text").alias("__k1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("__k2")]
+    kinds = dict(docs.dtypes)
+    plain = [F.array_sort(F.map_entries(docs[c])) if kinds[c].startswith("map") else docs[c] for c in docs.columns]
+    return [F.xxhash64(*plain).alias("__k1"), F.xxhash64(F.lit(1), *plain).alias("__k2")]
 
 
 _KEY = ["__k1", "__k2"]
@@ -45,9 +50,9 @@ _KEY = ["__k1", "__k2"]
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that they reject go."""
-    stats = docs.select(*_content_key(), quality_rules.text_stats(F.col("text")).alias("s")).select(*_KEY, "s.*")
+    stats = docs.select(*_row_key(docs), quality_rules.text_stats(F.col("text")).alias("s")).select(*_KEY, "s.*")
     kept = quality_rules.judge(checkpointed(stats)).filter("kept").select(*_KEY)
-    return docs.select(_whole(docs), *_content_key()).join(kept, _KEY, "left_semi").select("doc.*")
+    return docs.select(_whole(docs), *_row_key(docs)).join(kept, _KEY, "left_semi").select("doc.*")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,22 +64,23 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup: of each group the row with the smallest doc_id stays."""
-    found = simhash.near_duplicates(docs.select("doc_id", "text", *_content_key()), carry=_KEY)
+    """SimHash near-dedup: of each group the row with the smallest doc_id stays (of several, that with the
+    smallest hash of all columns)."""
+    found = simhash.near_duplicates(docs.select("doc_id", "text", *_row_key(docs)), carry=_KEY)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", *_KEY)
     first = found.groupBy("root").agg(F.min(order).alias("first")).select("first.__k1", "first.__k2")
-    # copies of the first row in id and text are left to the last step
-    return docs.select(_whole(docs), *_content_key()).join(first, _KEY, "left_semi").dropDuplicates(_KEY).select("doc.*")
+    # rows equal to the first in all columns are left to the last step
+    return docs.select(_whole(docs), *_row_key(docs)).join(first, _KEY, "left_semi").dropDuplicates(_KEY).select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing: a document appears once for each epoch of its source, with the words that the mix takes of
     it in that epoch (all of them in a full epoch). Copies of a row are mixed as documents of their own."""
-    sized = mixing.measured(docs, carry=_content_key(), block_words=MIX_BLOCK_WORDS)
+    sized = mixing.measured(docs, carry=_row_key(docs), block_words=MIX_BLOCK_WORDS)
     pieces = mixing.mix(sized, block_words=MIX_BLOCK_WORDS)
     taken = pieces.groupBy("row", "epoch").agg(F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias("__pieces"))
     taken = taken.join(sized.select("row", *_KEY), "row").select(*_KEY, "__pieces")
-    texts = docs.select(_whole(docs), *_content_key()).dropDuplicates(_KEY)
+    texts = docs.select(_whole(docs), *_row_key(docs)).dropDuplicates(_KEY)
     return _with_text(texts.join(taken, _KEY), mixing.pieces_text(F.col("doc.text"), F.col("__pieces")))
 
 
