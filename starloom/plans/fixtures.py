@@ -92,6 +92,24 @@ def dated_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Deliveries of the streams: by year of the sale, what is earlier is in the first, what is later in the last.
+DELIVERIES = (1996, 1998, 2000, 2002)
+
+
+def timed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales as a stream sees them, with the hour of the day."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("int").alias("trx_id"), (F.col("o_custkey") % 30).cast("int").alias("city_id"),
+        (F.col("o_orderdate") + F.make_dt_interval(hours=F.col("o_orderkey").cast("int") % 24)).cast("timestamp").alias("sold_at"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
+    )
+
+
+def delivery_of(at: Column) -> Column:
+    """The number of the delivery that has a time."""
+    return sum(((F.year(at) >= year).cast("int") for year in DELIVERIES[:-1]), F.lit(0))
+
+
 def sales_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The next delivery: every eleventh sale is absent."""
     return sales(spark, sf_dir).filter(F.col("trx_id") % 11 != 0)

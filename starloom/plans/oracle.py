@@ -49,6 +49,11 @@ fx_sales as (
 fx_dated_sales as (
   select cast(o_orderkey as integer) as trx_id, cast(o_custkey as integer) as emp_id,
          case when o_orderkey % 503 <> 0 then o_orderdate + interval 23 years + to_hours(cast(o_orderkey % 24 as integer)) end as sold_at
+  from orders)""",
+    "fx_timed_sales": """
+fx_timed_sales as (
+  select cast(o_orderkey as integer) as trx_id, cast(o_custkey % 30 as integer) as city_id,
+         o_orderdate + to_hours(cast(o_orderkey % 24 as integer)) as sold_at, cast(o_totalprice as decimal(18,2)) as amount
   from orders)""",
     "fx_sales_after": """
 fx_sales_after as (select * from fx_sales where trx_id % 11 <> 0)""",
@@ -740,6 +745,29 @@ group by cube (year, month, country, city)"""
     return with_fixtures(["fx_sales", "fx_cities"], body, [CITY_DIM])
 
 
+def stream_city_hourly() -> str:
+    body = """
+select city_id, "start", "start" + interval 1 hour as "end", count(*) filter (not late) as n,
+       cast(coalesce(sum(amount) filter (not late), 0) as double) as total, count(*) filter (late) as n_late,
+       cast(coalesce(sum(amount) filter (late), 0) as double) as total_late
+from (select *, date_trunc('hour', sold_at) as "start", trx_id % 9 = 0 and year(sold_at) < 1996 as late from fx_timed_sales)
+where "start" + interval 1 hour <= (select max(sold_at) - interval 2 days from fx_timed_sales)
+group by city_id, 2"""
+    return with_fixtures(["fx_timed_sales"], body)
+
+
+def stream_first_sale() -> str:
+    return with_fixtures(["fx_timed_sales"], "select trx_id, city_id, sold_at, cast(amount as double) as amount from fx_timed_sales")
+
+
+def stream_sale_corrections() -> str:
+    body = """
+select trx_id, city_id, sold_at, cast(amount as double) as amount, sold_at + to_days(cast(trx_id % 11 as integer)) as changed_at,
+       cast(amount + 1 as double) as new_amount
+from fx_timed_sales where trx_id % 4 = 0 and trx_id % 11 <= 7"""
+    return with_fixtures(["fx_timed_sales"], body)
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "source_csv_roundtrip": roundtrip(),
@@ -790,6 +818,9 @@ def oracle_queries() -> dict[str, str]:
         "retailer_sessions": retailer_sessions(),
         "sales_cube": sales_cube(),
         "stream_scd1_merge": scd1_merge(),
+        "stream_city_hourly": stream_city_hourly(),
+        "stream_first_sale": stream_first_sale(),
+        "stream_sale_corrections": stream_sale_corrections(),
         "batch_audit": batch_audit(),
         "batch_employee_dim": batch_employee_dim(),
         "batch_date_dim": batch_date_dim(),

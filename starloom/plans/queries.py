@@ -12,6 +12,7 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from starloom import schemas
 from starloom.functions.hashing import record_hash
@@ -21,6 +22,7 @@ from starloom.plans import fixtures as fx
 from starloom.plans.store import Run, Store
 from starloom.session import scratch_path
 from starloom.sources.io import WriteMode, read_table, write_table
+from starloom.streaming import windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -416,6 +418,78 @@ def stream_scd1_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.published(spark, f"{root}/out", "sales_fact")
 
 
+def _delivered(frames: dict[str, DataFrame], root: str, start: Callable[[], StreamingQuery]) -> StreamingQuery:
+    """Deliver ``frames`` (with a column ``delivery``) part by part into the folders of their names; after
+    each part the query goes on from its checkpoint. Returns the last run."""
+    query = None
+    for n in range(len(fx.DELIVERIES)):
+        for name, rows in frames.items():
+            write_table(rows.filter(F.col("delivery") == n).drop("delivery"), f"{root}/{name}", mode=WriteMode.APPEND, rebalance=False)
+        query = start()
+        query.awaitTermination()
+    return query
+
+
+def stream_city_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales per city and hour from a stream in four deliveries, for all hours closed by its end. Some sales
+    of the first delivery's time come with the last, behind the watermark: they are counted as late."""
+    root = scratch_path(spark, "stream-hourly")
+    rows = fx.timed_sales(spark, sf_dir)
+    in_time = fx.delivery_of(F.col("sold_at"))
+    late = (F.col("trx_id") % 9 == 0) & (in_time == 0)
+    frame = rows.withColumn("delivery", F.when(late, len(fx.DELIVERIES) - 1).otherwise(in_time))
+    amount, emitted = F.col("amount"), f"{root}/out"
+
+    def start() -> StreamingQuery:
+        stream = windows.arriving(spark, f"{root}/sales", rows.schema)
+        return windows.appended(windows.window_totals(stream, ["city_id"], "sold_at", amount, "2 days"), emitted, f"{root}/checkpoint")
+
+    _delivered({"sales": frame}, root, start)
+    source = read_table(spark, f"{root}/sales", schema=rows.schema)
+    closed = F.lit(source.agg(F.max("sold_at") - F.expr("interval 2 days")).first()[0])
+    found = windows.late_totals(source, read_table(spark, emitted), ["city_id"], "sold_at", amount, closed)
+    kinds = {"start": "timestamp_ntz", "end": "timestamp_ntz", "total": "double", "total_late": "double"}
+    return found.withColumns({c: F.col(c).cast(k) for c, k in kinds.items()})
+
+
+def stream_first_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per sale from a stream in which sales of a delivery's last 30 days come again with the next."""
+    root = scratch_path(spark, "stream-first")
+    rows = fx.timed_sales(spark, sf_dir)
+    n = fx.delivery_of(F.col("sold_at"))
+    again = (F.col("trx_id") % 3 != 0) & (fx.delivery_of(F.col("sold_at") + F.expr("interval 30 days")) == n + 1)
+    frame = rows.withColumn("delivery", F.explode(F.when(again, F.array(n, n, n + 1)).otherwise(F.array(n))))
+
+    def start() -> StreamingQuery:
+        stream = windows.arriving(spark, f"{root}/sales", rows.schema)
+        return windows.appended(windows.first_rows(stream, ["trx_id"], "sold_at", "60 days"), f"{root}/out", f"{root}/checkpoint")
+
+    _delivered({"sales": frame}, root, start)
+    found = read_table(spark, f"{root}/out")
+    return found.withColumns({"sold_at": F.col("sold_at").cast("timestamp_ntz"), "amount": F.col("amount").cast("double")})
+
+
+def stream_sale_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales and their corrections within a week, as two streams that are joined as they arrive."""
+    root = scratch_path(spark, "stream-corrections")
+    sold = fx.timed_sales(spark, sf_dir)
+    later = F.make_dt_interval(days=F.col("trx_id") % 11)
+    changed = sold.filter(F.col("trx_id") % 4 == 0).select("trx_id", (F.col("sold_at") + later).alias("changed_at"), (F.col("amount") + 1).cast("decimal(18,2)").alias("new_amount"))
+    frames = {
+        "sales": sold.withColumn("delivery", fx.delivery_of(F.col("sold_at"))), "changes": changed.withColumn("delivery", fx.delivery_of(F.col("changed_at"))),
+    }
+
+    def start() -> StreamingQuery:
+        left, right = windows.arriving(spark, f"{root}/sales", sold.schema), windows.arriving(spark, f"{root}/changes", changed.schema)
+        joined = windows.corrections(left, right, "trx_id", "sold_at", "changed_at", "7 days", "3 days")
+        return windows.appended(joined, f"{root}/out", f"{root}/checkpoint")
+
+    _delivered(frames, root, start)
+    found = read_table(spark, f"{root}/out")
+    kinds = {"sold_at": "timestamp_ntz", "changed_at": "timestamp_ntz", "amount": "double", "new_amount": "double"}
+    return found.withColumns({c: F.col(c).cast(k) for c, k in kinds.items()})
+
+
 def batch_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit CSV of a first load, read back."""
     root = scratch_path(spark, "batch-audit")
@@ -493,6 +567,9 @@ QUERIES: dict[str, Query] = {
     "retailer_sessions": retailer_sessions,
     "sales_cube": sales_cube,
     "stream_scd1_merge": stream_scd1_merge,
+    "stream_city_hourly": stream_city_hourly,
+    "stream_first_sale": stream_first_sale,
+    "stream_sale_corrections": stream_sale_corrections,
     "batch_audit": batch_audit,
     "batch_employee_dim": batch_employee_dim,
     "batch_date_dim": batch_date_dim,
