@@ -192,7 +192,7 @@ def write_warcs(
     joined = rows.join(copies, rows["page_id"].eqNullSafe(copies["copy_id"]) & (rows["digest"] == copies["copy_digest"]), "left")
     ranged = (
         joined.select(range_of("id", "key").alias("range"), "page_id", "key", "digest", "url", "payload", "size", "refers_to", F.col("copy_digest").isNotNull().alias("revisit"))
-        .repartition(len(bounds[0]) + 1, "range").sortWithinPartitions("range", "page_id", "key", "digest", "url").drop("key")
+        .repartitionById(len(bounds[0]) + 1, F.col("range")).sortWithinPartitions("range", "page_id", "key", "digest", "url").drop("key")
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,7 +288,8 @@ def read_warcs(manifest: DataFrame, root: str, with_payload: bool = True, task_b
 
     # one row of the manifest is a whole file; a stated number of partitions is not merged
     tasks = -(-(manifest.agg(F.sum("bytes")).first()[0] or 1) // task_bytes)
-    return manifest.select("name").repartition(tasks, "name").mapInArrow(read, schema)
+    dealt = manifest.repartitionById(tasks, F.pmod(F.col("range") + F.col("seq"), F.lit(tasks)).cast("int"))
+    return dealt.select("name").mapInArrow(read, schema)
 
 
 def archive_root(spark: SparkSession) -> str:
