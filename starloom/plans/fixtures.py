@@ -110,6 +110,30 @@ def delivery_of(at: Column) -> Column:
     return sum(((F.year(at) >= year).cast("int") for year in DELIVERIES[:-1]), F.lit(0))
 
 
+def price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A price band per supplier: of different widths, some open at one end, some empty or swapped."""
+    k, low = F.col("s_suppkey"), F.floor(F.col("s_acctbal") * 40).cast("double")
+    return table(spark, sf_dir, "supplier").select(
+        k.alias("band_id"), F.when(k % 17 != 0, low).alias("lower"), F.when(k % 19 != 0, low + (k % 20 - 1) * 1000.0).alias("upper")
+    )
+
+
+def json_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales as JSON documents: numbers sent as text, a city that is a name, unknown fields, broken documents."""
+    k = F.col("trx_id")
+    s = sales(spark, sf_dir).select(
+        "trx_id", "retailer_id", F.col("amount").cast("decimal(18,2)").alias("amount"), "city_id", F.col("transacted_at").cast("date").cast("string").alias("day")
+    )
+    amount = F.when(k % 7 == 0, F.concat(F.lit('"'), F.col("amount").cast("string"), F.lit('"'))).when(k % 11 == 0, F.lit('"n/a"')).otherwise(F.col("amount").cast("string"))
+    city = F.when(k % 13 == 0, F.lit('{"name": "far"}')).when(k % 5 == 0, F.lit("null")).otherwise(F.col("city_id").cast("string"))
+    extra = F.when(k % 6 == 0, F.lit(', "coupon": [1, 2], "agent": "x"')).otherwise(F.lit(""))
+    text = F.concat(
+        F.lit('{"trx_id": '), k.cast("string"), F.lit(', "retailer_id": '), F.col("retailer_id").cast("string"), F.lit(', "amount": '), amount,
+        F.lit(', "city_id": '), city, F.coalesce(F.concat(F.lit(', "day": "'), F.col("day"), F.lit('"')), F.lit("")), extra, F.lit("}"),
+    )
+    return s.select(k.alias("source_id"), F.when(k % 101 == 0, F.substring(text, 1, 20)).otherwise(text).alias("doc"))
+
+
 def sales_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The next delivery: every eleventh sale is absent."""
     return sales(spark, sf_dir).filter(F.col("trx_id") % 11 != 0)

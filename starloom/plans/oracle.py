@@ -55,6 +55,11 @@ fx_timed_sales as (
   select cast(o_orderkey as integer) as trx_id, cast(o_custkey % 30 as integer) as city_id,
          o_orderdate + to_hours(cast(o_orderkey % 24 as integer)) as sold_at, cast(o_totalprice as decimal(18,2)) as amount
   from orders)""",
+    "fx_bands": """
+fx_bands as (
+  select s_suppkey as band_id, case when s_suppkey % 17 <> 0 then floor(s_acctbal * 40) end as lower,
+         case when s_suppkey % 19 <> 0 then floor(s_acctbal * 40) + (s_suppkey % 20 - 1) * 1000.0 end as upper
+  from supplier)""",
     "fx_sales_after": """
 fx_sales_after as (select * from fx_sales where trx_id % 11 <> 0)""",
     "fx_sales_before": """
@@ -768,6 +773,44 @@ from fx_timed_sales where trx_id % 4 = 0 and trx_id % 11 <= 7"""
     return with_fixtures(["fx_timed_sales"], body)
 
 
+def sales_price_band() -> str:
+    body = """
+select band_id, any_value(lower) as lower, any_value(upper) as upper, count(amount) as n, cast(sum(cast(amount as decimal(18,2))) as double) as total
+from fx_bands left join fx_sales on (lower is null or amount >= lower) and (upper is null or amount < upper)
+group by band_id"""
+    return with_fixtures(["fx_bands", "fx_sales"], body)
+
+
+def fact_reconciliation() -> str:
+    columns = "transacted_at, trx_id, retailer_id, description, amount, city_id"
+    body = f"""
+select {columns}, cast(sum(a) as bigint) as in_fact, cast(sum(b) as bigint) as in_source
+from (select {columns}, 1 as a, 0 as b from fx_sales union all select {columns}, 0, 1 from fx_sales_before)
+group by all having sum(a) <> sum(b)"""
+    return with_fixtures(["fx_sales", "fx_sales_before"], body)
+
+
+def fact_sketches() -> str:
+    body = """
+select cast(year(transacted_at) as integer) as year, count(*) as n, count(distinct retailer_id) as retailers,
+       true as n_renewed, true as distinct_within, true as median_within
+from fx_sales group by 1"""
+    return with_fixtures(["fx_sales"], body)
+
+
+def source_variant_sales() -> str:
+    body = """
+select trx_id as source_id, case when not broken then trx_id end as trx_id, case when not broken then retailer_id end as retailer_id,
+       case when not broken and (trx_id % 7 = 0 or trx_id % 11 <> 0) then cast(cast(amount as decimal(18,2)) as double) end as amount,
+       case when not broken and trx_id % 13 <> 0 and trx_id % 5 <> 0 then city_id end as city_id,
+       case when not broken then cast(transacted_at as date) end as day,
+       concat_ws(',', case when not broken and trx_id % 7 <> 0 and trx_id % 11 = 0 then 'amount' end,
+                      case when not broken and trx_id % 13 = 0 then 'city_id' end) as misfits,
+       case when not broken and trx_id % 6 = 0 then 'agent,coupon' else '' end as unknown, broken
+from (select *, trx_id % 101 = 0 as broken from fx_sales)"""
+    return with_fixtures(["fx_sales"], body)
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "source_csv_roundtrip": roundtrip(),
@@ -817,6 +860,10 @@ def oracle_queries() -> dict[str, str]:
         "retailer_moving_sums": retailer_moving_sums(),
         "retailer_sessions": retailer_sessions(),
         "sales_cube": sales_cube(),
+        "sales_price_band": sales_price_band(),
+        "fact_reconciliation": fact_reconciliation(),
+        "fact_sketches": fact_sketches(),
+        "source_variant_sales": source_variant_sales(),
         "stream_scd1_merge": scd1_merge(),
         "stream_city_hourly": stream_city_hourly(),
         "stream_first_sale": stream_first_sale(),

@@ -16,11 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from starloom import schemas
 from starloom.functions.hashing import record_hash
-from starloom.operators import control, dims, facts, merge, quality, temporal, totals
+from starloom.operators import bands, control, dims, facts, merge, quality, sketches, temporal, totals
 from starloom.plans import batch
 from starloom.plans import fixtures as fx
 from starloom.plans.store import Run, Store
 from starloom.session import scratch_path
+from starloom.sources import variants
 from starloom.sources.io import WriteMode, read_table, write_table
 from starloom.streaming import windows
 
@@ -390,6 +391,62 @@ def sales_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("total", F.col("total").cast("double"))
 
 
+def sales_price_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and amount of the sales in each price band; bands overlap, some are open, some hold nothing."""
+    found = bands.range_join(fx.sales(spark, sf_dir).select("trx_id", "amount"), fx.price_bands(spark, sf_dir), "amount", "lower", "upper", 10_000.0)
+    sums = found.groupBy("band_id").agg(F.count(F.lit(1)).alias("n"), F.sum(_money("amount")).cast("double").alias("total"))
+    return fx.price_bands(spark, sf_dir).join(sums, "band_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+def fact_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published fact of a first load against the stored state of the source: rows that one of them has
+    and the other has not, or less often."""
+    columns = ["transacted_at", "trx_id", "retailer_id", "description", "amount", "city_id"]
+    root = scratch_path(spark, "reconciliation")
+    _load(spark, fx.batch_inputs(spark, sf_dir, 0), root)
+    found = bands.bag_difference(batch.published(spark, root, "sales_fact"), fx.sales_before(spark, sf_dir), columns)
+    return found.withColumnsRenamed({"n_left": "in_fact", "n_right": "in_source"})
+
+
+def fact_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct retailers and the median amount by year, from sketches stored by month: the first delivery
+    writes them all, the second renews those of the months that its rows change. Returned are the exact values
+    and whether the estimates are within their bounds (three standard errors, the rank error)."""
+    root, parts = scratch_path(spark, "sketches"), ["year", "month"]
+    dated = lambda df: facts.add_year_month(df).select("trx_id", "retailer_id", "amount", *parts)
+    first = dated(fx.sales_before(spark, sf_dir).filter(F.col("trx_id") < 1_000_000))
+    whole = dated(fx.sales(spark, sf_dir))
+    made = lambda rows: sketches.partition_sketches(rows, parts, "retailer_id", "amount")
+    run = Store(spark, root).begin()
+    run.replace("sketches", made(first), parts)
+    run.commit("sketches")
+    run = Store(spark, root).begin()
+    changed = bands.bag_difference(first, whole, ["trx_id", "retailer_id", "amount", *parts]).select(*parts).distinct()
+    touched = run.work(changed, "touched")
+    same = F.broadcast(touched.withColumnsRenamed({c: f"t_{c}" for c in parts}))
+    renewed = whole.join(same, [whole[c].eqNullSafe(same[f"t_{c}"]) for c in parts], "left_semi")
+    run.rewrite("sketches", made(renewed), touched, parts)
+    run.commit("sketches")
+    about = sketches.estimates(sketches.merged_sketches(Store(spark, root).read("sketches"), ["year"]))
+    median = F.col("about_quantiles")[0]
+    about = about.select(F.struct("year").alias("k"), F.col("n").alias("about_n"), "about_distinct", median.alias("median"))
+    rows = whole.select(F.struct("year").alias("k"), "retailer_id", "amount").join(about, "k")
+    exact = rows.groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("retailer_id").alias("retailers"), F.first("about_n").alias("about_n"),
+        F.first("about_distinct").alias("about_distinct"), (F.count_if(F.col("amount") <= F.col("median")) / F.count(F.lit(1))).alias("upto"),
+        (F.count_if(F.col("amount") < F.col("median")) / F.count(F.lit(1))).alias("below"),
+    )
+    near = F.abs(F.col("about_distinct") - F.col("retailers")) <= F.ceil(3 * sketches.HLL_ERROR * F.col("retailers"))
+    # the asked rank is within the error of those that the found value covers
+    ranked = (F.col("below") <= 0.5 + sketches.KLL_RANK_ERROR) & (F.col("upto") >= 0.5 - sketches.KLL_RANK_ERROR)
+    return exact.select("k.year", "n", "retailers", (F.col("about_n") == F.col("n")).alias("n_renewed"), near.alias("distinct_within"), ranked.alias("median_within"))
+
+
+def source_variant_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales from JSON documents whose fields drift: typed columns, and what did not fit."""
+    return variants.typed_sales(fx.json_sales(spark, sf_dir), "doc").withColumn("amount", F.col("amount").cast("double"))
+
+
 # ---------------------------------------------------------------- streaming form (slice 6)
 
 
@@ -566,6 +623,10 @@ QUERIES: dict[str, Query] = {
     "retailer_moving_sums": retailer_moving_sums,
     "retailer_sessions": retailer_sessions,
     "sales_cube": sales_cube,
+    "sales_price_band": sales_price_band,
+    "fact_reconciliation": fact_reconciliation,
+    "fact_sketches": fact_sketches,
+    "source_variant_sales": source_variant_sales,
     "stream_scd1_merge": stream_scd1_merge,
     "stream_city_hourly": stream_city_hourly,
     "stream_first_sale": stream_first_sale,
