@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.ranking import distributed_row_number
+from starloom.functions.scan import SUM, Running, running
 from starloom.llm.common import WORD, WS_CLASS, checkpointed, let, text_or_empty
 
 WEIGHTS = (5, 2, 1)
@@ -92,16 +93,16 @@ def mix_targets(
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.col("sid") - 1, F.lit(len(weights))) + 1).cast("int"))
     ranked = checkpointed(ranked.withColumn("weight", weight.cast("long")))
     limit = max_repeats * F.col("source_size")
-    total = ranked.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
-    share, stopped = 0.0, None
-    while True:  # the share grows as sources stop; each round is one row to the driver
-        at_limit = F.lit(share) * F.col("weight") > limit
-        full, open_weight, n = ranked.agg(
-            F.coalesce(F.sum(F.when(at_limit, limit)), F.lit(0)), F.coalesce(F.sum(F.when(~at_limit, F.col("weight"))), F.lit(0)), F.count_if(at_limit)
-        ).first()
-        if n == stopped or not open_weight:
-            break
-        stopped, share = n, (total - full) / open_weight
+    total, weights_sum = ranked.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+    # by limit over weight, the sources that stop come first; each in turn shares what those before it leave
+    ordered = running(ranked.select("sid", "weight", limit.alias("limit")), [], [F.col("limit") / F.col("weight"), "sid"], {
+        "limits": Running(SUM, F.col("limit")), "weights": Running(SUM, F.col("weight")),
+    })
+    share = (F.lit(total) - F.col("limits") + F.col("limit")) / (F.lit(weights_sum) - F.col("weights") + F.col("weight"))
+    goes_on = ordered.withColumn("share", share).filter(F.col("share") * F.col("weight") <= F.col("limit"))
+    share = goes_on.agg(F.min_by("share", F.struct(F.col("limit") / F.col("weight"), "sid"))).first()[0]
+    at_limit = F.lit(float("inf") if share is None else share) * F.col("weight") > limit
+    share = 0.0 if share is None else share
     target = F.when(at_limit, limit.cast("double")).otherwise(F.lit(share) * F.col("weight"))
     blocks = F.ceil(F.col("source_size") / block_words).cast("long")
     slots = F.least(F.round(target * blocks / F.greatest(F.col("source_size"), F.lit(1))).cast("long"), max_repeats * blocks)
