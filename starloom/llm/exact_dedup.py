@@ -54,8 +54,9 @@ def exact_dedup(
     repeat with the same id.
 
     Edge cases: a null text counts as empty; all empty texts form one group. A null id is kept only
-    if its whole group has null ids. An empty table gives an empty result. Other columns, whatever
-    their names, are ignored.
+    if its whole group has null ids. A very long text is many blocks and takes a naming round more for each
+    doubling (256 MB: 16 rounds). An empty table gives an empty result. Other columns, whatever their names,
+    are ignored.
     """
     source = docs.select(F.col(id_col).alias("doc_id"), normalise(text_or_empty(text_col)).cast("binary").alias("data"))
     for seed in count():

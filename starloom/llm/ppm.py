@@ -389,8 +389,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     ``score`` is the log10 probability of the whole lower-cased text, its end included; ``base_score``
     that of its words and end under add-one word counts.
 
-    Edge cases: a null text counts as empty (one token, the end). Repeated rows are scored each. A null
-    id is kept. An empty table gives an empty result. Other columns are ignored.
+    Edge cases: a null text counts as empty (one token, the end). A very long text is scored whole, a
+    megabyte at a time. Repeated rows are scored each. A null id is kept. An empty table gives an empty
+    result. Other columns are ignored.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((model.key, model.order, model.levels[-1].grams, model.levels[-1].log_top, {w: (np.log10(n + 1), n > 0) for w, n in model.head.items()}))

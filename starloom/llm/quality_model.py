@@ -135,8 +135,9 @@ def train(x: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: st
 
 def score(x: DataFrame, forest: Forest, **extra: Column) -> DataFrame:
     """``doc_id``, the ``extra`` columns, ``score`` (probability of a good document), ``predicted`` (1 from
-    0.5 on). Edge cases: null and empty texts have all-zero statistics and get their leaf's score; repeated
-    rows and null ids are kept; an empty table gives an empty result."""
+    0.5 on, so a tie is good). Edge cases: null and empty texts have all-zero statistics and get their leaf's
+    score; very long texts are counted whole; repeated rows and null ids are kept; other columns of the
+    documents, of any name, are left behind by ``measured``; an empty table gives an empty result."""
     @F.arrow_udf("double")
     def run(rows: pa.Array) -> pa.Array:
         width = len(features_)

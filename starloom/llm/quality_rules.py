@@ -196,8 +196,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per input row: ``doc_id``, the columns of STATS, ``base_failed, p_good, kept``.
 
     Edge cases: a null or empty text has no words, so ``base_failed`` is true and ``kept`` false.
-    Repeated rows and null ids are judged like any other row. An empty table gives an empty result.
-    Other columns are ignored.
+    Very long texts are counted whole. Repeated rows and null ids are judged like any other row. A tie, a
+    posterior of exactly one half, is kept. An empty table gives an empty result. Other columns are ignored.
     """
     stats = docs.select(F.col(id_col).alias("doc_id"), text_stats(F.col(text_col)).alias("s")).select("doc_id", "s.*")
     return judge(checkpointed(stats))

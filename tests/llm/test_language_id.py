@@ -51,6 +51,45 @@ def test_texts_in_pieces_are_pooled_whole(model, monkeypatch):
     assert lid.pooled(p, datas[3:4])[0] == pytest.approx(want[3], abs=1e-5)
 
 
+def plain_states(wx, wh, data):
+    """The network's states, one byte after the other, written out."""
+    units, states = wh.shape[1], []
+    h = [0.0] * units
+    for byte in data:
+        a, g = wx[:, byte].astype(float), wh.astype(float) @ np.array(h)
+        gate = lambda k: min(1.0, max(0.0, 0.25 * (a[k] + g[k]) + 0.5))  # noqa: B023, E731
+        new = []
+        for k in range(units):
+            z, r = gate(k), gate(units + k)
+            c = a[2 * units + k] + r * g[2 * units + k]
+            new.append(z * h[k] + (1 - z) * c / (1 + abs(c)))
+        h = new
+        states.append(np.array(h))
+    return states
+
+
+def plain_pooled(p, data):
+    total = np.zeros(len(p["o"]))
+    for at in range(0, len(data), lid.WINDOW):
+        part = data[at : at + lid.WINDOW]
+        ahead, back = plain_states(p["fx"], p["fh"], part), plain_states(p["bx"], p["bh"], part[::-1])[::-1]
+        for f, b in zip(ahead, back):
+            scores = p["o"].astype(float) @ np.concatenate([f, b]) + p["c"][:, 0]
+            e = np.exp(scores - scores.max())
+            total += e / e.sum()
+    return total / max(1, len(data))
+
+
+def test_against_a_plain_forward_pass(spark, model):
+    """Every position of every text on its own, without batches, masks or matrices over time."""
+    langs, p, held = model
+    texts = [r.text[:400] for r in held.limit(8).collect()] + ["a", "été à la", "x" * lid.WINDOW, "the " * 40, "der Hund\n" * 9]
+    got = lid.identify(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), langs, p).collect()
+    for r in got:
+        want = plain_pooled(p, texts[r.doc_id].encode())
+        assert r.lang_pred == langs[int(want.argmax())] and r.score == pytest.approx(want.max(), abs=1e-4)
+
+
 def test_edge_cases(spark, model):
     langs, p, _ = model
     rows = [(1, None), (2, ""), (3, "123 !?"), (4, "the and of"), (4, "the and of"), (None, "der die das"), (5, "z" * 200_000)]

@@ -97,6 +97,76 @@ def test_forest_learns_and_walks_like_single_rows():
         assert margin == pytest.approx(total)
 
 
+def plain_split(x, g, h, cuts):
+    """The best split of some rows, every feature and cut tried one after the other."""
+    score = lambda rows: sum(g[i] for i in rows) ** 2 / (sum(h[i] for i in rows) + quality_model.RIDGE)
+    best = (1e-9, None, None)
+    for j, values in enumerate(cuts):
+        for cut in values:
+            left, right = [i for i in range(len(x)) if x[i][j] <= cut], [i for i in range(len(x)) if x[i][j] > cut]
+            if min(len(left), len(right)) >= quality_model.MIN_ROWS:
+                gain = score(left) + score(right) - score(range(len(x)))
+                if gain > best[0] + 1e-9:
+                    best = (gain, j, cut)
+    return best[1:]
+
+
+def test_histogram_splits_equal_a_plain_search():
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(220, 3)), 1)
+    y = (((x[:, 0] > 0.2) | (x[:, 2] < -0.5)) ^ (rng.random(220) < 0.2)).astype(float)
+    forest = quality_model.fit(x, y, trees=1, depth=2, bins=8)
+    cuts = [quality_model._cuts(x[:, j], 8) for j in range(3)]
+    p = 1 / (1 + np.exp(-forest.base))
+    g, h = p - y, np.full(len(y), p * (1 - p))
+    parts = [(0, np.arange(len(y)))]
+    for node, rows in parts:
+        feature, cut = plain_split(x[rows], g[rows], h[rows], cuts)
+        assert feature is not None and (forest.feature[0][node], forest.threshold[0][node]) == (feature, cut)
+        left = x[rows, feature] <= cut
+        if node == 0:
+            parts += [(1, rows[left]), (2, rows[~left])]
+        else:
+            for k, some in enumerate((rows[left], rows[~left])):
+                assert forest.value[0][2 * (node - 1) + k] == pytest.approx(-quality_model.RATE * g[some].sum() / (h[some].sum() + quality_model.RIDGE))
+
+
+def test_features_equal_plain_counts(spark):
+    import math
+    import re
+    import unicodedata
+
+    ws = " \t\n\x0b\x0c\r"
+    frame = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(TEXTS)], "doc_id long, text string, x string")
+    got = {r.doc_id: dict(zip(quality_model.features(), r.x)) for r in quality_model.measured(frame).collect()}
+    for i, t in enumerate(TEXTS):
+        n, chars, symbols, copies, repeated = brute(t)
+        t = t or ""
+        words = [w for w in re.split(f"[{ws}]+", t) if w]
+        lines = len([x for x in t.split("\n") if x.strip(ws)])
+        odd = [c for c in t if unicodedata.category(c)[0] not in "LMN" and c not in ws + ".,;:!?'\"()-"]
+        want = {
+            "log_words": math.log1p(n), "word_length": chars / max(n, 1), "symbols": symbols / max(n, 1),
+            "symbol_ends": len(re.findall(rf"[#*$%&|<>](?=[{ws}]|$)", t)) / max(n, 1), "odd_chars": len(odd) / max(chars, 1),
+            "capitals": sum("A" <= c <= "Z" for c in t) / max(chars, 1), "exclaimed": len(re.findall(rf"[!?]{{2,}}(?=[{ws}]|\Z)", t)) / max(n, 1),
+            "line_copies": copies / max(lines, 1), "line_words": n / max(lines, 1), "window_copies": repeated / max(n, 1),
+            "variety": math.log1p(len(set(words))) / math.log1p(max(n, 1)),
+        }
+        assert got[i] == pytest.approx(want), t[:40]
+
+
+def test_repeated_labels_that_tie(spark):
+    """Of a document's labels the more frequent one counts, an even number of both means good; 0.5 predicts 1."""
+    x = quality_model.measured(spark.createDataFrame([(i, "a b c " * (1 + i % 9)) for i in range(40)], "doc_id long, text string"))
+    rows = [(i, v) for i in range(40) for v in ([1, 0] if i % 2 else [0])] + [(1, None), (None, 1)]
+    even = quality_model.train(x, spark.createDataFrame(rows, "doc_id long, quality int"))
+    clear = quality_model.train(x, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int"))
+    sample = np.random.default_rng(0).random((9, len(quality_model.features())))
+    assert even.probability(sample) == pytest.approx(clear.probability(sample))
+    nothing = quality_model.train(x, spark.createDataFrame([], "doc_id long, quality int"))
+    assert {(r.score, r.predicted) for r in quality_model.score(x, nothing).collect()} == {(0.5, 1)}
+
+
 def test_classifier_on_held_out_documents(spark):
     docs, labels = (spark.read.parquet(f"{SF_ORACLE}/{t}.parquet") for t in ("documents", "labels"))
     edge = spark.createDataFrame([(None, None), (-1, ""), (-1, "")], "doc_id long, text string")
