@@ -159,7 +159,81 @@ QUERIES = {
     )
 }
 
+def _repair_sql() -> str:
+    """Conversation repair as a recursion over the rows from the last to the first: for each state the least
+    (cost, audit) of what is left, as a struct."""
+    edit = lambda letter, cost, to: f"{{'c': d.s{to}.c + {cost}, 'a': '{letter}' || d.s{to}.a}}"
+    after = (2, 2, 3, 2)  # the state behind an inserted or reroled row
+    kept = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+    best = []
+    for state in range(4):
+        options = [edit("D", 2, state), f"CASE WHEN r.free THEN {edit('R', '1 + r.extra', after[state])} END"]
+        options += [f"CASE WHEN r.free AND r.initial = '{c}' THEN {edit('K', 'r.extra', to)} END" for c, to in kept[state].items()]
+        best.append(f"list_min([{', '.join(options)}]) AS b{state}")
+    insert = lambda state, n: f"{{'c': b{state}.c + {5 * n}, 'a': '{'I' * n}' || b{state}.a}}"
+    closed = [f"list_min([b{s}, {insert(after[s], 1)}, {insert(after[after[s]], 2)}]) AS s{s}" for s in range(4)]
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+        WITH RECURSIVE source AS (
+            SELECT dense_rank() OVER (ORDER BY conv_id) AS g, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+            FROM conversations
+        ), hashed AS (  -- CRC-32, bit by bit: each byte comes in, then eight shifts
+            SELECT *, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(key, ''), lambda c: [ord(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+                   lambda x, e: CASE WHEN e >= 0 THEN xor(CAST(x AS BIGINT), CAST(e AS BIGINT))
+                                     ELSE xor(CAST(x AS BIGINT) >> 1, 3988292384 * (CAST(x AS BIGINT) & 1)) END), 4294967295) % 20 AS h
+            FROM source
+        ), damaged AS (
+            SELECT g, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+                   CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(CASE WHEN h = 3 THEN [1, 2] ELSE [1] END) AS copy
+            FROM hashed WHERE h <> 0
+        ), numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text, copy) - 1 AS i, rtrim(text, {white}) AS bare, substr(role, 1, 1) AS initial
+            FROM damaged
+        ), marked AS (
+            SELECT *, bare = '' AS blank, bare <> '' AND row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 AS duplicate,
+                   lag(initial) OVER (PARTITION BY g ORDER BY i) || initial AS pair
+            FROM numbered
+        ), rows AS (
+            SELECT *, NOT blank AND NOT duplicate AS free, NOT blank AND NOT duplicate AND right(bare, 1) NOT IN ('.', '!', '?') AS truncated,
+                   CASE WHEN NOT blank AND NOT duplicate AND right(bare, 1) NOT IN ('.', '!', '?') THEN 5 ELSE 0 END AS extra
+            FROM marked
+        ), plan AS (
+            SELECT g, count(*) AS i, {{'c': CAST(0 AS BIGINT), 'a': ''}} AS s0, {{'c': CAST(10 AS BIGINT), 'a': 'II'}} AS s1,
+                   {{'c': CAST(5 AS BIGINT), 'a': 'I'}} AS s2, {{'c': CAST(0 AS BIGINT), 'a': ''}} AS s3
+            FROM rows GROUP BY g
+            UNION ALL
+            SELECT g, i, {', '.join(closed)}
+            FROM (SELECT d.g, r.i AS i, {', '.join(best)} FROM plan d JOIN rows r ON r.g = d.g AND r.i = d.i - 1)
+        ), chosen AS (
+            SELECT g, s0.c AS cost, s0.a AS audit FROM plan WHERE i = 0
+        ), letters AS (
+            SELECT g, unnest(string_split(audit, '')) AS letter, generate_subscripts(string_split(audit, ''), 1) AS pos FROM chosen
+        ), placed AS (
+            SELECT *, count(*) FILTER (letter <> 'I') OVER (PARTITION BY g ORDER BY pos) - 1 AS i,
+                   count(*) FILTER (letter <> 'D') OVER (PARTITION BY g ORDER BY pos) - 1 AS place
+            FROM letters
+        ), made AS (
+            SELECT p.*, r.role, r.text, max(CASE WHEN place = 0 AND letter = 'K' AND r.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY p.g) AS system
+            FROM placed p LEFT JOIN rows r ON r.g = p.g AND r.i = p.i AND letter <> 'I'
+        ), texts AS (
+            SELECT g, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - system) % 2 = 0 THEN 'user' ELSE 'assistant' END
+                                        || ':' || coalesce(text, ''), chr(10) ORDER BY pos)) AS digest
+            FROM made WHERE letter <> 'D' GROUP BY g
+        ), counts AS (
+            SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+                   count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM rows GROUP BY g
+        )
+        SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+               coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+        FROM (SELECT DISTINCT g, conv_id FROM source) LEFT JOIN counts USING (g) LEFT JOIN chosen USING (g) LEFT JOIN texts USING (g)
+    """
+
+
 ORACLE_SQL = {
+    "op13_conversation_repair": _repair_sql(),
     "op3_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
