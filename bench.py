@@ -26,6 +26,9 @@ HEADLINE = [
     "sales_fact_assigned",
     "scd1_merge",
     "scd2_merge",
+    "fact_employee_as_of",
+    "retailer_moving_sums",
+    "sales_cube",
     "batch_first_load",
     "batch_incremental",
     "stream_scd1_merge",

@@ -5,7 +5,6 @@ from collections import Counter
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from starloom.operators import bands, sketches
 from starloom.sources import variants
