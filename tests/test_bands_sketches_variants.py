@@ -5,8 +5,10 @@ from collections import Counter
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.operators import bands, sketches
+from starloom.plans.queries import QUERIES
 from starloom.sources import variants
 
 
@@ -34,6 +36,55 @@ def test_range_join_of_empty_tables(spark):
     assert bands.range_join(p, b, "v", "lo", "hi", 1.0).count() == 1
 
 
+def test_range_join_summed(spark):
+    rng, nan = random.Random(5), float("nan")
+    value = lambda: rng.choice([None, nan, 5.0, 5.0, 0.0, -0.0, float(rng.randint(-9, 9)), rng.uniform(-50, 50)])
+    points = [(value(), rng.choice([None, Decimal(rng.randint(-999, 999)) / 100]), rng.randint(0, 3)) for _ in range(300)] + [(-49.5, None, 1)] * 3
+    bound = lambda: rng.choice([None, 5.0, 0.0, -0.0, nan, float(rng.randint(-9, 9)), rng.uniform(-60, 60), 1e300, float("inf"), -float("inf")])
+    held = [(j, bound(), bound()) for j in range(120)] + [(3, -1.0, 6.0)] * 2 + [(None, None, None), (8, -49.5, -49.0)]
+    p, b = spark.createDataFrame(points, "v double, d decimal(18,2), k int"), spark.createDataFrame(held, "j int, lo double, hi double")
+    got = bands.range_join(p, b, "v", "lo", "hi", 10.0, sums={"total": F.col("d"), "ks": F.col("k")})
+    assert got.dtypes[3:] == [("n", "bigint"), ("total", "decimal(28,2)"), ("ks", "bigint")]
+    want = []
+    for j, lo, hi in held:  # NaN is above all others
+        fits = [(d, k) for v, d, k in points if v is not None and v == v and (lo is None or v >= lo) and (hi is None or hi != hi or v < hi)]
+        ds = [d for d, _ in fits if d is not None]
+        want += [(j, lo, hi, len(fits), sum(ds) if ds else None, sum(k for _, k in fits))] if fits else []
+    assert Counter(map(str, map(tuple, got.collect()))) == Counter(map(str, want))
+    for points_, bands_ in ((p.limit(0), b), (p, b.limit(0)), (p.limit(0), b.limit(0))):
+        assert bands.range_join(points_, bands_, "v", "lo", "hi", 10.0, sums={"ks": F.col("k")}).count() == 0
+    with pytest.raises(ValueError, match="exact"):
+        bands.range_join(p, b, "v", "lo", "hi", 10.0, sums={"total": F.col("v")})
+    with pytest.raises(ValueError, match="left"):
+        bands.range_join(p, b, "v", "lo", "hi", 10.0, "left", sums={"ks": F.col("k")})
+
+
+def _most_rows(node):
+    """The most rows that an operator of an executed plan has made."""
+    inner = {"AdaptiveSparkPlanExec": "executedPlan"}.get(node.getClass().getSimpleName(), "plan" if node.getClass().getSimpleName().endswith("StageExec") else "")
+    below = [getattr(node, inner)()] if inner else [node.children().apply(i) for i in range(node.children().size())]
+    made = node.metrics().get("numOutputRows")
+    return max([made.get().value() if made.isDefined() else 0, *map(_most_rows, below)])
+
+
+def test_price_bands_make_no_pairs(spark, tmp_path):
+    """Most bands hold a third of the sales or more: what the query makes must not grow as the product of the two."""
+    sales, suppliers = 3000, [i % 350 for i in range(400)]
+    spark.range(sales).selectExpr(
+        "id o_orderkey", "id o_custkey", "if(id % 50 = 0, null, cast(id * 0.37 as double)) o_totalprice", "timestamp'2000-01-01' o_orderdate", "'x' o_orderpriority"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(k, float(k % 20)) for k in suppliers], "s_suppkey long, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    found = QUERIES["sales_price_band"](spark, str(tmp_path))
+    got = found.collect()
+    assert Counter(r.band_id for r in got) == Counter(suppliers)
+    amounts = [37 * i / 100 for i in range(sales) if i % 50]
+    for r in got:  # a band that comes twice has the sales of both
+        fits = [a for a in amounts if (r.lower is None or a >= r.lower) and (r.upper is None or a < r.upper)] * suppliers.count(r.band_id)
+        assert (r.n, r.total) == (len(fits), round(sum(fits), 2) if fits else None)
+    assert 100 * (sales + len(suppliers)) < sum(r.n for r in got)
+    assert _most_rows(found._jdf.queryExecution().executedPlan()) < 10 * (sales + len(suppliers))
+
+
 def test_bag_difference(spark):
     left = [(1, "a"), (1, "a"), (2, None), (None, None), (3, "c")] + [(9, "hot")] * 500
     right = [(1, "a"), (2, None), (None, None), (None, None), (4, "d")] + [(9, "hot")] * 500

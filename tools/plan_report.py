@@ -53,7 +53,7 @@ def main() -> None:
     print("Queries built on the distributed row number (`employee_rank`, `employee_dim_ids`,")
     print("`employee_staging`) show the plan after its checkpoint; the checkpoint job itself holds the")
     print("one range exchange (plus the upstream shuffles of the input). The same holds for those built on")
-    print("running aggregates (`fact_employee_as_of`, `retailer_moving_sums`, `retailer_sessions`); their")
+    print("running aggregates (`fact_employee_as_of`, `retailer_moving_sums`, `retailer_sessions`, `sales_price_band`); their")
     print("`single-partition` exchange is above one row per range partition.\n")
     print("| query | " + " | ".join(c for c, _ in COUNTS) + " |")
     print("|---|" + "---|" * len(COUNTS))
